@@ -82,76 +82,62 @@ def records_with_problems(
     schema = as_schema(schema)
     reading = _reading_schema(schema, strict_types)
     element = T.StructType([*reading.fields, T.StructField(END, T.LongType())])
-    parsed_type = T.StructType(
-        [
-            T.StructField("r", T.ArrayType(T.ArrayType(element))),
-            T.StructField(_RAW, T.StringType()),
-        ]
-    )
+    # Text accepts any JSON value, so only native types can fail to fit.
+    may_misfit = any(not isinstance(f.dataType, T.StringType) for f in reading.fields)
 
     line = F.col("_line")
     mark = end_mark(line)
-    close = F.concat(F.lit(f',[{{"{END}":'), mark.cast("string"), F.lit("}]]}"))
-    single = line.startswith("{")
-    several = line.startswith("[")
-    wrapped = F.when(single, F.concat(F.lit('{"r":[['), line, F.lit("]"), close)).when(
-        several, F.concat(F.lit('{"r":['), line, close)
-    )
-    parsed = F.from_json(
-        wrapped, parsed_type, {**PARSE_OPTIONS, "columnNameOfCorruptRecord": _RAW}
+    carried = [F.col(f"`{c}`") for c in keep]
+    parsed = (
+        lines.select(strip_space(F.col(f"`{text}`")).alias("_line"), *carried)
+        .select(
+            "_line",
+            *carried,
+            _parse_object(line, element, may_misfit).alias("_one"),
+            _parse_array(line, element).alias("_many"),
+        )
     )
 
-    groups = F.col("_parsed")["r"]
-    records = F.get(groups, F.lit(0))
-    closed = F.coalesce(
-        (F.get(F.get(groups, F.lit(1)), F.lit(0))[END] == mark)
-        & (several | (F.size(records) == 1))
-        & ~F.exists(records, lambda e: e.isNull()),
-        F.lit(False),
+    refuses = _refuses(schema) if reject_mismatch and not strict_types else None
+    no_record, no_problem = F.lit(None).cast(element), F.lit(None).cast("string")
+
+    def outcome(record: Column, why: Column) -> Column:
+        return F.struct(record.alias("record"), why.alias(PROBLEM))
+
+    one = F.col("_one")["r"] if may_misfit else F.col("_one")
+    first = F.get(one, F.lit(0))
+    misfit = F.col("_one")[_RAW].isNotNull() if may_misfit else F.lit(False)
+    if refuses is not None:
+        misfit = misfit | refuses(first)
+    from_object = F.array(
+        F.when(misfit, outcome(no_record, F.lit(TYPE_MISMATCH))).otherwise(
+            outcome(first, no_problem)
+        )
     )
-    mistyped = F.col("_parsed")[_RAW].isNotNull()
-    if reject_mismatch and not strict_types:
-        loose = [f for f in schema.fields if isinstance(f.dataType, _VIA_TEXT)]
-        if loose:
-
-            def misfit(record: Column) -> Column:
-                found = F.lit(False)
-                for f in loose:
-                    found = found | (record[f.name].isNotNull() & _typed(record, f, False).isNull())
-                return found
-
-            mistyped = mistyped | F.exists(records, misfit)
-    problem = (
-        F.when(line == "", F.lit(BLANK))
-        .when(closed, F.when(mistyped, F.lit(TYPE_MISMATCH)))
-        .otherwise(_failed(line))
+    many = F.col("_many")["r"]
+    several = F.get(many, F.lit(0))
+    any_misfit = F.col("_many")[_RAW].isNotNull()
+    if refuses is not None:
+        any_misfit = any_misfit | F.exists(several, refuses)
+    from_array = F.when(
+        any_misfit, F.array(outcome(no_record, F.lit(TYPE_MISMATCH)))
+    ).otherwise(F.transform(several, lambda r: outcome(r, no_problem)))
+    many_closed = (F.get(F.get(many, F.lit(1)), F.lit(0))[END] == mark) & ~F.exists(
+        several, lambda r: r.isNull()
     )
 
-    carried = [F.col(f"`{c}`") for c in keep]
-    found = F.transform(
-        F.col("_records"),
-        lambda r: F.struct(r.alias("record"), F.lit(None).cast("string").alias(PROBLEM)),
+    # Records and rejects leave through one generator. Filters on what it gives
+    # stay above it, so the optimizer cannot copy the parse into a filter; the
+    # outer form keeps it from adding a filter of its own.
+    outcomes = (
+        F.when(line == "", F.lit(None))
+        .when(F.get(one, F.lit(1))[END] == mark, from_object)
+        .when(many_closed, from_array)
+        .otherwise(F.array(outcome(no_record, _failed(line))))
     )
-    refused = F.array(
-        F.struct(F.lit(None).cast(element).alias("record"), F.col(PROBLEM).alias(PROBLEM))
-    )
-    looked_at = (
-        lines.select(strip_space(F.col(f"`{text}`")).alias("_line"), *carried)
-        .select("_line", *carried, parsed.alias("_parsed"))
-        .select("_line", *carried, problem.alias(PROBLEM), records.alias("_records"))
-    )
-    # Both outcomes leave through one generator. Filters on what it gives stay
-    # above it, so the optimizer cannot copy the parse into a filter; the outer
-    # form keeps it from adding a filter of its own.
-    opened = looked_at.select(
-        "_line",
-        *carried,
-        F.explode_outer(
-            F.when(F.col(PROBLEM).isNull(), found).when(F.col(PROBLEM) != BLANK, refused)
-        ).alias("_out"),
-    ).where(F.col("_out").isNotNull())
+    opened = parsed.select("_line", *carried, F.explode_outer(outcomes).alias("_out"))
     record, why = F.col("_out")["record"], F.col("_out")[PROBLEM]
-    return opened.select(
+    return opened.where(F.col("_out").isNotNull()).select(
         *[_typed(record, f, strict_types).alias(f.name) for f in schema.fields],
         *carried,
         why.alias(PROBLEM),
@@ -159,6 +145,44 @@ def records_with_problems(
     )
 
 
+def _parse_object(line: Column, element: T.StructType, with_raw: bool) -> Column:
+    """``[record, end mark]`` for lines that open an object; null for others."""
+    tail = F.concat(F.lit(f',{{"{END}":'), end_mark(line).cast("string"), F.lit("}]"))
+    pair = T.ArrayType(element)
+    if not with_raw:
+        wrapped = F.concat(F.lit("["), line, tail)
+        return F.when(line.startswith("{"), F.from_json(wrapped, pair, PARSE_OPTIONS))
+    wrapped = F.concat(F.lit('{"r":['), line, tail, F.lit("}"))
+    return F.when(line.startswith("{"), _with_raw(wrapped, pair))
+
+
+def _parse_array(line: Column, element: T.StructType) -> Column:
+    """``[[record, …], [end mark]]`` for lines that open an array; null for others."""
+    tail = F.concat(F.lit(f',[{{"{END}":'), end_mark(line).cast("string"), F.lit("}]]}"))
+    wrapped = F.concat(F.lit('{"r":['), line, tail)
+    groups = T.ArrayType(T.ArrayType(element))
+    return F.when(line.startswith("["), _with_raw(wrapped, groups))
+
+
+def _with_raw(wrapped: Column, data_type: T.DataType) -> Column:
+    """Parse ``{"r": …}``; the raw column is filled when a value does not fit its type."""
+    schema = T.StructType([T.StructField("r", data_type), T.StructField(_RAW, T.StringType())])
+    return F.from_json(wrapped, schema, {**PARSE_OPTIONS, "columnNameOfCorruptRecord": _RAW})
+
+
+def _refuses(schema: T.StructType):
+    """Test of a loosely read record: does any scalar fail to convert?"""
+    loose = [f for f in schema.fields if isinstance(f.dataType, _VIA_TEXT)]
+
+    def test(record: Column) -> Column:
+        found = F.lit(False)
+        for f in loose:
+            found = found | (record[f.name].isNotNull() & _typed(record, f, False).isNull())
+        return found
+
+    return test if loose else None
+
+
 def _failed(line: Column) -> Column:
     """Reason for a line whose records could not be read; parses only such lines again."""
     return (
