@@ -30,11 +30,18 @@ NOT_OBJECT = "not_object"
 TYPE_MISMATCH = "type_mismatch"
 
 
+def opens_object(text: Column) -> Column:
+    """Braces at both ends of stripped text. A line cut short fails here, unparsed."""
+    return text.startswith("{") & text.endswith("}")
+
+
+def opens_array(text: Column) -> Column:
+    return text.startswith("[") & text.endswith("]")
+
+
 def strip_space(text: Column) -> Column:
     """``text`` without surrounding white space; lines that have none are not scanned."""
-    tight = (text.startswith("{") & text.endswith("}")) | (
-        text.startswith("[") & text.endswith("]")
-    )
+    tight = opens_object(text) | opens_array(text)
     return F.when(tight, text).otherwise(F.btrim(text, F.lit(SPACE)))
 
 
@@ -48,27 +55,32 @@ def end_mark(text: Column) -> Column:
 
 
 def is_json(text: Column) -> Column:
-    """True iff ``text`` is one complete JSON value of any kind."""
+    """True iff stripped ``text`` is one complete JSON value of any kind."""
     mark = end_mark(text).cast("string")
     parsed = F.from_json(
         F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')), "array<string>", PARSE_OPTIONS
     )
-    return F.coalesce(F.array_position(parsed, mark) == 2, F.lit(False))
+    cut_short = (text.startswith("{") & ~text.endswith("}")) | (
+        text.startswith("[") & ~text.endswith("]")
+    )
+    found = F.when(~cut_short, F.array_position(parsed, mark) == 2)
+    return F.coalesce(found, F.lit(False))
 
 
 def is_json_object(text: Column) -> Column:
-    """True iff ``text`` is one complete JSON object; field values are skipped, not built."""
+    """True iff stripped ``text`` is one complete JSON object; its values are skipped, not built."""
     mark = end_mark(text)
     parsed = F.from_json(
         F.concat(F.lit("["), text, F.lit(f',{{"{END}":'), mark.cast("string"), F.lit("}]")),
         f"array<struct<{END}: bigint>>",
         PARSE_OPTIONS,
     )
-    return text.startswith("{") & F.coalesce(F.get(parsed, F.lit(1))[END] == mark, F.lit(False))
+    found = F.when(opens_object(text), F.get(parsed, F.lit(1))[END] == mark)
+    return F.coalesce(found, F.lit(False))
 
 
 def is_json_object_array(text: Column) -> Column:
-    """True iff ``text`` is one complete JSON array holding objects only."""
+    """True iff stripped ``text`` is one complete JSON array holding objects only."""
     mark = end_mark(text)
     parsed = F.from_json(
         F.concat(F.lit("["), text, F.lit(f',[{{"{END}":'), mark.cast("string"), F.lit("}]]")),
@@ -77,7 +89,7 @@ def is_json_object_array(text: Column) -> Column:
     )
     closed = F.get(F.get(parsed, F.lit(1)), F.lit(0))[END] == mark
     only_objects = ~F.exists(F.get(parsed, F.lit(0)), lambda e: e.isNull())
-    return text.startswith("[") & F.coalesce(closed & only_objects, F.lit(False))
+    return F.coalesce(F.when(opens_array(text), closed & only_objects), F.lit(False))
 
 
 def line_kind(text: Column) -> Column:
@@ -95,17 +107,13 @@ def line_problem(text: Column) -> Column:
     """Why a line cannot become records, or null when it can.
 
     ``text`` must already be stripped. A record line is an object, or an array
-    of objects that stands for several records. Only lines that fail are parsed
-    a second time, to tell broken text from well-formed values of another kind.
+    of objects that stands for several records. A failed parse is far dearer
+    than a good one, so a broken object line is parsed once and no more.
     """
-    usable = (
-        F.when(text.startswith("{"), is_json_object(text))
-        .when(text.startswith("["), is_json_object_array(text))
-        .otherwise(F.lit(False))
-    )
     return (
         F.when(text == "", F.lit(BLANK))
-        .when(usable, F.lit(None))
+        .when(text.startswith("{"), F.when(~is_json_object(text), F.lit(INVALID)))
+        .when(is_json_object_array(text), F.lit(None))
         .when(is_json(text), F.lit(NOT_OBJECT))
         .otherwise(F.lit(INVALID))
     )

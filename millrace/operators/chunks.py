@@ -59,15 +59,19 @@ def _place(
     """Write ``df`` with its segment and its row number inside the segment."""
     extra = {} if size is None else {_SIZE: F.coalesce(size.cast("bigint"), F.lit(0))}
     if order_by:
-        df = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-        numbered = df.withColumn("_id", F.monotonically_increasing_id())
+        # The scan place settles ties, so rows that share a key still spread
+        # over several ranges and tasks.
+        full = [*order_by, F.col("_tie")]
+        tied = df.withColumn("_tie", F.monotonically_increasing_id())
+        ranged = tied.repartitionByRange(*full).sortWithinPartitions(*full)
+        numbered = ranged.withColumn("_id", F.monotonically_increasing_id())
         placed = numbered.withColumns(
             {
                 _PART: F.shiftright("_id", _ROW_BITS),
                 _ROW: F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)),
                 **extra,
             }
-        ).drop("_id")
+        ).drop("_id", "_tie")
         return stage(placed, "placed"), [_PART]
     if not segments:
         raise ValueError("give order_by, or segments that name the file and block of each row")
@@ -101,8 +105,8 @@ def number_rows(
     """Add a dense number 0, 1, 2, … in the global order of ``order_by``.
 
     Without ``order_by`` the order is (``segments``, order inside a block), for
-    rows of :func:`millrace.sources.read_lines`. The order key must be unique
-    for the numbering to repeat.
+    rows of :func:`millrace.sources.read_lines`. Rows with equal keys are
+    numbered in scan order.
     """
     placed, segs = _place(df, order_by, segments, None)
     offsets = _offsets(placed, segs, F.count(F.lit(1)))

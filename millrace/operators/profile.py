@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.functions.json_text import first_char, is_json, is_json_object, strip_space
+from millrace.scratch import stage
 from millrace.sources.text import read_documents, read_lines
 
 
@@ -54,7 +55,7 @@ def json_profile(spark: SparkSession, paths, with_schema: bool = True) -> DataFr
     valid if the whole document is; those files are read again whole. Only their
     names pass through the driver, as they do in any file listing.
     """
-    per_file = profile_lines(read_lines(spark, paths), with_schema)
+    per_file = stage(profile_lines(read_lines(spark, paths), with_schema), "profile")
     arrays = [r["file"] for r in per_file.where("is_array").select("file").toLocalIterator()]
     if not arrays:
         return per_file.withColumn("is_valid", F.col("valid_lines") > 0)

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from millrace.functions.barrier import evaluated_once
 from millrace.functions.json_text import (
     BLANK,
     END,
@@ -25,7 +26,11 @@ from millrace.functions.json_text import (
     TYPE_MISMATCH,
     end_mark,
     is_json,
+    is_json_object,
+    is_json_object_array,
     line_problem,
+    opens_array,
+    opens_object,
     strip_space,
 )
 from millrace.schema import as_schema
@@ -133,7 +138,7 @@ def records_with_problems(
         F.when(line == "", F.lit(None))
         .when(F.get(one, F.lit(1))[END] == mark, from_object)
         .when(many_closed, from_array)
-        .otherwise(F.array(outcome(no_record, _failed(line))))
+        .otherwise(F.array(outcome(no_record, _failed(line, may_misfit))))
     )
     opened = parsed.select("_line", *carried, F.explode_outer(outcomes).alias("_out"))
     record, why = F.col("_out")["record"], F.col("_out")[PROBLEM]
@@ -151,9 +156,9 @@ def _parse_object(line: Column, element: T.StructType, with_raw: bool) -> Column
     pair = T.ArrayType(element)
     if not with_raw:
         wrapped = F.concat(F.lit("["), line, tail)
-        return F.when(line.startswith("{"), F.from_json(wrapped, pair, PARSE_OPTIONS))
+        return F.when(opens_object(line), F.from_json(wrapped, pair, PARSE_OPTIONS))
     wrapped = F.concat(F.lit('{"r":['), line, tail, F.lit("}"))
-    return F.when(line.startswith("{"), _with_raw(wrapped, pair))
+    return F.when(opens_object(line), _with_raw(wrapped, pair))
 
 
 def _parse_array(line: Column, element: T.StructType) -> Column:
@@ -161,7 +166,7 @@ def _parse_array(line: Column, element: T.StructType) -> Column:
     tail = F.concat(F.lit(f',[{{"{END}":'), end_mark(line).cast("string"), F.lit("}]]}"))
     wrapped = F.concat(F.lit('{"r":['), line, tail)
     groups = T.ArrayType(T.ArrayType(element))
-    return F.when(line.startswith("["), _with_raw(wrapped, groups))
+    return F.when(opens_array(line), _with_raw(wrapped, groups))
 
 
 def _with_raw(wrapped: Column, data_type: T.DataType) -> Column:
@@ -183,10 +188,18 @@ def _refuses(schema: T.StructType):
     return test if loose else None
 
 
-def _failed(line: Column) -> Column:
-    """Reason for a line whose records could not be read; parses only such lines again."""
+def _failed(line: Column, may_misfit: bool) -> Column:
+    """Reason for a line whose records could not be read.
+
+    A failed parse is dear, so text is looked at again only where the first
+    parse may have failed for its types rather than for its form.
+    """
+    fits_form = is_json_object(line) if may_misfit else F.lit(False)
     return (
-        F.when(line_problem(line).isNull(), F.lit(TYPE_MISMATCH))
+        F.when(
+            line.startswith("{"), F.when(fits_form, F.lit(TYPE_MISMATCH)).otherwise(F.lit(INVALID))
+        )
+        .when(is_json_object_array(line), F.lit(TYPE_MISMATCH))
         .when(is_json(line), F.lit(NOT_OBJECT))
         .otherwise(F.lit(INVALID))
     )
@@ -215,7 +228,7 @@ def rejected_lines(
         return both.where(F.col(PROBLEM).isNotNull()).select(*carried, PROBLEM, "line")
     stripped = lines.select(strip_space(F.col(f"`{text}`")).alias("line"), *carried)
     judged = stripped.select(*carried, line_problem(F.col("line")).alias(PROBLEM), "line")
-    return judged.where(F.col(PROBLEM) != BLANK)
+    return evaluated_once(judged).where(F.col(PROBLEM) != BLANK)
 
 
 def drop_corrupt(df: DataFrame, column: str = "_corrupt_record") -> DataFrame:

@@ -11,7 +11,7 @@ from millrace.defaults import HASH_SALT, KEY_COLUMN, PROCESSED_AT, TRIGGER
 from millrace.functions.columns import add_constants, stamp
 from millrace.functions.keys import add_key_hash
 from millrace.operators.records import parse_lines, rejected_lines
-from millrace.schema import as_schema
+from millrace.schema import as_schema, require_columns
 from millrace.sinks.tables import Target, append_once
 from millrace.streaming.files import start_parquet_sink, trigger_for
 
@@ -31,6 +31,7 @@ def clean_stream(
     salt: str = HASH_SALT,
     event_time: str | None = None,
     late_by: str | None = None,
+    required: Sequence[str] = (),
 ) -> DataFrame:
     """Parse, one row per key across all micro-batches, constants, audit time, key hash.
 
@@ -38,7 +39,7 @@ def clean_stream(
     bound it: repeats further apart than ``late_by`` may then survive. Large
     state belongs in the RocksDB state store (a session setting of the caller).
     """
-    rows = parse_lines(lines, schema)
+    rows = require_columns(parse_lines(lines, schema), required)
     if key is not None and event_time is not None:
         rows = rows.withWatermark(event_time, late_by or "0 seconds")
         rows = rows.dropDuplicatesWithinWatermark([key])
@@ -79,17 +80,12 @@ def batch_loader(
 
     After a failure Spark runs the last micro-batch again with the same number
     and the same rows; rows already stored under that number are left out.
-    ``new_table=True`` creates the table with batch 0.
+    ``new_table=True`` lets batch 0 create the table.
     """
 
     def load(batch: DataFrame, number: int) -> None:
-        append_once(
-            batch,
-            target,
-            load_id=f"{name}-{number}",
-            keys=keys,
-            new_table=new_table and number == 0,
-        )
+        create = new_table and number == 0
+        append_once(batch, target, f"{name}-{number}", keys, new_table=create)
 
     return load
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import chunk_by_bytes, chunk_by_rows, number_rows, shard_mb_for
-from millrace.operators.chunks import MB
+from millrace.operators.chunks import MB, _place
 
 
 @pytest.fixture
@@ -75,6 +75,18 @@ def test_rows_of_equal_keys_still_get_distinct_numbers(spark):
     assert sorted(r["position"] for r in number_rows(df, ["k"]).collect()) == list(range(1000))
 
 
+def test_ties_spread_over_tasks(spark):
+    df = spark.range(0, 40_000, 1, 8).select(F.lit(1).alias("k"), "id")
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")
+    try:
+        placed, _ = _place(df, ["k"], (), None)
+    finally:
+        spark.conf.unset(merging)
+    sizes = [r["count"] for r in placed.groupBy("_part").count().collect()]
+    assert len(sizes) > 4 and max(sizes) < 12_000
+
+
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "key bigint, text string")
     assert chunk_by_rows(empty, ["key"]).count() == 0

@@ -1,0 +1,140 @@
+import json
+
+import pytest
+from pyspark.sql import types as T
+
+from millrace.operators import Level, flatten_levels, read_nested
+from millrace.operators.nested import ENTITY_LEVELS, ITEM_LEVELS, document_type
+from millrace.plans import entities, items, run_flatten
+from millrace.plans.flatten import rejected_documents
+from millrace.scratch import scratch_path
+from tests.conftest import plan_of, rows
+
+
+def docs(spark, *texts):
+    return spark.createDataFrame([(t, f"f{i}") for i, t in enumerate(texts)], "value string, file string")
+
+
+def shop(**fields):
+    return {"name": "n", **fields}
+
+
+WHOLE = {
+    "Aville": {
+        "link": "/a",
+        "restaurants": {
+            "1": shop(
+                rating=4.5,
+                cuisine="x,y",
+                menu={"Main": {"Pie": {"price": 5, "veg_or_non_veg": "veg"}, "Tea": {}}},
+            ),
+            "2": {"menu": None, "address": "street"},
+            "3": None,
+        },
+    },
+    "Btown": {"link": "/b", "restaurants": None},
+    "Cton": {},
+    "Dorf": None,
+}
+
+
+def test_entities_and_items_of_one_document(spark):
+    df = docs(spark, json.dumps(WHOLE))
+    got = {r["id"]: r.asDict() for r in entities(df).collect()}
+    assert set(got) == {"1", "2", "3"}
+    assert got["1"] == {
+        "id": "1", "name": "n", "city": "Aville", "rating": "4.5", "rating_count": None,
+        "cost": None, "cuisine": "x,y", "lic_no": None, "link": "/a", "address": None,
+    }
+    assert got["2"]["address"] == "street" and got["2"]["name"] is None
+    assert got["3"]["name"] is None and got["3"]["link"] == "/a"
+    assert rows(items(df), "dish") == [
+        ("1", "n", "Aville", "Main", "Pie", "5", "veg"),
+        ("1", "n", "Aville", "Main", "Tea", None, None),
+    ]
+
+
+def test_repeated_keys_keep_the_last_value_at_every_level(spark):
+    text = (
+        '{"A":{"link":"old","restaurants":{"9":{"name":"gone"}}},'
+        '"A":{"link":"new","restaurants":{"1":{"name":"x"},"2":{"name":"keep"},'
+        '"1":{"name":"y","menu":{"M":{"d":{"price":"1"},"e":{"price":"3"},"d":{"price":"2"}},'
+        '"N":{"z":{"price":"0"}},"M":{"d":{"price":"8"},"d":{"price":"9"}}}}}}}'
+    )
+    want = json.loads(text)
+    df = docs(spark, text)
+    assert {(r["id"], r["name"], r["link"]) for r in entities(df).collect()} == {
+        ("1", "y", "new"), ("2", "keep", "new"),
+    }
+    assert {(r["category"], r["dish"], r["price"]) for r in items(df).collect()} == {
+        (c, d, v["price"])
+        for c, dishes in want["A"]["restaurants"]["1"]["menu"].items()
+        for d, v in dishes.items()
+    }
+
+
+def test_many_repeats_stay_fast_and_right(spark):
+    n = 20_000
+    body = ",".join(f'"{i % (n // 2)}":{{"name":"{i}"}}' for i in range(n))
+    got = entities(docs(spark, f'{{"A":{{"restaurants":{{{body}}}}}}}')).collect()
+    assert len(got) == n // 2
+    assert all(int(r["name"]) == int(r["id"]) + n // 2 for r in got)
+
+
+@pytest.mark.parametrize(
+    "text, problem",
+    [
+        ('{"A":{"link":"l"}} x', "invalid_json"),
+        ('{"A":{"link":"l"}},{"B":{}}', "invalid_json"),
+        ('{"A":', "invalid_json"),
+        ("[]", "not_object"),
+        ("5", "not_object"),
+        ('{"A":5}', "type_mismatch"),
+        ('{"A":{"restaurants":{"1":"bad","2":{"name":"m"}}}}', "type_mismatch"),
+        ('{"A":{"restaurants":{"1":{"menu":"oops"}}}}', "type_mismatch"),
+    ],
+)
+def test_bad_documents_are_kept_aside_whole(spark, text, problem):
+    df = docs(spark, text, json.dumps(WHOLE), "", "  ")
+    bad = rejected_documents(df).collect()
+    assert [(r["file"], r["problem"], r["line"]) for r in bad] == [("f0", problem, text)]
+    assert items(df).count() == 2
+
+
+def test_numbers_and_text_stay_apart_as_variants(spark):
+    text = '{"A":{"restaurants":{"1":{"name":"a","cost":5},"2":{"name":"b","cost":"5"}}}}'
+    parsed = read_nested(docs(spark, text), ENTITY_LEVELS, leaf=T.VariantType())
+    flat = flatten_levels(parsed, ENTITY_LEVELS)
+    kinds = flat.selectExpr("id", "schema_of_variant(cost) AS kind")
+    assert rows(kinds, "id") == [("1", "BIGINT"), ("2", "STRING")]
+
+
+def test_other_shapes_can_be_described(spark):
+    levels = [Level("a"), Level("b"), Level("c", keep={"value": "v"})]
+    df = docs(spark, '{"x":{"y":{"z":{"v":1},"w":{"v":2}}},"e":{}}')
+    flat = flatten_levels(read_nested(df, levels, keep=["file"]), levels, keep=["file"])
+    assert rows(flat, "c") == [("f0", "x", "y", "w", "2"), ("f0", "x", "y", "z", "1")]
+    with pytest.raises(ValueError):
+        document_type([Level("a", keep={"x": "x"}), Level("b")])
+
+
+def test_flatten_does_not_shuffle_and_parses_once(spark):
+    df = docs(spark, json.dumps(WHOLE))
+    plan = plan_of(items(df))
+    assert "Exchange" not in plan
+    assert plan.count("StructField(_raw") == 1
+    assert "menu" not in plan_of(entities(df))
+    assert document_type(ITEM_LEVELS).simpleString().count("map<") == 4
+
+
+def test_job_writes_both_tables_and_counts(spark, tmp_path):
+    (tmp_path / "one.json").write_text(json.dumps(WHOLE, indent=2))
+    (tmp_path / "two.json").write_text('{"A":')
+    base = scratch_path(spark, "test-flat")
+    report = run_flatten(
+        spark, str(tmp_path), f"{base}/entities", f"{base}/items", f"{base}/rejects"
+    )
+    assert (report.entities, report.items, report.rejected) == (3, 2, 1)
+    lines = [json.loads(r["value"]) for r in spark.read.text(f"{base}/entities").collect()]
+    assert all(len(line) == 10 for line in lines)
+    assert spark.read.parquet(f"{base}/rejects").first()["file"].endswith("two.json")

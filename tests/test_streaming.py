@@ -1,0 +1,142 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.plans import clean_lines
+from millrace.scratch import scratch_path
+from millrace.sinks import append_parquet, parquet_target
+from millrace.streaming import (
+    batch_loader,
+    clean_stream,
+    start_clean_stream,
+    start_parquet_sink,
+    start_stamped_copy,
+    stream_parquet,
+    trigger_for,
+    wait,
+)
+from millrace.streaming.clean import start_table_stream, stream_lines
+from tests.conftest import rows
+
+
+@pytest.fixture
+def base(spark):
+    return scratch_path(spark, "test-stream")
+
+
+def test_triggers():
+    assert trigger_for("5 seconds") == {"processingTime": "5 seconds"}
+    assert trigger_for("once") == {"availableNow": True}
+    assert trigger_for(None) == {}
+
+
+def test_restart_reads_only_new_files(spark, base):
+    def run():
+        wait(start_stamped_copy(spark, f"{base}/in", f"{base}/out", f"{base}/state", "id bigint", "once"))
+
+    append_parquet(spark.range(5), f"{base}/in")
+    run()
+    run()
+    assert spark.read.parquet(f"{base}/out").count() == 5
+    append_parquet(spark.range(5, 7), f"{base}/in")
+    run()
+    out = spark.read.parquet(f"{base}/out")
+    assert sorted(r["id"] for r in out.collect()) == list(range(7))
+    assert out.where("read_timestamp is null").count() == 0
+
+
+def test_one_stamp_per_micro_batch(spark, base):
+    for i in range(3):
+        append_parquet(spark.range(i * 10, i * 10 + 10).coalesce(1), f"{base}/in")
+    query = start_stamped_copy(
+        spark, f"{base}/in", f"{base}/out", f"{base}/state", "id bigint", "once", max_files=1
+    )
+    wait(query)
+    stamps = spark.read.parquet(f"{base}/out").agg(F.count_distinct("read_timestamp")).first()[0]
+    assert stamps == 3
+
+
+def test_review_schema_is_the_default_and_absent_columns_are_null(spark, base):
+    append_parquet(spark.sql("select 1 as Id, 'p' as ProductId"), f"{base}/in")
+    wait(start_parquet_sink(stream_parquet(spark, f"{base}/in"), f"{base}/out", f"{base}/s", "once"))
+    row = spark.read.parquet(f"{base}/out").first()
+    assert row["Id"] == 1 and row["Text"] is None and len(row) == 11
+
+
+def test_waiting_does_not_block_for_ever(spark, base):
+    append_parquet(spark.range(1), f"{base}/in")
+    query = start_stamped_copy(
+        spark, f"{base}/in", f"{base}/out", f"{base}/s", "id bigint", "1 hour"
+    )
+    assert wait(query, 0.2) is False
+    query.stop()
+    assert wait(query) is True
+
+
+LINES = ['{"id":1,"name":"a","city":"x"}', '{"id":', "", '{"id":2,"name":"b","city":"y"}', "7"]
+SCHEMA = "id bigint, name string, city string"
+
+
+def write_text(spark, path, lines):
+    spark.createDataFrame([(v,) for v in lines], "value string").coalesce(1).write.mode(
+        "append"
+    ).text(path)
+
+
+def test_cleaning_stream_equals_the_batch(spark, base):
+    write_text(spark, f"{base}/in", LINES)
+    write_text(spark, f"{base}/in", LINES[:3])
+    started = start_clean_stream(
+        spark, f"{base}/in", f"{base}/out", f"{base}/state", SCHEMA,
+        rejects=f"{base}/bad", every="once", max_files=1, constants={"source": "s"},
+    )
+    for query in started:
+        wait(query)
+    streamed = spark.read.parquet(f"{base}/out").drop("processing_timestamp")
+    batch = clean_lines(
+        spark.read.text(f"{base}/in"), SCHEMA, constants={"source": "s"}
+    ).drop("processing_timestamp")
+    assert rows(streamed, "id") == rows(batch.select(streamed.columns), "id")
+    bad = spark.read.parquet(f"{base}/bad")
+    assert sorted(r["problem"] for r in bad.collect()) == [
+        "invalid_json", "invalid_json", "not_object",
+    ]
+
+
+def test_watermark_bounds_the_dedup_state(spark, base):
+    day = dt.datetime(2024, 1, 1)
+    write_text(spark, f"{base}/in", [f'{{"id":1,"at":"{day}"}}', f'{{"id":1,"at":"{day}"}}'])
+    rows_in = clean_stream(
+        stream_lines(spark, f"{base}/in"),
+        "id bigint, at timestamp",
+        event_time="at",
+        late_by="1 hour",
+    )
+    wait(start_parquet_sink(rows_in, f"{base}/out", f"{base}/state", "once"))
+    assert spark.read.parquet(f"{base}/out").count() == 1
+
+
+def test_replayed_micro_batch_is_not_stored_twice(spark, base):
+    target = parquet_target(f"{base}/table")
+    load = batch_loader(target, ["id"], "job", new_table=True)
+    load(spark.range(4), 0)
+    retry = batch_loader(target, ["id"], "job", new_table=True)
+    retry(spark.range(10), 0)
+    retry(spark.range(10), 0)
+    retry(spark.range(10, 12), 1)
+    stored = target.read(spark).groupBy("load_id").agg(F.count("id"), F.count_distinct("id"))
+    assert rows(stored, "load_id") == [("job-0", 10, 10), ("job-1", 2, 2)]
+
+
+def test_table_stream(spark, base):
+    for i in range(3):
+        append_parquet(spark.range(i * 10, i * 10 + 10).coalesce(1), f"{base}/in")
+    stream = stream_parquet(spark, f"{base}/in", "id bigint", max_files=1)
+    target = parquet_target(f"{base}/table")
+    wait(
+        start_table_stream(
+            stream, target, ["id"], "s", f"{base}/state", every="once", new_table=True
+        )
+    )
+    assert sorted(r["id"] for r in target.read(spark).collect()) == list(range(30))
