@@ -140,7 +140,9 @@ def records_with_problems(
         .when(many_closed, from_array)
         .otherwise(F.array(outcome(no_record, _failed(line, may_misfit))))
     )
-    opened = parsed.select("_line", *carried, F.explode_outer(outcomes).alias("_out"))
+    opened = parsed.select("_line", *carried, outcomes.alias("_outcomes")).select(
+        "_line", *carried, F.explode_outer("_outcomes").alias("_out")
+    )
     record, why = F.col("_out")["record"], F.col("_out")[PROBLEM]
     return opened.where(F.col("_out").isNotNull()).select(
         *[_typed(record, f, strict_types).alias(f.name) for f in schema.fields],
