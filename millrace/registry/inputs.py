@@ -70,10 +70,10 @@ def record_lines(spark: SparkSession, folder: str) -> DataFrame:
 RECORD_DDL = "id bigint, name string, city string, seq bigint"
 
 
-def conversation_arrays(spark: SparkSession, folder: str) -> DataFrame:
-    """JSON arrays of at most ``ARRAY_ROWS`` conversation turns each, in scan order."""
+def conversation_arrays(spark: SparkSession, folder: str, rows: int = ARRAY_ROWS) -> DataFrame:
+    """JSON arrays of at most ``rows`` conversation turns each, in scan order."""
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role")
-    group = F.floor(F.monotonically_increasing_id() / ARRAY_ROWS)
+    group = F.floor(F.monotonically_increasing_id() / rows)
     return (
         turns.withColumn("_group", group)
         .groupBy("_group")

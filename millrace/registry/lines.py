@@ -11,6 +11,7 @@ from millrace.operators.records import drop_corrupt
 from millrace.plans import clean_lines, run_clean, split_to_shards
 from millrace.plans.split import split_lines
 from millrace.registry.inputs import (
+    DOCUMENT_ROWS,
     EVENT_LINES_SQL,
     RECORD_DDL,
     conversation_arrays,
@@ -19,7 +20,7 @@ from millrace.registry.inputs import (
     table,
     written_lines,
 )
-from millrace.schema import build_schema
+from millrace.schema import build_schema, missing_columns, require_columns
 from millrace.scratch import scratch_path, stage
 from millrace.sinks import write_jsonl
 from millrace.sources import array_elements, infer_json_schema, read_json, read_lines
@@ -181,7 +182,7 @@ def split_shards(spark: SparkSession, folder: str) -> DataFrame:
 def split_array(spark: SparkSession, folder: str) -> DataFrame:
     """Array documents to shards of one element per line; the size rule picks the target."""
     source = scratch_path(spark, "arrays")
-    conversation_arrays(spark, folder).write.text(source)
+    conversation_arrays(spark, folder, rows=DOCUMENT_ROWS).write.text(source)
     # One array per file, so that every file is one document.
     documents = scratch_path(spark, "documents")
     spark.read.text(source).write.option("maxRecordsPerFile", 1).text(documents)
@@ -228,19 +229,35 @@ def clean_job(spark: SparkSession, folder: str) -> DataFrame:
 def clean_job_report(spark: SparkSession, folder: str) -> DataFrame:
     """What the job counted while it wrote, next to what the two tables hold."""
     output, rejects, report = _run_clean(spark, folder, runs=1)
-    stored = spark.read.parquet(output).agg(F.count(F.lit(1)).alias("stored_rows"))
-    aside = spark.read.parquet(rejects).agg(F.count(F.lit(1)).alias("stored_rejects"))
-    return stored.crossJoin(aside).select(
+    stored = spark.read.parquet(output).select(F.lit("row").alias("held"))
+    aside = spark.read.parquet(rejects).select(F.lit("reject").alias("held"))
+    return stored.unionByName(aside).agg(
+        F.count_if(F.col("held") == "row").alias("stored_rows"),
+        F.count_if(F.col("held") == "reject").alias("stored_rejects"),
         F.lit(report.records).alias("records"),
         F.lit(report.rejected_lines).alias("rejected"),
         F.lit(report.rows_written).alias("rows_written"),
         F.lit(report.duplicates_removed).alias("duplicates_removed"),
         F.lit(report.nulls["city"]).alias("null_city"),
-        "stored_rows",
-        "stored_rejects",
     )
 
 
+def required_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """The column check on each table, with the rows of the tables that pass it."""
+    needed = ("event_id", "user_id")
+    found = []
+    for name in ("events", "orders"):
+        df = table(spark, folder, name)
+        absent = ", ".join(missing_columns(df.columns, needed))
+        rows = df if absent else require_columns(df, needed)
+        found.append(
+            rows.agg(F.count(F.lit(1)).alias("rows")).select(
+                F.lit(name).alias("table_name"), F.lit(absent).alias("missing"), "rows"
+            )
+        )
+    return found[0].unionByName(found[1])
+
+
 QUERIES = {
     "jsonl_validity": jsonl_validity,
     "jsonl_parse": jsonl_parse,
@@ -260,6 +277,7 @@ QUERIES = {
     "clean_batch": clean_batch,
     "clean_job": clean_job,
     "clean_job_report": clean_job_report,
+    "required_columns": required_columns,
 }
 
 _CLEAN_SQL = """
@@ -347,4 +365,7 @@ ORACLES = {
                count(DISTINCT user_id) FILTER (WHERE event_type <> 'error') AS stored_rows,
                count(*) FILTER (WHERE event_type = 'error') AS stored_rejects
         FROM events""",
+    "required_columns": """
+        SELECT 'events' AS table_name, '' AS missing, count(*) AS rows FROM events
+        UNION ALL SELECT 'orders', 'event_id, user_id', count(*) FROM orders""",
 }
