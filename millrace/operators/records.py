@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from millrace.errors import SchemaError
 from millrace.functions.barrier import evaluated_once
 from millrace.functions.json_text import (
     BLANK,
@@ -74,17 +75,51 @@ def records_with_problems(
     keep: Sequence[str] = (),
     strict_types: bool = False,
     reject_mismatch: bool = False,
+    problem_column: str = PROBLEM,
+    line_column: str = "line",
 ) -> DataFrame:
     """Parse every line once: one row per record and one per rejected line.
 
     Output: the schema's columns, then ``keep``, then ``problem`` (null for a
     record) and ``line`` (the raw text of a rejected line, null for a record).
+    Other names for the last two can be given when a field already uses them.
 
     ``strict_types=False`` reads scalars loosely (``"89"`` is 89 for a bigint)
     and nulls what does not convert; ``reject_mismatch=True`` rejects the line
     instead. ``strict_types=True`` rejects every wrongly typed value.
     """
     schema = as_schema(schema)
+    names = [*schema.fieldNames(), *keep, problem_column, line_column]
+    if len({n.lower() for n in names}) < len(names):
+        raise SchemaError(f"column names repeat in {names}")
+    opened = _open_lines(lines, schema, text, keep, strict_types, reject_mismatch)
+    why = F.col("_out")[PROBLEM]
+    return opened.select(
+        *_fields(schema, strict_types),
+        *_columns(keep),
+        why.alias(problem_column),
+        F.when(why.isNotNull(), F.col("_line")).alias(line_column),
+    )
+
+
+def _columns(names: Sequence[str]) -> list[Column]:
+    return [F.col(f"`{name}`") for name in names]
+
+
+def _fields(schema: T.StructType, strict: bool) -> list[Column]:
+    record = F.col("_out")["record"]
+    return [_typed(record, f, strict).alias(f.name) for f in schema.fields]
+
+
+def _open_lines(
+    lines: DataFrame,
+    schema: T.StructType,
+    text: str,
+    keep: Sequence[str],
+    strict_types: bool,
+    reject_mismatch: bool,
+) -> DataFrame:
+    """``_line``, ``keep`` and ``_out``: (record, problem), one row per outcome."""
     reading = _reading_schema(schema, strict_types)
     element = T.StructType([*reading.fields, T.StructField(END, T.LongType())])
     # Text accepts any JSON value, so only native types can fail to fit.
@@ -92,15 +127,12 @@ def records_with_problems(
 
     line = F.col("_line")
     mark = end_mark(line)
-    carried = [F.col(f"`{c}`") for c in keep]
-    parsed = (
-        lines.select(strip_space(F.col(f"`{text}`")).alias("_line"), *carried)
-        .select(
-            "_line",
-            *carried,
-            _parse_object(line, element, may_misfit).alias("_one"),
-            _parse_array(line, element).alias("_many"),
-        )
+    carried = _columns(keep)
+    parsed = lines.select(strip_space(F.col(f"`{text}`")).alias("_line"), *carried).select(
+        "_line",
+        *carried,
+        _parse_object(line, element, may_misfit).alias("_one"),
+        _parse_array(line, element).alias("_many"),
     )
 
     refuses = _refuses(schema) if reject_mismatch and not strict_types else None
@@ -143,13 +175,7 @@ def records_with_problems(
     opened = parsed.select("_line", *carried, outcomes.alias("_outcomes")).select(
         "_line", *carried, F.explode_outer("_outcomes").alias("_out")
     )
-    record, why = F.col("_out")["record"], F.col("_out")[PROBLEM]
-    return opened.where(F.col("_out").isNotNull()).select(
-        *[_typed(record, f, strict_types).alias(f.name) for f in schema.fields],
-        *carried,
-        why.alias(PROBLEM),
-        F.when(why.isNotNull(), F.col("_line")).alias("line"),
-    )
+    return opened.where(F.col("_out").isNotNull())
 
 
 def _parse_object(line: Column, element: T.StructType, with_raw: bool) -> Column:
@@ -207,10 +233,19 @@ def _failed(line: Column, may_misfit: bool) -> Column:
     )
 
 
-def parse_lines(lines: DataFrame, schema: T.StructType | str, **options) -> DataFrame:
+def parse_lines(
+    lines: DataFrame,
+    schema: T.StructType | str,
+    text: str = "value",
+    keep: Sequence[str] = (),
+    strict_types: bool = False,
+    reject_mismatch: bool = False,
+) -> DataFrame:
     """The records alone. See :func:`records_with_problems`."""
-    both = records_with_problems(lines, schema, **options)
-    return both.where(F.col(PROBLEM).isNull()).drop(PROBLEM, "line")
+    schema = as_schema(schema)
+    opened = _open_lines(lines, schema, text, keep, strict_types, reject_mismatch)
+    good = opened.where(F.col("_out")[PROBLEM].isNull())
+    return good.select(*_fields(schema, strict_types), *_columns(keep))
 
 
 def rejected_lines(
@@ -218,16 +253,22 @@ def rejected_lines(
     text: str = "value",
     keep: Sequence[str] = (),
     schema: T.StructType | str | None = None,
-    **options,
+    strict_types: bool = False,
+    reject_mismatch: bool = False,
 ) -> DataFrame:
     """The rejected lines alone: ``keep``, ``problem`` and the raw ``line``.
 
     Without a schema only the JSON form is judged, which builds no field values.
     """
-    carried = [F.col(f"`{c}`") for c in keep]
+    carried = _columns(keep)
     if schema is not None:
-        both = records_with_problems(lines, schema, text=text, keep=keep, **options)
-        return both.where(F.col(PROBLEM).isNotNull()).select(*carried, PROBLEM, "line")
+        opened = _open_lines(
+            lines, as_schema(schema), text, keep, strict_types, reject_mismatch
+        )
+        why = F.col("_out")[PROBLEM]
+        return opened.where(why.isNotNull()).select(
+            *carried, why.alias(PROBLEM), F.col("_line").alias("line")
+        )
     stripped = lines.select(strip_space(F.col(f"`{text}`")).alias("line"), *carried)
     judged = stripped.select(*carried, line_problem(F.col("line")).alias(PROBLEM), "line")
     return evaluated_once(judged).where(F.col(PROBLEM) != BLANK)

@@ -53,6 +53,17 @@ def test_clean_job_appends_without_a_run_id(spark, folder):
     assert spark.read.parquet(out).count() == 8
 
 
+def test_clean_job_with_field_names_of_its_own_outputs(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"id":1,"file":"f","line":2,"problem":"p"}\nbad\n')
+    out, bad = scratch_path(spark, "test-out"), scratch_path(spark, "test-bad")
+    fields = "id bigint, file string, line bigint, problem string"
+    run_clean(spark, str(tmp_path), out, bad, fields, required=["id"])
+    row = spark.read.parquet(out).first()
+    assert (row["file"], row["line"], row["problem"]) == ("f", 2, "p")
+    reject = spark.read.parquet(bad).first()
+    assert reject["file"].endswith("a.json") and reject["line"] == "bad"
+
+
 def test_missing_required_columns_stop_the_job_before_it_reads(spark, folder):
     with pytest.raises(MissingColumnsError, match="name, city"):
         run_clean(spark, folder, "unused", "unused", "id bigint")

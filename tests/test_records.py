@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.errors import SchemaError
 from millrace.operators import parse_lines, records_with_problems, rejected_lines
 from millrace.operators.records import drop_corrupt
 from millrace.sources import array_elements, read_json
@@ -90,6 +91,16 @@ def test_good_lines_are_parsed_once(lines):
         assert "from_json" not in scan
 
 
+def test_field_names_of_our_own_outputs(spark):
+    df = spark.createDataFrame([('{"line":1,"problem":"p","file":"f"}',), ("x",)], "value string")
+    fields = "line bigint, problem string, file string"
+    assert rows(parse_lines(df, fields)) == [(1, "p", "f")]
+    with pytest.raises(SchemaError):
+        records_with_problems(df, fields)
+    both = records_with_problems(df, fields, problem_column="why", line_column="raw")
+    assert rows(both.where("why is not null").select("why", "raw")) == [("invalid_json", "x")]
+
+
 def test_reader_with_corrupt_column(spark):
     path = scratch_path(spark, "test-corrupt")
     spark.createDataFrame([('{"id":1}',), ('{"id":',), ("5",)], "value string").write.text(path)
