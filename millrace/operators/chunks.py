@@ -59,10 +59,12 @@ def _place(
     """Write ``df`` with its segment and its row number inside the segment."""
     extra = {} if size is None else {_SIZE: F.coalesce(size.cast("bigint"), F.lit(0))}
     if order_by:
-        # The scan place settles ties, so rows that share a key still spread
-        # over several ranges and tasks.
-        full = [*order_by, F.col("_tie")]
-        tied = df.withColumn("_tie", F.monotonically_increasing_id())
+        # Rows that share a key still spread over several ranges and tasks: they
+        # are told apart by content, and equal rows by their place in the scan.
+        full = [*order_by, F.col("_tie"), F.col("_place")]
+        tied = df.withColumns(
+            {"_tie": _content_hash(df), "_place": F.monotonically_increasing_id()}
+        )
         ranged = tied.repartitionByRange(*full).sortWithinPartitions(*full)
         numbered = ranged.withColumn("_id", F.monotonically_increasing_id())
         placed = numbered.withColumns(
@@ -71,7 +73,7 @@ def _place(
                 _ROW: F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)),
                 **extra,
             }
-        ).drop("_id", "_tie")
+        ).drop("_id", "_tie", "_place")
         return stage(placed, "placed"), [_PART]
     if not segments:
         raise ValueError("give order_by, or segments that name the file and block of each row")
@@ -79,6 +81,13 @@ def _place(
     return stage(placed, "placed"), list(segments)
 
 
+def _content_hash(df: DataFrame) -> Column:
+    """Hash of all columns Spark can hash (maps and variants are left out)."""
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    hashed = [n for n, kind in kinds.items() if "map<" not in kind and "variant" not in kind]
+    return F.xxhash64(*[F.col(f"`{n}`") for n in hashed]) if hashed else F.lit(0).cast("bigint")
+
+
 def _offsets(placed: DataFrame, segments: list[str], total: Column) -> DataFrame:
     """Per segment: its first row number and the total of all segments before it.
 
@@ -106,7 +115,7 @@ def number_rows(
 
     Without ``order_by`` the order is (``segments``, order inside a block), for
     rows of :func:`millrace.sources.read_lines`. Rows with equal keys are
-    numbered in scan order.
+    ordered by content.
     """
     placed, segs = _place(df, order_by, segments, None)
     offsets = _offsets(placed, segs, F.count(F.lit(1)))

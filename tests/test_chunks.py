@@ -87,6 +87,23 @@ def test_ties_spread_over_tasks(spark):
     assert len(sizes) > 4 and max(sizes) < 12_000
 
 
+@pytest.mark.parametrize("same", ["1", "map('a', 1)"])
+def test_equal_rows_spread_over_tasks(spark, same):
+    df = spark.range(0, 40_000, 1, 8).select(F.lit(1).alias("k"), F.expr(same).alias("v"))
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")
+    try:
+        numbered = number_rows(df, ["k"])
+        placed, _ = _place(df, ["k"], (), None)
+    finally:
+        spark.conf.unset(merging)
+    assert max(r["count"] for r in placed.groupBy("_part").count().collect()) < 12_000
+    assert numbered.agg(F.count_distinct("position"), F.max("position")).first()[:] == (
+        40_000,
+        39_999,
+    )
+
+
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "key bigint, text string")
     assert chunk_by_rows(empty, ["key"]).count() == 0
