@@ -35,6 +35,7 @@ MB = 1024 * 1024
 _PART = "_part"
 _ROW = "_row"
 _SIZE = "_size"
+_BLOCK = "_block"
 
 # monotonically_increasing_id keeps the task number above this many bits.
 _ROW_BITS = 33
@@ -168,14 +169,22 @@ def chunk_by_bytes(
         .agg(F.min(_ROW).alias("_from"), F.max(_ROW).alias("_to"))
     )
     spans = stage(spans, "spans")
-    same_segment = [placed[s] == spans[s] for s in segs]
-    inside = placed[_ROW].between(spans["_from"], spans["_to"])
-    condition = inside
-    for clause in same_segment:
-        condition = clause & condition
-    joined = placed.join(spans, condition)
-    place = [placed[c] for c in (*segs, _ROW) if c not in df.columns] if keep_place else []
-    return joined.select(*[placed[f"`{c}`"] for c in df.columns], spans[into], *place)
+    # Rows and spans meet in blocks of about one span's rows, so a row is compared
+    # with a few spans only, however many its segment has.
+    sizes = spans.agg(
+        F.count(F.lit(1)).alias("spans"), F.sum(F.col("_to") - F.col("_from") + 1).alias("rows")
+    ).first()
+    block_rows = max(1, (sizes["rows"] or 0) // max(1, sizes["spans"]))
+    spans = spans.withColumn(
+        _BLOCK, F.explode(F.expr(f"sequence(_from div {block_rows}, _to div {block_rows})"))
+    )
+    blocked = placed.withColumn(_BLOCK, F.expr(f"{_ROW} div {block_rows}"))
+    condition = blocked[_ROW].between(spans["_from"], spans["_to"])
+    for name in (*segs, _BLOCK):
+        condition = (blocked[name] == spans[name]) & condition
+    joined = blocked.join(spans, condition)
+    place = [blocked[c] for c in (*segs, _ROW) if c not in df.columns] if keep_place else []
+    return joined.select(*[blocked[f"`{c}`"] for c in df.columns], spans[into], *place)
 
 
 def _own(df: DataFrame) -> list[Column]:
