@@ -20,19 +20,11 @@ JDBC_BATCH_ROWS = 1000
 TRIGGER = "5 seconds"
 SAMPLE_ROWS = 5
 
-# The review record, in declared order.
-REVIEW_FIELDS = (
-    {"name": "Id", "type": "integer", "nullable": True},
-    {"name": "ProductId", "type": "string", "nullable": True},
-    {"name": "UserId", "type": "string", "nullable": True},
-    {"name": "ProfileName", "type": "string", "nullable": True},
-    {"name": "HelpfulnessNumerator", "type": "integer", "nullable": True},
-    {"name": "HelpfulnessDenominator", "type": "integer", "nullable": True},
-    {"name": "Score", "type": "integer", "nullable": True},
-    {"name": "Time", "type": "integer", "nullable": True},
-    {"name": "Summary", "type": "string", "nullable": True},
-    {"name": "Text", "type": "string", "nullable": True},
-    {"name": "ingest_time", "type": "timestamp", "nullable": True},
+# The review record, in declared order, all fields nullable.
+REVIEW_DDL = (
+    "Id int, ProductId string, UserId string, ProfileName string, HelpfulnessNumerator int, "
+    "HelpfulnessDenominator int, Score int, Time int, Summary string, Text string, "
+    "ingest_time timestamp"
 )
 
 # The flat entity and item records produced from nested documents.

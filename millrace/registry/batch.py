@@ -153,7 +153,8 @@ def page_deep(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sample(spark: SparkSession, folder: str) -> DataFrame:
-    return sample_rows(table(spark, folder, "orders").select("o_orderkey", "o_custkey"), ["o_orderkey"])
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    return sample_rows(orders, ["o_orderkey"])
 
 
 def row_numbers(spark: SparkSession, folder: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, types as T
 
-from millrace.defaults import REQUIRED_COLUMNS, REVIEW_FIELDS
+from millrace.defaults import REQUIRED_COLUMNS, REVIEW_DDL
 from millrace.errors import MissingColumnsError, SchemaError
 
 
@@ -33,7 +33,8 @@ def build_schema(fields: Iterable[Mapping]) -> T.StructType:
 
 
 def review_schema() -> T.StructType:
-    return build_schema(REVIEW_FIELDS)
+    """The record of the review stream."""
+    return T.StructType.fromDDL(REVIEW_DDL)
 
 
 def as_schema(schema: T.StructType | str) -> T.StructType:

@@ -12,7 +12,8 @@ from tests.conftest import plan_of, rows
 
 
 def docs(spark, *texts):
-    return spark.createDataFrame([(t, f"f{i}") for i, t in enumerate(texts)], "value string, file string")
+    rows = [(text, f"f{i}") for i, text in enumerate(texts)]
+    return spark.createDataFrame(rows, "value string, file string")
 
 
 def shop(**fields):

@@ -94,7 +94,8 @@ def test_shards_hold_every_valid_line_once_and_in_order(spark, tmp_path):
     assert all(abs(r["bytes"] - 10_000) <= 150 for s, r in shards.items() if s != max(shards))
     got = []
     for shard in sorted(shards):
-        for file in (f for f in back.where(F.col("shard_id") == shard).select("file").distinct().collect()):
+        files = back.where(F.col("shard_id") == shard).select("file").distinct()
+        for file in files.collect():
             text = open(file["file"].removeprefix("file:").replace("///", "/")).read()
             got += [json.loads(line)["i"] for line in text.splitlines()]
     assert got == list(range(3000))
@@ -168,7 +169,12 @@ def test_run_load_counts(spark):
     append_parquet(spark.range(5), path)
     target = parquet_target(scratch_path(spark, "test-final"))
     assert run_load(spark, path, target, "id bigint").rows_added == 5
-    assert run_load(spark, path, target, load_id="l", keys=["id"], new_table=True).rows_added == 5
+    with pytest.raises(LoadError, match="load_id"):
+        run_load(spark, path, target, load_id="l", keys=["id"])
+    fresh = parquet_target(scratch_path(spark, "test-fresh"))
+    for expected in (5, 0):
+        report = run_load(spark, path, fresh, load_id="l", keys=["id"], new_table=True)
+        assert report.rows_added == expected
 
 
 # No database runs in the tests: these check what Spark's JDBC source is asked for.
@@ -235,7 +241,8 @@ def test_landed_chunks_are_one_file_each(spark):
 
 def test_scratch_follows_the_session(spark):
     fake = MagicMock()
-    fake.conf.get = lambda key, default=None: {"spark.checkpoint.dir": "s3a://b/ck/"}.get(key, default)
+    shared = {"spark.checkpoint.dir": "s3a://b/ck/"}
+    fake.conf.get = lambda key, default=None: shared.get(key, default)
     assert scratch_root(fake) == "s3a://b/ck"
     fake.conf.get = lambda key, default=None: {"spark.master": "yarn"}.get(key, default)
     with pytest.raises(ScratchError):

@@ -33,7 +33,11 @@ def test_triggers():
 
 def test_restart_reads_only_new_files(spark, base):
     def run():
-        wait(start_stamped_copy(spark, f"{base}/in", f"{base}/out", f"{base}/state", "id bigint", "once"))
+        wait(
+            start_stamped_copy(
+                spark, f"{base}/in", f"{base}/out", f"{base}/state", "id bigint", "once"
+            )
+        )
 
     append_parquet(spark.range(5), f"{base}/in")
     run()
@@ -59,7 +63,8 @@ def test_one_stamp_per_micro_batch(spark, base):
 
 def test_review_schema_is_the_default_and_absent_columns_are_null(spark, base):
     append_parquet(spark.sql("select 1 as Id, 'p' as ProductId"), f"{base}/in")
-    wait(start_parquet_sink(stream_parquet(spark, f"{base}/in"), f"{base}/out", f"{base}/s", "once"))
+    source = stream_parquet(spark, f"{base}/in")
+    wait(start_parquet_sink(source, f"{base}/out", f"{base}/s", "once"))
     row = spark.read.parquet(f"{base}/out").first()
     assert row["Id"] == 1 and row["Text"] is None and len(row) == 11
 
