@@ -60,11 +60,11 @@ def is_json(text: Column) -> Column:
     parsed = F.from_json(
         F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')), "array<string>", PARSE_OPTIONS
     )
-    cut_short = (text.startswith("{") & ~text.endswith("}")) | (
-        text.startswith("[") & ~text.endswith("]")
+    cut_short = text.startswith("[") & ~text.endswith("]")
+    other = F.when(~cut_short, F.array_position(parsed, mark) == 2)
+    return F.when(text.startswith("{"), is_json_object(text)).otherwise(
+        F.coalesce(other, F.lit(False))
     )
-    found = F.when(~cut_short, F.array_position(parsed, mark) == 2)
-    return F.coalesce(found, F.lit(False))
 
 
 def is_json_object(text: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.functions.json_text import first_char, is_json, is_json_object, strip_space
+from millrace.functions.json_text import first_char, is_json, strip_space
 from millrace.scratch import stage
 from millrace.sources.text import read_documents, read_lines
 
@@ -23,23 +23,17 @@ def profile_lines(lines: DataFrame, with_schema: bool = True) -> DataFrame:
         "block",
         strip_space(F.col("value")).alias("_text"),
         F.monotonically_increasing_id().alias("_row"),
-    ).select(
-        "file",
-        "block",
-        "_row",
-        "_text",
-        is_json(text).alias("_valid"),
-        is_json_object(text).alias("_object"),
-    )
+    ).select("file", "block", "_row", "_text", is_json(text).alias("_valid"))
+    is_object = F.col("_valid") & text.startswith("{")
     measures = [
         F.count(F.lit(1)).alias("lines"),
         F.count_if(text == "").alias("blank_lines"),
         F.count_if("_valid").alias("valid_lines"),
         F.min_by(F.when(text != "", first_char(text)), F.when(text != "", place)).alias("_head"),
-        F.min_by(F.when(F.col("_object"), text), F.when(F.col("_object"), place)).alias("sample"),
+        F.min_by(F.when(is_object, text), F.when(is_object, place)).alias("sample"),
     ]
     if with_schema:
-        objects = F.try_parse_json(F.when(F.col("_object"), text))
+        objects = F.try_parse_json(F.when(is_object, text))
         measures.append(F.schema_of_variant_agg(objects).alias("sample_schema"))
     per_file = judged.groupBy("file").agg(*measures)
     head = F.coalesce(F.col("_head"), F.lit(""))
