@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.functions.json_text import first_char, is_json, strip_space
+from millrace.functions.json_text import is_json, strip_space
 from millrace.scratch import stage
 from millrace.sources.text import read_documents, read_lines
 
@@ -29,7 +29,7 @@ def profile_lines(lines: DataFrame, with_schema: bool = True) -> DataFrame:
         F.count(F.lit(1)).alias("lines"),
         F.count_if(text == "").alias("blank_lines"),
         F.count_if("_valid").alias("valid_lines"),
-        F.min_by(F.when(text != "", first_char(text)), F.when(text != "", place)).alias("_head"),
+        F.min_by(F.when(text != "", text.substr(1, 1)), F.when(text != "", place)).alias("_head"),
         F.min_by(F.when(is_object, text), F.when(is_object, place)).alias("sample"),
     ]
     if with_schema:

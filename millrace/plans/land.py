@@ -25,4 +25,5 @@ def land_in_chunks(
     Unlike paging by offset, the source is read once and no row is missed or
     repeated. Replay with ``stream_parquet(..., max_files=1)``.
     """
-    write_chunks(stamp(chunk_by_rows(df, order_by, rows, into=chunk), stamped), path, chunk)
+    chunks = chunk_by_rows(df, order_by, rows, into=chunk)
+    write_chunks(stamp(chunks, stamped), path, chunk, order_by)

@@ -33,18 +33,25 @@ def write_shards(df: DataFrame, text: str, path: str, shard: str, order_by) -> N
     """One text file per shard, under ``shard=000``, ``001``, … with rows in order.
 
     A shard is bounded in size, so no task receives more than a few shards' worth.
+    The sort starts with the very column the writer partitions by; otherwise
+    Spark would replace it with a sort of its own and lose the order of rows.
     """
+    named = df.withColumn(shard, F.format_string("%03d", F.col(shard)))
     (
-        df.repartition(shard)
+        named.repartition(shard)
         .sortWithinPartitions(shard, *order_by)
-        .select(
-            F.format_string("%03d", F.col(shard)).alias(shard), F.col(f"`{text}`").alias("value")
-        )
+        .select(shard, F.col(f"`{text}`").alias("value"))
         .write.partitionBy(shard)
         .text(path)
     )
 
 
-def write_chunks(df: DataFrame, path: str, chunk: str = "batch_id", mode: str = "append") -> None:
-    """One Parquet file per chunk under ``chunk=<n>``, for replay a chunk at a time."""
-    df.repartition(chunk).write.mode(mode).partitionBy(chunk).parquet(path)
+def write_chunks(
+    df: DataFrame, path: str, chunk: str = "batch_id", order_by=(), mode: str = "append"
+) -> None:
+    """One Parquet file per chunk under ``chunk=<n>``, for replay a chunk at a time.
+
+    The writer sorts by chunk in any case; ``order_by`` orders the rows inside.
+    """
+    ordered = df.repartition(chunk).sortWithinPartitions(chunk, *order_by)
+    ordered.write.mode(mode).partitionBy(chunk).parquet(path)

@@ -1,4 +1,5 @@
 import json
+import os
 from unittest.mock import MagicMock
 
 import pytest
@@ -101,6 +102,27 @@ def test_shards_hold_every_valid_line_once_and_in_order(spark, tmp_path):
     assert got == list(range(3000))
 
 
+def test_shards_stay_in_order_across_files_and_blocks(spark, tmp_path):
+    lines = [json.dumps({"i": i, "pad": "x" * (i % 90)}) for i in range(30_000)]
+    for part in range(3):
+        text = "\n".join(lines[part * 10_000 : (part + 1) * 10_000])
+        (tmp_path / f"in-{part}.json").write_text(text)
+    out = scratch_path(spark, "test-order")
+    block = "spark.sql.files.maxPartitionBytes"
+    spark.conf.set(block, "100kb")
+    try:
+        split_lines(read_lines(spark, str(tmp_path)), out, 400_000)
+    finally:
+        spark.conf.unset(block)
+    got = []
+    for shard in sorted(p for p in os.listdir(out) if p.startswith("shard_id=")):
+        files = [f for f in os.listdir(f"{out}/{shard}") if f.endswith(".txt")]
+        assert len(files) == 1
+        with open(f"{out}/{shard}/{files[0]}") as handle:
+            got += [json.loads(line)["i"] for line in handle]
+    assert got == list(range(30_000))
+
+
 def test_shard_names_are_padded_and_the_rule_picks_the_target(spark, tmp_path):
     (tmp_path / "in.json").write_text('[{"a":1},5,{"a":2}]')
     out = scratch_path(spark, "test-array")
@@ -236,6 +258,8 @@ def test_landed_chunks_are_one_file_each(spark):
         F.count("id"), F.min("id"), F.count_distinct(F.col("_metadata.file_path"))
     )
     assert rows(per, "batch_id") == [(1, 20, 0, 1), (2, 20, 20, 1), (3, 5, 40, 1)]
+    first = spark.read.parquet(f"{path}/batch_id=1").collect()
+    assert [r["id"] for r in first] == list(range(20))
     assert back.where("ingest_time is null").count() == 0
 
 
