@@ -21,9 +21,5 @@ class EmptyInputError(MillraceError):
     """The input holds no rows."""
 
 
-class ScratchError(MillraceError):
-    """No shared scratch folder is configured on a cluster."""
-
-
 class LoadError(MillraceError):
     """A table load did not end with the expected rows."""

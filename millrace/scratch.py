@@ -7,27 +7,21 @@ size on disk gives the optimizer a measured size for its broadcast decisions.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.errors import ScratchError
-
-_local_roots: dict[str, str] = {}
-
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one in local mode only."""
+    """The folder in ``spark.checkpoint.dir``, else a folder in the warehouse.
+
+    Both are shared by the driver and all executors, and both are read from the
+    session, so local and cluster runs take the same path.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ScratchError("set spark.checkpoint.dir to a folder every executor can reach")
-    app = spark.conf.get("spark.app.id", "local")
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="millrace-")
-    return _local_roots[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -40,3 +34,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(*staged: DataFrame | None) -> None:
+    """Delete tables made by :func:`stage`, once nothing will read them again."""
+    for df in staged:
+        if df is None:
+            continue
+        jvm = df.sparkSession._jvm
+        conf = df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)

@@ -1,3 +1,4 @@
+from pathlib import Path
 import json
 import os
 from unittest.mock import MagicMock
@@ -5,11 +6,11 @@ from unittest.mock import MagicMock
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.errors import EmptyInputError, LoadError, ScratchError
+from millrace.errors import EmptyInputError, LoadError
 from millrace.operators import json_profile
 from millrace.plans import land_in_chunks, run_load, split_to_shards
 from millrace.plans.split import split_lines
-from millrace.scratch import scratch_path, scratch_root, stage
+from millrace.scratch import drop_staged, scratch_path, scratch_root, stage
 from millrace.sinks import (
     Target,
     append_once,
@@ -268,10 +269,11 @@ def test_scratch_follows_the_session(spark):
     shared = {"spark.checkpoint.dir": "s3a://b/ck/"}
     fake.conf.get = lambda key, default=None: shared.get(key, default)
     assert scratch_root(fake) == "s3a://b/ck"
-    fake.conf.get = lambda key, default=None: {"spark.master": "yarn"}.get(key, default)
-    with pytest.raises(ScratchError):
-        scratch_root(fake)
-    fake.conf.get = lambda key, default=None: {"spark.master": "local[2]"}.get(key, default)
-    assert scratch_root(fake) == scratch_root(fake)
+    warehouse = {"spark.sql.warehouse.dir": "hdfs:/wh/"}
+    fake.conf.get = lambda key, default=None: warehouse.get(key, default)
+    assert scratch_root(fake) == "hdfs:/wh/_scratch"
     staged = stage(spark.range(3), "test-stage")
     assert rows(staged, "id") == [(0,), (1,), (2,)]
+    folder = Path(staged.inputFiles()[0].removeprefix("file:")).parent
+    drop_staged(staged, None)
+    assert not folder.exists()
