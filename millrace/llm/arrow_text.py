@@ -97,3 +97,38 @@ def free_name(df: DataFrame, base: str) -> str:
     while base.lower() in taken:
         base = "_" + base
     return base
+
+
+#: Base of the polynomial hashes; odd, so it has an inverse modulo 2 ** 64.
+POLY_BASE = 0x5851F42D4C957F2D
+_POLY_INVERSE = pow(POLY_BASE, -1, 1 << 64)
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers_of(base: int, count: int) -> np.ndarray:
+    """base ** 0 … base ** (count - 1) modulo 2 ** 64; kept for the next call."""
+    known = _powers.get(base)
+    if known is None or len(known) < count:
+        known = np.full(max(count, SLICE_BYTES + 1), np.uint64(base), np.uint64)
+        known[0] = 1
+        _powers[base] = known = np.multiply.accumulate(known)
+    return known[:count]
+
+
+def prefix_hashes(data: np.ndarray) -> np.ndarray:
+    """Polynomial hashes modulo 2 ** 64 of all prefixes of ``data`` (one more than bytes)."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers_of(POLY_BASE, len(data)), out=sums[1:])
+    return sums
+
+
+def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of data[start:end], equal for equal bytes wherever they stand."""
+    inverse = powers_of(_POLY_INVERSE, len(sums))
+    return (sums[ends] - sums[starts]) * inverse[starts]
+
+
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each string."""
+    data, offsets = flat_bytes(words)
+    return mix64(span_hashes(prefix_hashes(data), offsets[:-1], offsets[1:]) + np.diff(offsets).astype(np.uint64))

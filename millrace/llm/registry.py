@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from millrace.llm.bagminhash import bagminhash_query
 from millrace.llm.toxicity import toxicity_query
 
 QUERIES = {
+    "op4_bagminhash": bagminhash_query,
     "op10_toxicity": toxicity_query,
 }
 
