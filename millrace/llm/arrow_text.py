@@ -45,6 +45,12 @@ def spaced_words(texts: pa.Array, is_space: np.ndarray) -> tuple[pa.Array, np.nd
 
     The words come as one large_string array in reading order.
     """
+    words, counts, _ = placed_words(texts, is_space)
+    return words, counts
+
+
+def placed_words(texts: pa.Array, is_space: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """As :func:`spaced_words`, with the byte at which each word begins, counted over all texts."""
     data, offsets = flat_bytes(texts)
     inside = ~is_space[data]
     begins = inside.copy()
@@ -62,7 +68,7 @@ def spaced_words(texts: pa.Array, is_space: np.ndarray) -> tuple[pa.Array, np.nd
     words = pa.LargeStringArray.from_buffers(
         len(starts), pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(packed)
     )
-    return words, counts
+    return words, counts, starts
 
 
 def byte_flags(*ranges: tuple[int, int]) -> np.ndarray:

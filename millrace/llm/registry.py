@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from millrace.llm.bagminhash import bagminhash_query
+from millrace.llm.fmindex import fmindex_query
 from millrace.llm.toxicity import toxicity_query
 
 QUERIES = {
     "op4_bagminhash": bagminhash_query,
+    "op9_fmindex": fmindex_query,
     "op10_toxicity": toxicity_query,
 }
 

@@ -1,0 +1,105 @@
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+
+from millrace.llm import fmindex as fm
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words_of(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return WORD.findall(lowered)
+
+
+def brute(docs, items):
+    windows = {}
+    for item, text in items:
+        words = words_of(text)
+        for i in range(max(1, len(words) - 12) if words else 0):
+            windows.setdefault(tuple(words[i : i + 13]), set()).add(item)
+    result = []
+    for doc_id, text in docs:
+        words, hit, found = words_of(text), set(), set()
+        for size in {len(w) for w in windows}:
+            for i in range(len(words) - size + 1):
+                if (got := windows.get(tuple(words[i : i + size]))) is not None:
+                    hit |= set(range(i, i + size))
+                    found |= got
+        names = sorted(str(x) for x in found if x is not None)
+        digest = hashlib.sha256(",".join(names).encode()).hexdigest()
+        result.append((doc_id, len(words), len(hit), len(names), digest, len(hit) > 0 and 20 * len(hit) >= len(words)))
+    return sorted(result, key=str)
+
+
+def corpus():
+    rng = random.Random(2)
+    vocabulary = ["the", "of", "Été", "x1", "straße", "and", "on", "in", "zzz"]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 40)))) for i in range(2, 30)]
+    items += [(1, items[0][1]), (10, ""), (11, None), (None, "only here once"), (12, "--- !!"), (2, "Twice told")]
+    docs = [(0, None), (1, ""), (2, "The the the"), (3, "..."), (3, "only HERE\nonce"), (4, "of " * 3000)]
+    for i in range(5, 90):
+        body = [rng.choice([*vocabulary, "alien", "ufo"]) for _ in range(rng.randint(1, 300))]
+        if i % 3 == 0:
+            at = rng.randrange(len(body))
+            body[at:at] = rng.choice(items[:20])[1].upper().replace("É", "é").split()
+        docs.append((i, (", " if i % 2 else "\n").join(body)))
+    return docs, items
+
+
+@pytest.mark.parametrize("part_bytes", [1 << 20, 700])
+def test_against_all_windows(spark, part_bytes, monkeypatch):
+    monkeypatch.setattr(fm, "PART_BYTES", part_bytes)
+    docs, items = corpus()
+    documents = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found, names = fm.find_phrases(documents, benchmark, part_bytes=part_bytes)
+    got = [
+        (r.doc_id, r.n_words, r.n_hit, len(r["items"]), hashlib.sha256(",".join(r["items"]).encode()).hexdigest())
+        for r in found.collect()
+    ]
+    assert sorted(got, key=str) == [r[:5] for r in brute(docs, items)]
+
+
+def test_spans_cover_the_hit_words(spark):
+    docs, items = corpus()
+    documents = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = fm.contamination(documents, benchmark).collect()
+    texts = dict(docs[5:])
+    for row in rows:
+        if row.doc_id in texts and row.doc_id > 3:
+            data = texts[row.doc_id].encode()
+            inside = [len(words_of(data[s["first"] : s["end"]].decode())) for s in row.spans]
+            assert sum(inside) == row.n_hit
+    assert sorted((tuple(r)[:6] for r in rows), key=str) == brute(docs, items)
+
+
+def test_stage_keeps_columns_and_clean_documents(spark):
+    docs, items = corpus()
+    rows = [(i, t, i, "a") for i, t in docs]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, n_hit long, items string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    kept = fm.drop_contaminated(documents, benchmark)
+    assert kept.columns == documents.columns
+    want = [(r[0], r[0]) for r in brute(docs, items) if not r[5]]
+    assert sorted((r.doc_id, r.n_hit) for r in kept.collect()) == sorted(want)
+
+
+def test_empty_tables(spark):
+    documents = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    nothing = spark.createDataFrame([], "item_id long, text string")
+    assert sorted(r.n_hit for r in fm.contamination(documents, nothing).collect()) == [0, 0]
+    assert fm.contamination(documents.limit(0), nothing).count() == 0
+
+
+def test_suffix_order():
+    rng = np.random.default_rng(1)
+    text = rng.integers(0, 4, 500)
+    text[0] = text[-1] = 0
+    key = [(-(500 - i), 0) if s == 0 else (s, 0) for i, s in enumerate(text)]
+    want = sorted(range(500), key=lambda i: key[i:])
+    assert fm.suffix_order(text).tolist() == want
