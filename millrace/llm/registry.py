@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from millrace.llm.bagminhash import bagminhash_query
 from millrace.llm.fmindex import fmindex_query
+from millrace.llm.mixing import ORACLE as MIXING_SQL, mixing_query
 from millrace.llm.toxicity import toxicity_query
 
 QUERIES = {
     "op4_bagminhash": bagminhash_query,
+    "op8_mixing": mixing_query,
     "op9_fmindex": fmindex_query,
     "op10_toxicity": toxicity_query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_mixing": MIXING_SQL,
+}
