@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm.bagminhash import drop_near_duplicates
+from millrace.llm.fmindex import decontaminate
+from millrace.llm.mixing import mix_sources
+from millrace.llm.records import write_tokens
 from millrace.llm.toxicity import drop_toxic
 from millrace.scratch import stage
 
-STAGES = [("toxicity", drop_toxic)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", drop_near_duplicates),
+    ("decontamination", decontaminate),
+    ("mixing", mix_sources),
+    ("token_records", write_tokens),
+]
 
 #: Classifiers, signatures and token records are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
