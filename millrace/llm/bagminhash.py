@@ -9,12 +9,13 @@ only drawn up to a time by which all cells are filled.
 
 Signatures are banded; documents that share a band are compared by their whole multisets, and
 links of at least the threshold join classes. Every pair of texts that shares a band is either in
-one class already or compared:
+one class already or compared (see below):
 
 * Equal word sequences are one text from the start, so a large group of copies is one row.
-* In each bucket a leader (the text with most neighbours) is compared with all others, then
-  leaves; buckets of one class are done, small ones are compared pair by pair. This repeats until
-  no bucket holds two classes.
+* In each bucket all others are compared with its leader, the text with most neighbours. That joins
+  a large group of near copies by one link each.
+* Members of a bucket that are then still in different classes are compared with each other, first
+  by one byte of each cell, in blocks, then whole if those bytes agree nearly enough.
 
 Defined results: words are runs of ASCII letters, digits and non-ASCII characters, lower-cased. A
 text of fewer words than a shingle is one shingle; a text without words equals only the same text,
@@ -50,8 +51,12 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 BANDS = 30
 ROWS = 5
-#: Buckets of at most so many texts are compared pair by pair, larger ones by leaders.
-SMALL_BUCKET = 24
+#: Members of one bucket that are still apart are compared in blocks of about so many.
+BLOCK_ROWS = 1024
+#: Pairs of sketches in memory at once.
+PAIRS_AT_ONCE = 200_000
+#: A pair is compared whole unless its sketches agree less than the similarity by so much (4.6 standard errors).
+SKETCH_SLACK = 0.15
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _SEPARATORS = ~byte_flags((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF))
@@ -172,7 +177,7 @@ def _band_hashes(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def _signed(documents: DataFrame, bands: int, rows: int) -> DataFrame:
-    """doc_id, digest and band hashes (none for a text without words)."""
+    """doc_id, digest, band hashes (none for a text without words) and a byte of each cell."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,8 +193,9 @@ def _signed(documents: DataFrame, bands: int, rows: int) -> DataFrame:
                         part.column("doc_id"),
                         pa.array(_digests(texts, words, counts), pa.binary()),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                        pa.array([row.tobytes() for row in signature.astype(np.uint8)], pa.binary()),
                     ],
-                    ["doc_id", "digest", "bands"],
+                    ["doc_id", "digest", "bands", "sketch"],
                 )
 
     ids = documents.schema["doc_id"].dataType
@@ -198,6 +204,7 @@ def _signed(documents: DataFrame, bands: int, rows: int) -> DataFrame:
             T.StructField("doc_id", ids),
             T.StructField("digest", T.BinaryType()),
             T.StructField("bands", T.ArrayType(T.LongType())),
+            T.StructField("sketch", T.BinaryType()),
         ]
     )
     return documents.select("doc_id", "text").mapInArrow(sign, schema)
@@ -244,73 +251,106 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return pairs.join(left, "a").join(right, "b").mapInArrow(compare, "a long, b long")
 
 
+def _similar(members: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of members of a bucket with different labels whose sketches agree enough.
+
+    ``members`` has bucket, size, node, label and sketch. A large bucket is dealt in blocks, and each
+    pair of blocks is a group of its own, so a group has a bounded number of rows.
+    """
+    blocks = F.expr(f"size div {BLOCK_ROWS} + 1").cast("int")
+    dealt = members.withColumn("blocks", blocks).withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    )
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "bucket",
+        F.least("block", "other").alias("low"),
+        F.greatest("block", "other").alias("high"),
+        "label",
+        "block",
+        "node",
+        "sketch",
+    )
+    keys = ["bucket", "low", "high"]
+
+    def pairs_of(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        key = np.stack([rows[c].to_numpy() for c in keys])
+        label, block, node = (rows[c].to_numpy() for c in ("label", "block", "node"))
+        width = len(rows["sketch"][0].as_py())
+        sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8).reshape(-1, width)
+        new_group = np.ones(len(node), bool)
+        new_group[1:] = (key[:, 1:] != key[:, :-1]).any(axis=0)
+        new_label = new_group.copy()
+        new_label[1:] |= label[1:] != label[:-1]
+        at = np.arange(len(node))
+        group = np.maximum.accumulate(np.where(new_group, at, 0))
+        earlier = np.maximum.accumulate(np.where(new_label, at, 0)) - group  # rows of other labels before this one
+        across = key[1] != key[2]
+        done, ends = 0, np.cumsum(earlier)
+        while done < len(node):
+            stop = max(done + 1, int(np.searchsorted(ends, (ends[done - 1] if done else 0) + PAIRS_AT_ONCE)))
+            part = slice(done, stop)
+            one, two = np.repeat(at[part], earlier[part]), ragged(group[part], earlier[part])
+            between = ~across[one] | (block[one] != block[two])
+            one, two = one[between], two[between]
+            agree = (sketch[one] == sketch[two]).mean(axis=1)
+            close = agree >= least
+            one, two = node[one[close]], node[two[close]]
+            if len(one):
+                ends_of = [pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))]
+                yield pa.RecordBatch.from_arrays(ends_of, ["a", "b"])
+            done = stop
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            same = np.logical_and.reduce([rows[c].to_numpy() == rows[c][-1].as_py() for c in keys])
+            whole = int(np.flatnonzero(same)[0])  # the last group may go on
+            if whole:
+                yield from pairs_of(rows.slice(0, whole))
+            held = rows.slice(whole)
+        if held is not None and len(held):
+            yield from pairs_of(held)
+
+    return dealt.repartition(*keys).sortWithinPartitions(*keys, "label").mapInArrow(compare, "a long, b long")
+
+
 def _classes(documents: DataFrame, similarity: float, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
     """Signed documents, and digest with the node number that stands for its class."""
     signed = stage(_signed(documents, bands, rows), "signed")
     # Written once, so that the numbers hold for all that reads them.
     nodes = stage(
-        signed.groupBy("digest").agg(F.first("bands").alias("bands")).withColumn(
-            "node", F.monotonically_increasing_id()
-        ),
+        signed.groupBy("digest")
+        .agg(F.first(F.struct("bands", "sketch")).alias("sign"))
+        .select("digest", "sign.*", F.monotonically_increasing_id().alias("node")),
         "nodes",
     )
-    rows_of = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = rows_of.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    member = rows_of.join(shared, "bucket")
-    ranks = stage(member, "members")
-    reach = ranks.groupBy("node").agg(F.sum("size").alias("reach"))
-    members = stage(ranks.select("bucket", "node").join(reach, "node"), "ranked")
-    wanted = nodes.join(reach.select("node"), "node").select("digest", "node")
+    in_bucket = nodes.select("node", F.explode("bands").alias("bucket"))
+    shared = in_bucket.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    members = stage(in_bucket.join(shared, "bucket"), "members")
+    reach = members.groupBy("node").agg(F.sum("size").alias("reach"))
+    wanted = nodes.select("digest", "node").join(reach, "node")
     first_text = _with_digest(documents.select("text"), "digest").groupBy("digest").agg(F.first("text").alias("text"))
-    texts = stage(first_text.join(wanted, "digest").select("node", "text"), "texts")
-
-    classes = None  # node, label of the nodes that are linked to others
-    links = None
-    tested = None
-    while True:
-        if classes is not None:
-            members = members.join(classes, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        else:
-            members = members.withColumn("label", F.col("node"))
-        leader = F.max(F.struct("reach", "node", "label")).alias("leader")
-        state = members.groupBy("bucket").agg(
-            leader, F.count("*").alias("size"), (F.min("label") < F.max("label")).alias("mixed")
-        )
-        state = state.where("mixed")
-        open_members = stage(members.join(state, "bucket"), "open")
-        if open_members.isEmpty():
-            break
-        led = open_members.where(f"size > {SMALL_BUCKET} and label != leader.label").select(
-            F.col("node").alias("a"), F.col("leader.node").alias("b")
-        )
-        small = (
-            open_members.where(f"size <= {SMALL_BUCKET}")
-            .groupBy("bucket")
-            .agg(F.collect_list(F.struct("node", "label")).alias("all"))  # at most SMALL_BUCKET
-            .select(F.explode("all").alias("one"), "all")
-            .select("one", F.explode("all").alias("other"))
-            .where("one.node < other.node and one.label != other.label")
-            .select(F.col("one.node").alias("a"), F.col("other.node").alias("b"))
-        )
-        pairs = (
-            led.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(small).distinct()
-        )
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        found = stage(_verified(pairs, texts, similarity), "links")
-        tested = pairs if tested is None else tested.union(pairs)
-        links = found if links is None else links.union(found)
-        classes = connected(links)
-        # Small buckets are done; leaders have met every member of their bucket.
-        members = open_members.where(f"size > {SMALL_BUCKET} and node != leader.node").select(
-            "bucket", "node", "reach"
-        )
-    named = nodes.select("digest", "node")
-    if classes is not None:
-        named = named.join(classes, "node", "left")
-    else:
-        named = named.withColumn("label", F.col("node"))
+    texts = stage(first_text.join(wanted, "digest").select("node", "text", "reach"), "texts")
+
+    # First every text meets the leader of each of its buckets.
+    ranked = members.select("bucket", "node").join(texts.select("node", "reach"), "node")
+    leaders = ranked.groupBy("bucket").agg(F.max(F.struct("reach", "node")).alias("leader"))
+    led = members.join(leaders, "bucket").where("node != leader.node")
+    ends = [F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")]
+    pairs = stage(led.select(*ends).distinct(), "pairs")
+    links = stage(_verified(pairs, texts, similarity), "links")
+    classes = connected(links)
+
+    # Then the members of a bucket that are still apart meet each other.
+    labelled = members.join(classes, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = labelled.groupBy("bucket").agg((F.min("label") < F.max("label")).alias("mixed")).where("mixed")
+    apart = labelled.join(mixed, "bucket").join(nodes.select("node", "sketch"), "node")
+    close = stage(_similar(apart, similarity - SKETCH_SLACK).distinct().join(pairs, ["a", "b"], "left_anti"), "close")
+    more = stage(_verified(close, texts, similarity), "links")
+    classes = connected(links.union(more))
+    named = nodes.select("digest", "node").join(classes, "node", "left")
     return signed, named.select("digest", F.coalesce("label", "node").alias("label"))
 
 

@@ -6,10 +6,12 @@ from millrace.llm.bagminhash import bagminhash_query
 from millrace.llm.fmindex import fmindex_query
 from millrace.llm.mixing import ORACLE as MIXING_SQL, mixing_query
 from millrace.llm.records import records_query
+from millrace.llm.token_counts import token_counts_query
 from millrace.llm.toxicity import toxicity_query
 
 QUERIES = {
     "op1_records": records_query,
+    "op3_token_counts": token_counts_query,
     "op4_bagminhash": bagminhash_query,
     "op8_mixing": mixing_query,
     "op9_fmindex": fmindex_query,

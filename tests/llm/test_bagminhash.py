@@ -77,9 +77,10 @@ def test_signature_does_not_depend_on_the_company():
     assert (whole[counts > 0] != 0).all()
 
 
-@pytest.mark.parametrize("small_bucket", [2, 24])
-def test_classes_match_all_pairs(spark, small_bucket, monkeypatch):
-    monkeypatch.setattr(bag, "SMALL_BUCKET", small_bucket)
+@pytest.mark.parametrize("block", [2, 1024])
+def test_classes_match_all_pairs(spark, block, monkeypatch):
+    monkeypatch.setattr(bag, "BLOCK_ROWS", block)
+    monkeypatch.setattr(bag, "PAIRS_AT_ONCE", 50 * block)
     texts = sample_texts()
     rows = [(i, t, "x") for i, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, digest string").repartition(4)
