@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from millrace.llm.bagminhash import bagminhash_query
+from millrace.llm.divergence import divergence_query
 from millrace.llm.fmindex import fmindex_query
 from millrace.llm.mixing import ORACLE as MIXING_SQL, mixing_query
 from millrace.llm.records import records_query
@@ -11,6 +12,7 @@ from millrace.llm.toxicity import toxicity_query
 
 QUERIES = {
     "op1_records": records_query,
+    "op2_divergence": divergence_query,
     "op3_token_counts": token_counts_query,
     "op4_bagminhash": bagminhash_query,
     "op8_mixing": mixing_query,
