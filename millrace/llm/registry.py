@@ -7,6 +7,7 @@ from millrace.llm.divergence import divergence_query
 from millrace.llm.fmindex import fmindex_query
 from millrace.llm.mixing import ORACLE as MIXING_SQL, mixing_query
 from millrace.llm.records import records_query
+from millrace.llm.suffixes import suffixes_query
 from millrace.llm.token_counts import token_counts_query
 from millrace.llm.toxicity import toxicity_query
 
@@ -15,11 +16,13 @@ QUERIES = {
     "op2_divergence": divergence_query,
     "op3_token_counts": token_counts_query,
     "op4_bagminhash": bagminhash_query,
+    "op6_suffixes": suffixes_query,
     "op8_mixing": mixing_query,
     "op9_fmindex": fmindex_query,
     "op10_toxicity": toxicity_query,
 }
 
 ORACLES: dict[str, str] = {
+    "op6_suffixes": suffixes_query,
     "op8_mixing": MIXING_SQL,
 }
