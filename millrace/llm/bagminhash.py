@@ -15,7 +15,8 @@ one class already or compared (see below):
 * In each bucket all others are compared with its leader, the text with most neighbours. That joins
   a large group of near copies by one link each.
 * Members of a bucket that are then still in different classes are compared with each other, first
-  by one byte of each cell, in blocks, then whole if those bytes agree nearly enough.
+  by one byte of each cell, then whole if those bytes agree nearly enough. A large bucket is met in
+  pairs of blocks; what leaves a task is one link for each two classes that it joins.
 
 Defined results: words are runs of ASCII letters, digits and non-ASCII characters, lower-cased. A
 text of fewer words than a shingle is one shingle; a text without words equals only the same text,
@@ -52,7 +53,9 @@ SIMILARITY = 0.8
 BANDS = 30
 ROWS = 5
 #: Members of one bucket that are still apart are compared in blocks of about so many.
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 512
+#: Shingles of pairs in memory at once.
+SHINGLES_AT_ONCE = 1_000_000
 #: Pairs of sketches in memory at once.
 PAIRS_AT_ONCE = 200_000
 #: A pair is compared whole unless its sketches agree less than the similarity by so much (4.6 standard errors).
@@ -177,7 +180,7 @@ def _band_hashes(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def _signed(documents: DataFrame, bands: int, rows: int) -> DataFrame:
-    """doc_id, digest, band hashes (none for a text without words) and a byte of each cell."""
+    """doc_id, digest, band hashes (none for a text without words) and a sketch: a byte of each cell, four of each band."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,6 +189,8 @@ def _signed(documents: DataFrame, bands: int, rows: int) -> DataFrame:
                 hashes, owner, words, counts = _shingles(texts)
                 signature = signatures(*_multisets(hashes, owner), len(texts), bands * rows)
                 found = _band_hashes(signature, bands, rows)
+                names = found.astype("<u4").view(np.uint8).reshape(len(texts), -1)
+                sketch = np.concatenate((signature.astype(np.uint8), names), axis=1)
                 flat = found[counts > 0].reshape(-1)
                 ends = np.concatenate(([0], np.cumsum(np.where(counts > 0, bands, 0)))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -193,7 +198,7 @@ def _signed(documents: DataFrame, bands: int, rows: int) -> DataFrame:
                         part.column("doc_id"),
                         pa.array(_digests(texts, words, counts), pa.binary()),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                        pa.array([row.tobytes() for row in signature.astype(np.uint8)], pa.binary()),
+                        pa.array([row.tobytes() for row in sketch], pa.binary()),
                     ],
                     ["doc_id", "digest", "bands", "sketch"],
                 )
@@ -223,27 +228,50 @@ def _with_digest(documents: DataFrame, into: str) -> DataFrame:
     return documents.mapInArrow(digest, schema)
 
 
+def _overlapping(
+    pairs: tuple[np.ndarray, np.ndarray], multisets: tuple[np.ndarray, ...], texts: int, similarity: float
+) -> np.ndarray:
+    """Which pairs of text numbers overlap enough as whole multisets."""
+    owner, hashes, counts = multisets
+    ends = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=texts))))
+    weight = np.bincount(owner, counts, minlength=texts)
+    one, two = pairs
+    # A pair whose weights are too far apart cannot overlap enough.
+    least, most = np.minimum(weight[one], weight[two]), np.maximum(weight[one], weight[two])
+    linked = (least > 0) & (least >= similarity * most - 1e-9)
+    open_pairs = np.flatnonzero(linked)
+    sizes = np.cumsum((ends[one + 1] - ends[one] + ends[two + 1] - ends[two])[open_pairs])
+    done = 0
+    while done < len(open_pairs):
+        held = sizes[done - 1] if done else 0
+        stop = max(done + 1, int(np.searchsorted(sizes, held + SHINGLES_AT_ONCE)))
+        part = open_pairs[done:stop]
+        both = np.stack((one[part], two[part]), axis=1).reshape(-1)
+        length = ends[both + 1] - ends[both]
+        at = ragged(ends[both], length)
+        pair = np.repeat(np.arange(len(both)) // 2, length)
+        order = np.lexsort((hashes[at], pair))
+        pair, at = pair[order], at[order]
+        same = (pair[1:] == pair[:-1]) & (hashes[at[1:]] == hashes[at[:-1]])
+        least_count = np.minimum(counts[at[1:]], counts[at[:-1]])[same]
+        shared = np.bincount(pair[1:][same], least_count, minlength=len(part))
+        whole = weight[one[part]] + weight[two[part]] - shared
+        linked[part] = shared >= similarity * whole - 1e-9
+        done = stop
+    return linked
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose shingle multisets overlap enough."""
+    """The pairs (a, b) of nodes whose texts overlap enough."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text_a"):
-                sides = []
-                for column in ("text_a", "text_b"):
-                    hashes, owner, _, _ = _shingles(texts_of(part, column))
-                    sides.append(_multisets(hashes, owner))
-                (own_a, hash_a, n_a), (own_b, hash_b, n_b) = sides
-                owner, hashes = np.concatenate((own_a, own_b)), np.concatenate((hash_a, hash_b))
-                counts = np.concatenate((n_a, n_b))
-                order = np.lexsort((hashes, owner))
-                owner, hashes, counts = owner[order], hashes[order], counts[order]
-                both = (owner[1:] == owner[:-1]) & (hashes[1:] == hashes[:-1])
-                shared = np.bincount(
-                    owner[1:][both], np.minimum(counts[1:], counts[:-1])[both], minlength=part.num_rows
-                )
-                whole = np.bincount(owner, counts, minlength=part.num_rows) - shared
-                linked = (shared > 0) & (shared >= similarity * whole - 1e-9)
+                both = pa.concat_arrays([texts_of(part, "text_a"), texts_of(part, "text_b")])
+                hashes, owner, _, _ = _shingles(both)
+                rows = np.arange(part.num_rows)
+                found = (rows, rows + len(rows))
+                linked = _overlapping(found, _multisets(hashes, owner), len(both), similarity)
                 yield part.select(["a", "b"]).filter(pa.array(linked))
 
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -251,11 +279,60 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return pairs.join(left, "a").join(right, "b").mapInArrow(compare, "a long, b long")
 
 
-def _similar(members: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) of members of a bucket with different labels whose sketches agree enough.
+_GROUP = ["bucket", "low", "high"]
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by group, in tables that hold whole groups."""
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if held is None else pa.concat_tables([held, rows])
+        same = np.logical_and.reduce([rows[c].to_numpy() == rows[c][-1].as_py() for c in _GROUP])
+        whole = int(np.flatnonzero(same)[0])  # the last group may go on
+        if whole:
+            yield rows.slice(0, whole)
+        held = rows.slice(whole)
+    if held is not None and len(held):
+        yield held
 
-    ``members`` has bucket, size, node, label and sketch. A large bucket is dealt in blocks, and each
-    pair of blocks is a group of its own, so a group has a bounded number of rows.
+
+def _close_pairs(rows: pa.Table, bands: int, cells: int, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers of pairs of one group with different labels that agree enough in their sketches.
+
+    A pair counts only in the first of the buckets that it shares.
+    """
+    low, high, label, block, band = (rows[c].to_numpy() for c in ("low", "high", "label", "block", "band"))
+    sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8).reshape(len(rows), -1)
+    names = np.ascontiguousarray(sketch[:, cells:]).view("<u4")
+    at = np.arange(len(rows))
+    new_group = np.ones(len(rows), bool)
+    new_group[1:] = np.logical_or.reduce([rows[c].to_numpy()[1:] != rows[c].to_numpy()[:-1] for c in _GROUP])
+    new_label = new_group.copy()
+    new_label[1:] |= label[1:] != label[:-1]
+    group = np.maximum.accumulate(np.where(new_group, at, 0))
+    earlier = np.maximum.accumulate(np.where(new_label, at, 0)) - group  # rows of other labels before this one
+    across = low != high
+    done, ends = 0, np.cumsum(earlier)
+    while done < len(rows):
+        held = ends[done - 1] if done else 0
+        stop = max(done + 1, int(np.searchsorted(ends, held + PAIRS_AT_ONCE)))
+        one, two = np.repeat(at[done:stop], earlier[done:stop]), ragged(group[done:stop], earlier[done:stop])
+        fit = ~across[one] | (block[one] != block[two])
+        one, two = one[fit], two[fit]
+        fit = (sketch[one, :cells] == sketch[two, :cells]).mean(axis=1) >= least
+        one, two = one[fit], two[fit]
+        fit = (names[one] == names[two]).argmax(axis=1) == band[one]
+        yield one[fit], two[fit]
+        done = stop
+
+
+def _links_apart(members: DataFrame, texts: DataFrame, similarity: float, bands: int, cells: int) -> DataFrame:
+    """Links (a, b) that join labels inside buckets; a spanning set of those in each group.
+
+    ``members`` has bucket, band, size, node, label and sketch. A large bucket is dealt in blocks, and
+    each pair of blocks is a group of its own, so a group has a bounded number of rows. Texts join only
+    those members that have a close partner, and pairs never leave the task that holds the group.
     """
     blocks = F.expr(f"size div {BLOCK_ROWS} + 1").cast("int")
     dealt = members.withColumn("blocks", blocks).withColumn(
@@ -267,53 +344,48 @@ def _similar(members: DataFrame, least: float) -> DataFrame:
         F.greatest("block", "other").alias("high"),
         "label",
         "block",
+        "band",
         "node",
         "sketch",
     )
-    keys = ["bucket", "low", "high"]
-
-    def pairs_of(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        key = np.stack([rows[c].to_numpy() for c in keys])
-        label, block, node = (rows[c].to_numpy() for c in ("label", "block", "node"))
-        width = len(rows["sketch"][0].as_py())
-        sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8).reshape(-1, width)
-        new_group = np.ones(len(node), bool)
-        new_group[1:] = (key[:, 1:] != key[:, :-1]).any(axis=0)
-        new_label = new_group.copy()
-        new_label[1:] |= label[1:] != label[:-1]
-        at = np.arange(len(node))
-        group = np.maximum.accumulate(np.where(new_group, at, 0))
-        earlier = np.maximum.accumulate(np.where(new_label, at, 0)) - group  # rows of other labels before this one
-        across = key[1] != key[2]
-        done, ends = 0, np.cumsum(earlier)
-        while done < len(node):
-            stop = max(done + 1, int(np.searchsorted(ends, (ends[done - 1] if done else 0) + PAIRS_AT_ONCE)))
-            part = slice(done, stop)
-            one, two = np.repeat(at[part], earlier[part]), ragged(group[part], earlier[part])
-            between = ~across[one] | (block[one] != block[two])
-            one, two = one[between], two[between]
-            agree = (sketch[one] == sketch[two]).mean(axis=1)
-            close = agree >= least
-            one, two = node[one[close]], node[two[close]]
-            if len(one):
-                ends_of = [pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))]
-                yield pa.RecordBatch.from_arrays(ends_of, ["a", "b"])
-            done = stop
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            rows = rows if held is None else pa.concat_tables([held, rows])
-            same = np.logical_and.reduce([rows[c].to_numpy() == rows[c][-1].as_py() for c in keys])
-            whole = int(np.flatnonzero(same)[0])  # the last group may go on
-            if whole:
-                yield from pairs_of(rows.slice(0, whole))
-            held = rows.slice(whole)
-        if held is not None and len(held):
-            yield from pairs_of(held)
 
-    return dealt.repartition(*keys).sortWithinPartitions(*keys, "label").mapInArrow(compare, "a long, b long")
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches):
+            kept = np.zeros(len(rows), bool)
+            for one, two in _close_pairs(rows, bands, cells, similarity - SKETCH_SLACK):
+                kept[one] = kept[two] = True
+            yield from rows.filter(pa.array(kept)).to_batches()
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches):
+            hashes, owner, _, _ = _shingles(pc.fill_null(rows["text"].combine_chunks().cast(pa.large_string()), ""))
+            multisets = _multisets(hashes, owner)
+            label, node = rows["label"].to_pylist(), rows["node"].to_numpy()
+            root: dict[int, int] = {}
+
+            def top(x: int) -> int:
+                while (up := root.get(x, x)) != x:
+                    root[x] = x = root.get(up, up)
+                return x
+
+            left, right = [], []
+            for one, two in _close_pairs(rows, bands, cells, similarity - SKETCH_SLACK):
+                linked = _overlapping((one, two), multisets, len(rows), similarity)
+                for i, j in zip(one[linked].tolist(), two[linked].tolist(), strict=True):
+                    x, y = top(label[i]), top(label[j])
+                    if x != y:
+                        root[x] = y
+                        left.append(node[i])
+                        right.append(node[j])
+            if left:
+                ends = [pa.array(left, pa.int64()), pa.array(right, pa.int64())]
+                yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
+
+    def grouped(rows: DataFrame) -> DataFrame:
+        return rows.repartition(*_GROUP).sortWithinPartitions(*_GROUP, "label")
+
+    with_partner = grouped(dealt).mapInArrow(near, dealt.schema)
+    return grouped(with_partner.join(texts.select("node", "text"), "node")).mapInArrow(link, "a long, b long")
 
 
 def _classes(documents: DataFrame, similarity: float, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
@@ -326,7 +398,7 @@ def _classes(documents: DataFrame, similarity: float, bands: int, rows: int) ->
         .select("digest", "sign.*", F.monotonically_increasing_id().alias("node")),
         "nodes",
     )
-    in_bucket = nodes.select("node", F.explode("bands").alias("bucket"))
+    in_bucket = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = in_bucket.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = stage(in_bucket.join(shared, "bucket"), "members")
     reach = members.groupBy("node").agg(F.sum("size").alias("reach"))
@@ -347,8 +419,7 @@ def _classes(documents: DataFrame, similarity: float, bands: int, rows: int) ->
     labelled = members.join(classes, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = labelled.groupBy("bucket").agg((F.min("label") < F.max("label")).alias("mixed")).where("mixed")
     apart = labelled.join(mixed, "bucket").join(nodes.select("node", "sketch"), "node")
-    close = stage(_similar(apart, similarity - SKETCH_SLACK).distinct().join(pairs, ["a", "b"], "left_anti"), "close")
-    more = stage(_verified(close, texts, similarity), "links")
+    more = stage(_links_apart(apart, texts, similarity, bands, bands * rows), "links")
     classes = connected(links.union(more))
     named = nodes.select("digest", "node").join(classes, "node", "left")
     return signed, named.select("digest", F.coalesce("label", "node").alias("label"))

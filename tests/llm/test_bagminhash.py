@@ -81,6 +81,7 @@ def test_signature_does_not_depend_on_the_company():
 def test_classes_match_all_pairs(spark, block, monkeypatch):
     monkeypatch.setattr(bag, "BLOCK_ROWS", block)
     monkeypatch.setattr(bag, "PAIRS_AT_ONCE", 50 * block)
+    monkeypatch.setattr(bag, "SHINGLES_AT_ONCE", 900 * block)
     texts = sample_texts()
     rows = [(i, t, "x") for i, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, digest string").repartition(4)
