@@ -8,6 +8,7 @@ from millrace.llm.fmindex import fmindex_query
 from millrace.llm.mixing import ORACLE as MIXING_SQL, mixing_query
 from millrace.llm.records import records_query
 from millrace.llm.suffixes import suffixes_query
+from millrace.llm.templates import ORACLE as TEMPLATES_SQL, templates_query
 from millrace.llm.token_counts import token_counts_query
 from millrace.llm.toxicity import toxicity_query
 
@@ -16,6 +17,7 @@ QUERIES = {
     "op2_divergence": divergence_query,
     "op3_token_counts": token_counts_query,
     "op4_bagminhash": bagminhash_query,
+    "op5_templates": templates_query,
     "op6_suffixes": suffixes_query,
     "op8_mixing": mixing_query,
     "op9_fmindex": fmindex_query,
@@ -23,6 +25,8 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op5_templates": templates_query,
     "op6_suffixes": suffixes_query,
+    "op5_templates": TEMPLATES_SQL,
     "op8_mixing": MIXING_SQL,
 }
