@@ -6,6 +6,7 @@ from millrace.llm.bagminhash import bagminhash_query
 from millrace.llm.divergence import divergence_query
 from millrace.llm.fmindex import fmindex_query
 from millrace.llm.mixing import ORACLE as MIXING_SQL, mixing_query
+from millrace.llm.quotes import quotes_query
 from millrace.llm.records import records_query
 from millrace.llm.suffixes import suffixes_query
 from millrace.llm.templates import ORACLE as TEMPLATES_SQL, templates_query
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_bagminhash": bagminhash_query,
     "op5_templates": templates_query,
     "op6_suffixes": suffixes_query,
+    "op7_quotes": quotes_query,
     "op8_mixing": mixing_query,
     "op9_fmindex": fmindex_query,
     "op10_toxicity": toxicity_query,
