@@ -37,6 +37,9 @@ _ROW = "_row"
 _SIZE = "_size"
 _BLOCK = "_block"
 
+# Salt of the second content hash.
+_SECOND = 0x5EED
+
 # monotonically_increasing_id keeps the task number above this many bits.
 _ROW_BITS = 33
 
@@ -56,8 +59,9 @@ def _place(
     order_by: Sequence[str | Column] | None,
     segments: Sequence[str],
     size: Column | None,
+    keep: Sequence[str] | None = None,
 ) -> tuple[DataFrame, list[str]]:
-    """Write ``df`` with its segment and its row number inside the segment."""
+    """Write ``df``, or its columns ``keep``, with the segment and the row number inside it."""
     extra = {} if size is None else {_SIZE: F.coalesce(size.cast("bigint"), F.lit(0))}
     if order_by:
         # Rows that share a key still spread over several ranges and tasks: they
@@ -75,6 +79,8 @@ def _place(
                 **extra,
             }
         ).drop("_id", "_tie", "_place")
+        if keep is not None:
+            placed = placed.select(*keep, _PART, _ROW, *extra)
         return stage(placed, "placed"), [_PART]
     if not segments:
         raise ValueError("give order_by, or segments that name the file and block of each row")
@@ -82,26 +88,33 @@ def _place(
     return stage(placed, "placed"), list(segments)
 
 
-def _content_hash(df: DataFrame) -> Column:
+def _content_hash(df: DataFrame, *salt: Column) -> Column:
     """Hash of all columns Spark can hash (maps and variants are left out)."""
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     hashed = [n for n, kind in kinds.items() if "map<" not in kind and "variant" not in kind]
-    return F.xxhash64(*[F.col(f"`{n}`") for n in hashed]) if hashed else F.lit(0).cast("bigint")
+    return F.xxhash64(*salt, *[F.col(f"`{n}`") for n in hashed]) if hashed else F.lit(0).cast("bigint")
 
 
 def _offsets(placed: DataFrame, segments: list[str], total: Column) -> DataFrame:
     """Per segment: its first row number and the total of all segments before it.
 
-    One row per segment, that is per task of the placing job.
+    Segments are as many as input blocks, so they are added up in sorted ranges, and only the
+    totals of the ranges, one row per task, meet in one place.
     """
     totals = placed.groupBy(*segments).agg(
         F.min(_ROW).alias("_first"), total.cast("bigint").alias("_total")
     )
-    before = Window.orderBy(*segments).rowsBetween(Window.unboundedPreceding, -1)
-    running = totals.select(
-        *segments,
-        "_first",
-        F.coalesce(F.sum("_total").over(before), F.lit(0)).cast("bigint").alias("_offset"),
+    ranged = totals.repartitionByRange(*segments).withColumn("_range", F.spark_partition_id())
+    ranged = stage(ranged, "segment-totals")
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranged.groupBy("_range").agg(F.sum("_total").alias("_held"))
+    ranges = ranges.select("_range", F.coalesce(F.sum("_held").over(earlier), F.lit(0)).alias("_base"))
+    inside = (
+        Window.partitionBy("_range").orderBy(*segments).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    offset = F.col("_base") + F.coalesce(F.sum("_total").over(inside), F.lit(0))
+    running = ranged.join(ranges, "_range").select(
+        *segments, "_first", offset.cast("bigint").alias("_offset")
     )
     return stage(running, "offsets")
 
@@ -124,6 +137,23 @@ def number_rows(
     return placed.join(offsets, segs).select(*_own(df), position.alias(into))
 
 
+def numbered_contents(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
+    """``content_a`` and ``content_b``, two hashes of a row, and its ``position`` in the order.
+
+    The same numbers as :func:`number_rows` gives, without a copy of the other columns.
+    """
+    named = df.withColumns(content_hashes(df))
+    placed, segs = _place(named, order_by, (), None, keep=["content_a", "content_b"])
+    offsets = _offsets(placed, segs, F.count(F.lit(1)))
+    position = F.col("_offset") + F.col(_ROW) - F.col("_first")
+    return placed.join(offsets, segs).select("content_a", "content_b", position.alias("position"))
+
+
+def content_hashes(df: DataFrame) -> dict[str, Column]:
+    """Two hashes that stand for a row's content."""
+    return {"content_a": _content_hash(df), "content_b": _content_hash(df, F.lit(_SECOND))}
+
+
 def chunk_by_rows(
     df: DataFrame,
     order_by: Sequence[str | Column] | None = None,

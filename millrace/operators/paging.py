@@ -4,33 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.defaults import SAMPLE_ROWS
-from millrace.operators.chunks import number_rows
+from millrace.operators.chunks import content_hashes, numbered_contents
 
-# Up to here a page is a bounded top-k; deeper pages are cut by row number.
-TOP_K_ROWS = 100_000
 
+def page(df: DataFrame, order_by: Sequence[str | Column], offset: int, limit: int) -> DataFrame:
+    """Rows ``offset`` to ``offset + limit`` in the given order; ties are split by content.
 
-def page(
-    df: DataFrame,
-    order_by: Sequence[str | Column],
-    offset: int,
-    limit: int,
-    top_k_rows: int = TOP_K_ROWS,
-) -> DataFrame:
-    """Rows ``offset`` to ``offset + limit`` in the given (unique) order.
-
-    A shallow page is a top-k. A deep one would make every task keep
-    ``offset + limit`` rows and the driver merge them, so it goes through dense
-    row numbers instead. To read every page use :func:`chunk_by_rows` once.
+    Rows are numbered by their order columns and a hash of their content alone; the page's hashes,
+    at most ``limit`` of them, then pick the rows. The rule is the same at every size and
+    depth. Rows come in their order within the page. To read every page use
+    :func:`chunk_by_rows` once.
     """
-    if offset + limit <= top_k_rows:
-        return df.orderBy(*order_by).offset(offset).limit(limit)
-    numbered = number_rows(df, order_by, into="_position")
-    inside = F.col("_position").between(offset, offset + limit - 1)
-    return numbered.where(inside).drop("_position")
+    wanted = (
+        numbered_contents(df, order_by)
+        .where(F.col("position").between(offset, offset + limit - 1))
+        .groupBy("content_a", "content_b")
+        .agg(F.count(F.lit(1)).alias("_times"), F.min("position").alias("_position"))
+    )
+    named = df.withColumns({f"_{k}": v for k, v in content_hashes(df).items()})
+    same = (F.col("_content_a") == F.col("content_a")) & (F.col("_content_b") == F.col("content_b"))
+    # Equal rows are interchangeable: as many as the page holds of them stay.
+    copy = F.row_number().over(Window.partitionBy("content_a", "content_b").orderBy(F.lit(1)))
+    found = named.join(wanted, same).withColumn("_copy", copy).where("_copy <= _times")
+    return found.orderBy("_position").select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def sample_rows(df: DataFrame, order_by: Sequence[str | Column], n: int = SAMPLE_ROWS) -> DataFrame:

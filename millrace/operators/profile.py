@@ -37,8 +37,16 @@ def profile_lines(lines: DataFrame, with_schema: bool = True) -> DataFrame:
         measures.append(F.schema_of_variant_agg(objects).alias("sample_schema"))
     per_file = judged.groupBy("file").agg(*measures)
     head = F.coalesce(F.col("_head"), F.lit(""))
+    full_lines = F.col("lines") - F.col("blank_lines")
     return per_file.withColumns(
-        {"is_array": head == "[", "is_line_delimited": head == "{"}
+        {
+            # Lines that are all valid by themselves are records, also if each is an array; a
+            # single line that is an array is a document.
+            "is_array": (head == "[")
+            & ((F.col("valid_lines") < full_lines) | (full_lines == 1)),
+            "is_line_delimited": (head == "{")
+            | ((head == "[") & (full_lines > 1) & (F.col("valid_lines") == full_lines)),
+        }
     ).drop("_head")
 
 
@@ -46,11 +54,13 @@ def json_profile(spark: SparkSession, paths, with_schema: bool = True) -> DataFr
     """:func:`profile_lines` plus ``is_valid``.
 
     A file of lines is valid if any line is. A file that starts as an array is
-    valid if the whole document is; those files are read again whole. Only their
-    names pass through the driver, as they do in any file listing.
+    valid if the whole document is; those that are not one valid line are read again
+    whole. Only their names pass through the driver, as they do in any file listing.
     """
     per_file = stage(profile_lines(read_lines(spark, paths), with_schema), "profile")
-    arrays = [r["file"] for r in per_file.where("is_array").select("file").toLocalIterator()]
+    judged = F.col("valid_lines") > 0  # one valid line that is the whole file
+    unsure = per_file.where(F.col("is_array") & ~judged).select("file")
+    arrays = [r["file"] for r in unsure.toLocalIterator()]
     if not arrays:
         return per_file.withColumn("is_valid", F.col("valid_lines") > 0)
     whole = read_documents(spark, arrays).select(

@@ -120,6 +120,8 @@ def _open_lines(
     reject_mismatch: bool,
 ) -> DataFrame:
     """``_line``, ``keep`` and ``_out``: (record, problem), one row per outcome."""
+    if END.lower() in {name.lower() for name in schema.fieldNames()}:
+        raise SchemaError(f"the field name {END!r} is reserved")
     reading = _reading_schema(schema, strict_types)
     element = T.StructType([*reading.fields, T.StructField(END, T.LongType())])
     # Text accepts any JSON value, so only native types can fail to fit.

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.functions.json_text import is_json, strip_space
-from millrace.operators.chunks import MB, chunk_by_bytes, shard_mb_for
+from millrace.defaults import SHARD_MB
+from millrace.operators.chunks import MB, chunk_by_bytes
 from millrace.sinks.files import write_shards
-from millrace.sources.files import total_bytes
 from millrace.sources.text import array_elements, read_documents, read_lines
 
 
@@ -33,15 +33,15 @@ def split_to_shards(
     spark: SparkSession,
     paths,
     output: str,
-    shard_mb: int | None = None,
+    shard_mb: int = SHARD_MB,
     layout: str = "lines",
 ) -> int:
-    """Write ``output/shard_id=000``, … and return the shard target in MB.
+    """Write ``output/shard_id=000000000``, … and return the shard target in MB.
 
     ``layout="array"`` reads each file as one JSON array and shards its
-    elements. Without ``shard_mb`` the target follows the input size.
+    elements. A target that follows the input size is the caller's choice:
+    ``shard_mb=shard_mb_for(total_bytes(spark, paths))``.
     """
-    target_mb = shard_mb if shard_mb is not None else shard_mb_for(total_bytes(spark, paths))
     if layout == "array":
         found = array_elements(read_documents(spark, paths), keep=["file"])
         lines = found.where(F.col("problem").isNull()).select(
@@ -51,5 +51,5 @@ def split_to_shards(
         lines = read_lines(spark, paths)
     else:
         raise ValueError(f"unknown layout {layout!r}")
-    split_lines(lines, output, target_mb * MB)
-    return target_mb
+    split_lines(lines, output, shard_mb * MB)
+    return shard_mb

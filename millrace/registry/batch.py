@@ -149,7 +149,7 @@ def page_deep(spark: SparkSession, folder: str) -> DataFrame:
     """The page a top-k would be too large for, cut by dense row number."""
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     order = ["l_orderkey", "l_linenumber", "l_quantity"]
-    return page(lines, order, offset=4000, limit=2000, top_k_rows=0)
+    return page(lines, order, offset=4000, limit=2000)
 
 
 def sample(spark: SparkSession, folder: str) -> DataFrame:

@@ -85,12 +85,10 @@ def conversation_arrays(spark: SparkSession, folder: str, rows: int = ARRAY_ROWS
 def supplier_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Nested documents over supplier, part and lineitem.
 
-    The distinct (supplier, part) pairs are spread over documents by hash, so a
-    document stays small however many parts one supplier has; such a supplier
-    simply shows up in many documents.
+    A document holds one supplier and one range of its parts, so it stays small
+    however many parts a supplier has; such a supplier shows up in many documents.
     """
     lineitem = table(spark, folder, "lineitem")
-    documents = max(1, lineitem.count() // DOCUMENT_ROWS)
     supplier = table(spark, folder, "supplier").join(
         table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
     )
@@ -98,7 +96,7 @@ def supplier_documents(spark: SparkSession, folder: str) -> DataFrame:
     rows = (
         pairs.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .withColumn("_doc", F.pmod(F.xxhash64("l_suppkey", "l_partkey"), F.lit(documents)))
+        .withColumn("_doc", F.xxhash64("l_suppkey", F.expr(f"l_partkey div {DOCUMENT_ROWS}")))
         .repartition("_doc")
     )
 

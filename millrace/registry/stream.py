@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.defaults import CHUNK_ROWS, READ_AT
+from millrace.defaults import READ_AT
 from millrace.plans import land_in_chunks
 from millrace.registry.inputs import RECORD_DDL, record_lines, table, written_lines
 from millrace.scratch import scratch_path
@@ -20,8 +20,8 @@ from millrace.streaming.clean import start_table_stream
 
 EVENT_SCHEMA = "event_id bigint, user_id bigint, event_type string"
 
-# A replay has at most this many chunks, however large the table is.
-REPLAY_CHUNKS = 8
+# Rows of a replayed chunk, at every size of the table.
+REPLAY_ROWS = 10_000
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
@@ -66,8 +66,7 @@ def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
 def stream_replay(spark: SparkSession, folder: str) -> DataFrame:
     """Landed in ordered chunks, then streamed one chunk file per micro-batch."""
     base, events = scratch_path(spark, "replay"), _events(spark, folder)
-    rows = max(CHUNK_ROWS, -(-events.count() // REPLAY_CHUNKS))
-    land_in_chunks(events, f"{base}/landing", ["event_id"], rows)
+    land_in_chunks(events, f"{base}/landing", ["event_id"], REPLAY_ROWS)
     source = stream_parquet(
         spark,
         f"{base}/landing",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.registry.inputs import table
 from millrace.scratch import scratch_path
-from millrace.sinks import append_once, append_parquet, parquet_target, replace_run, staged_load
+from millrace.sinks import read_runs, append_once, append_parquet, parquet_target, replace_run, staged_load
 from millrace.sources import file_inventory, key_ranges, read_table
 from millrace.sources.tables import quantile_bounds
 from millrace.plans import run_load
@@ -36,7 +36,17 @@ def rerun_replace(spark: SparkSession, folder: str) -> DataFrame:
     events, path = _events(spark, folder), scratch_path(spark, "runs")
     for run in ("a", "a", "b"):
         replace_run(events, path, run)
-    return read_table(spark, path).select("event_id", "event_type", "run_id")
+    return read_runs(spark, path, events.schema).select("event_id", "event_type", "run_id")
+
+
+def rerun_smaller(spark: SparkSession, folder: str) -> DataFrame:
+    """A run repeated with fewer rows, then one with none: nothing of the former rows is left."""
+    events, path = _events(spark, folder), scratch_path(spark, "runs")
+    replace_run(events, path, "2024-05-01")
+    replace_run(events, path, "001")
+    replace_run(events.where(F.col("event_type") == "purchase"), path, "2024-05-01")
+    replace_run(events.limit(0), path, "001")
+    return read_runs(spark, path, events.schema).select("event_id", "event_type", "run_id")
 
 
 def load_once(spark: SparkSession, folder: str) -> DataFrame:
@@ -87,18 +97,21 @@ def source_slices(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def inventory(spark: SparkSession, folder: str) -> DataFrame:
-    """Files and bytes per table, from the listing alone."""
-    name = F.regexp_extract("path", "([a-z]+)\\.parquet", 1)
-    return (
-        file_inventory(spark, f"{folder}/*.parquet")
-        .groupBy(name.alias("table_name"))
-        .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    """Bytes of written text files per event type, from the listing alone."""
+    path = scratch_path(spark, "inventory")
+    lines = _events(spark, folder).select(
+        "event_type", F.concat_ws(" ", "event_id", "user_id", "event_type").alias("value")
     )
+    lines.write.partitionBy("event_type").text(path)
+    name = F.regexp_extract("path", "event_type=([^/]+)", 1)
+    listed = file_inventory(spark, f"{path}/*/*.txt")
+    return listed.groupBy(name.alias("event_type")).agg(F.sum("length").alias("bytes"))
 
 
 QUERIES = {
     "append_union": append_union,
     "rerun_replace": rerun_replace,
+    "rerun_smaller": rerun_smaller,
     "load_once": load_once,
     "warehouse_load": warehouse_load,
     "source_slices": source_slices,
@@ -110,12 +123,17 @@ ORACLES = {
     "rerun_replace": """
         SELECT event_id, event_type, run_id
         FROM events CROSS JOIN (SELECT 'a' AS run_id UNION ALL SELECT 'b')""",
+    "rerun_smaller": """
+        SELECT event_id, event_type, '2024-05-01' AS run_id FROM events WHERE event_type = 'purchase'""",
     "load_once": """
         SELECT event_id, event_type, 'load-1' AS load_id, count(*) OVER () AS added,
                CAST(0 AS BIGINT) AS added_again
         FROM events""",
     "warehouse_load": """
         SELECT event_id, value, count(*) OVER () AS loaded, true AS publishes FROM events""",
+    "file_inventory": """
+        SELECT event_type, CAST(sum(strlen(concat_ws(' ', event_id, user_id, event_type)) + 1) AS BIGINT) AS bytes
+        FROM events WHERE event_type IS NOT NULL GROUP BY event_type""",
     "source_slices": """
         SELECT CASE WHEN l_returnflag <> 'R' THEN l_suppkey END AS supplier_key,
                l_orderkey, l_linenumber

@@ -1,5 +1,6 @@
 from millrace.sinks.files import (
     append_parquet,
+    read_runs,
     replace_run,
     write_chunks,
     write_jsonl,
@@ -13,6 +14,7 @@ __all__ = [
     "append_parquet",
     "jdbc_target",
     "parquet_target",
+    "read_runs",
     "replace_run",
     "staged_load",
     "write_chunks",

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import re
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from millrace.errors import SchemaError
+from millrace.schema import as_schema
 
 
 def append_parquet(df: DataFrame, path: str) -> None:
@@ -11,17 +16,22 @@ def append_parquet(df: DataFrame, path: str) -> None:
 
 
 def replace_run(df: DataFrame, path: str, run_id: str, column: str = "run_id") -> None:
-    """Write one run's rows under ``column=run_id``, replacing only that run.
+    """Write one run's rows to the folder ``column=run_id``, replacing only that run.
 
-    Running it again leaves the same rows; other runs are not touched.
+    The folder is written whole, so a run that now has fewer rows, or none, leaves none of
+    the former ones, and an empty run still holds its schema. Read it with :func:`read_runs`.
     """
-    (
-        df.withColumn(column, F.lit(run_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column)
-        .parquet(path)
-    )
+    if column.lower() in {c.lower() for c in df.columns}:
+        raise SchemaError(f"the rows already have a column {column!r}")
+    # Everything but plain characters is escaped, as Spark reads partition folders.
+    name = re.sub(r"[^A-Za-z0-9._-]", lambda m: "".join(f"%{b:02X}" for b in m[0].encode()), run_id)
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={name}")
+
+
+def read_runs(spark: SparkSession, path: str, schema: T.StructType | str, column: str = "run_id") -> DataFrame:
+    """All runs under ``path`` with the run's id as text; ``schema`` is that of the written rows."""
+    fields = T.StructType([*as_schema(schema).fields, T.StructField(column, T.StringType())])
+    return spark.read.schema(fields).parquet(path)
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -30,13 +40,13 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def write_shards(df: DataFrame, text: str, path: str, shard: str, order_by) -> None:
-    """One text file per shard, under ``shard=000``, ``001``, … with rows in order.
+    """One text file per shard, under ``shard=000000000``, … (name order is shard order) with rows in order.
 
     A shard is bounded in size, so no task receives more than a few shards' worth.
     The sort starts with the very column the writer partitions by; otherwise
     Spark would replace it with a sort of its own and lose the order of rows.
     """
-    named = df.withColumn(shard, F.format_string("%03d", F.col(shard)))
+    named = df.withColumn(shard, F.format_string("%09d", F.col(shard)))
     (
         named.repartition(shard)
         .sortWithinPartitions(shard, *order_by)

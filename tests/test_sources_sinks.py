@@ -6,7 +6,7 @@ from unittest.mock import MagicMock
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.errors import EmptyInputError, LoadError
+from millrace.errors import EmptyInputError, LoadError, SchemaError
 from millrace.operators import json_profile
 from millrace.plans import land_in_chunks, run_load, split_to_shards
 from millrace.plans.split import split_lines
@@ -17,6 +17,7 @@ from millrace.sinks import (
     append_parquet,
     jdbc_target,
     parquet_target,
+    read_runs,
     replace_run,
     staged_load,
     write_jsonl,
@@ -127,8 +128,8 @@ def test_shards_stay_in_order_across_files_and_blocks(spark, tmp_path):
 def test_shard_names_are_padded_and_the_rule_picks_the_target(spark, tmp_path):
     (tmp_path / "in.json").write_text('[{"a":1},5,{"a":2}]')
     out = scratch_path(spark, "test-array")
-    assert split_to_shards(spark, str(tmp_path), out, layout="array") == 20
-    assert rows(spark.read.text(out + "/shard_id=000"), "value") == [
+    assert split_to_shards(spark, str(tmp_path), out, layout="array") == 100
+    assert rows(spark.read.text(out + "/shard_id=000000000"), "value") == [
         ("5",), ('{"a":1}',), ('{"a":2}',),
     ]
     with pytest.raises(ValueError):
@@ -150,10 +151,21 @@ def test_append_adds_and_run_replaces(spark):
     runs = scratch_path(spark, "test-runs")
     for run, n in (("a", 3), ("b", 2), ("a", 4)):
         replace_run(spark.range(n), runs, run)
-    counts = spark.read.parquet(runs).groupBy("run_id").count()
+    counts = read_runs(spark, runs, "id long").groupBy("run_id").count()
     assert {tuple(r) for r in counts.collect()} == {("a", 4), ("b", 2)}
 
 
+def test_runs_leave_no_stale_rows_and_keep_their_ids(spark):
+    runs = scratch_path(spark, "test-stale")
+    for run, n in (("2024-05-01", 4), ("2024-05-01", 0), ("001", 2), ("a/b=c", 1)):
+        replace_run(spark.range(n), runs, run)
+    back = read_runs(spark, runs, "id long")
+    assert {tuple(r) for r in back.groupBy("run_id").count().collect()} == {("001", 2), ("a/b=c", 1)}
+    assert spark.read.parquet(f"{runs}/run_id=2024-05-01").columns == ["id"]
+    with pytest.raises(SchemaError):
+        replace_run(spark.range(1).withColumnRenamed("id", "RUN_ID"), runs, "x")
+
+
 def test_repeated_load_adds_only_what_is_missing(spark):
     target = parquet_target(scratch_path(spark, "test-load"))
     df = spark.range(10).select(F.when(F.col("id") > 0, F.col("id")).alias("k"), "id")
