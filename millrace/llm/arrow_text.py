@@ -49,14 +49,22 @@ def spaced_words(texts: pa.Array, is_space: np.ndarray) -> tuple[pa.Array, np.nd
     return words, counts
 
 
-def placed_words(texts: pa.Array, is_space: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """As :func:`spaced_words`, with the byte at which each word begins, counted over all texts."""
+def placed_words(
+    texts: pa.Array, is_space: np.ndarray, kinds: np.ndarray | None = None
+) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """As :func:`spaced_words`, with the byte at which each word begins, counted over all texts.
+
+    With ``kinds``, a number for each byte value, words are also cut where 1 and 2 stand side by side.
+    """
     data, offsets = flat_bytes(texts)
     inside = ~is_space[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     cuts = offsets[:-1][offsets[:-1] < len(data)]
     begins[cuts] = inside[cuts]  # a text's first byte begins a word even if the text before ends in one
+    if kinds is not None:
+        kind = kinds[data]
+        begins[1:] |= (kind[1:] + kind[:-1] == 3) & (kind[1:] != 0) & (kind[:-1] != 0)
     starts = np.flatnonzero(begins)
     ends_at = inside.copy()
     ends_at[:-1] &= begins[1:] | ~inside[1:]

@@ -10,7 +10,8 @@ only the files of tasks that ended well, so a lost executor leaves at most a fil
 Reading goes through the index, in its order or shuffled by a seed, and checks both checksums.
 
 Texts are encoded by the tokenizers library. Its vocabulary drops white space, so a text's ids are those
-of its blank-separated words one after the other; each distinct word of a slice is encoded once.
+of its blank-separated words, cut where ASCII letters meet ASCII marks, one after the other. Each distinct
+word is encoded once by a worker, within a bound on the words it holds.
 
 Defined results: a null text is empty and its record holds the end id alone. Ids ascend, nulls come last,
 and repeated rows are records each. No rows give no shards. Other columns are left out.
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
@@ -36,6 +38,8 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 #: Text bytes that are encoded together.
 ENCODE_BYTES = 8 << 20
+#: A Python worker holds the ids of about so many words, twice: the last ones met and those before.
+KNOWN_WORDS = 300_000
 
 _CASTAGNOLI = 0x82F63B78
 _MASK_DELTA = 0xA282EAD8
@@ -121,19 +125,65 @@ def unframe(records: list[bytes]) -> list[bytes]:
     return pieces
 
 
-def encode(texts: pa.Array, tokenizer) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts in a row, and how many each has."""
-    words, counts, _ = placed_words(texts, BLANKS)
-    coded = words.dictionary_encode()
-    distinct = [x.ids for x in tokenizer.encode_batch(coded.dictionary.to_pylist(), add_special_tokens=False)]
-    lengths = np.array([len(x) for x in distinct], np.int64)
-    flat = np.array([i for x in distinct for i in x], np.int64)
-    codes = coded.indices.to_numpy(zero_copy_only=False)
-    starts = np.cumsum(lengths) - lengths
-    ids = flat[ragged(starts[codes], lengths[codes])] if len(codes) else np.zeros(0, np.int64)
-    ends = np.concatenate(([0], np.cumsum(lengths[codes]))) if len(codes) else np.zeros(1, np.int64)
-    last = np.cumsum(counts)
-    return ids, ends[last] - ends[last - counts]
+def _kinds() -> np.ndarray:
+    """ASCII letters (1) and marks that always part pre-tokens from them (2).
+
+    The apostrophe begins contractions, and <|> stand in special tokens; neither parts anything.
+    """
+    kinds = np.zeros(256, np.int8)
+    kinds[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+    kinds[np.frombuffer(b"!\"#$%&()*+,-./:;=?@[]^_`{}~", np.uint8)] = 2
+    return kinds
+
+
+_KINDS = _kinds()
+
+
+class WordEncoder:
+    """Ids of texts, with the ids of the words met lately at hand."""
+
+    def __init__(self, tokenizer, width: np.dtype):
+        self.tokenizer, self.width = tokenizer, width
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and how many each has."""
+        words, counts, _ = placed_words(texts, BLANKS, _KINDS)
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary
+        # The library lower-cases, so ASCII words without a special token share their lower case.
+        plain = pc.and_(pc.string_is_ascii(distinct), pc.invert(pc.match_substring(distinct, "<|")))
+        listed = pc.if_else(plain, pc.ascii_lower(distinct), distinct).to_pylist()
+        if len(self.known) > KNOWN_WORDS:  # words that come again move on, the rest goes
+            self.known, self.older = {}, self.known
+        missing = {w for w in listed if w not in self.known}
+        self.known |= {w: self.older[w] for w in missing if w in self.older}
+        new = [w for w in missing if w not in self.known]
+        for word, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
+            self.known[word] = np.array(found.ids, self.width).tobytes()
+        held = [self.known[w] for w in listed]
+        flat = np.frombuffer(b"".join(held), self.width)
+        lengths = np.array([len(x) for x in held], np.int64) // self.width.itemsize
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        starts = np.cumsum(lengths) - lengths
+        ids = flat[ragged(starts[codes], lengths[codes])]
+        ends, last = np.concatenate(([0], np.cumsum(lengths[codes]))), np.cumsum(counts)
+        return ids, ends[last] - ends[last - counts]
+
+
+_encoders: dict[tuple[str, int], WordEncoder] = {}
+
+
+def _encoder(path: str, end_id: int) -> WordEncoder:
+    """The encoder of this Python worker, which serves one task after the other."""
+    if (path, end_id) not in _encoders:
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        largest = max(tokenizer.get_vocab_size() - 1, end_id)
+        _encoders[path, end_id] = WordEncoder(tokenizer, np.dtype("<u2" if largest < 1 << 16 else "<u4"))
+    return _encoders[path, end_id]
 
 
 def _open(root: str) -> tuple[fs.FileSystem, str]:
@@ -154,10 +204,9 @@ def write_records(documents: DataFrame, root: str, vocabulary: str | None = None
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
-        from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(vocabulary or public_tokenizers.path(VOCABULARY))
-        width = np.dtype("<u2") if tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else np.dtype("<u4")
+        encode = _encoder(vocabulary or public_tokenizers.path(VOCABULARY), end_id)
+        width = encode.width
         task, store, out = TaskContext.get(), None, None
         shard = f"part-{task.partitionId():05d}-{task.taskAttemptId()}.records"
         offset = before = record = 0
@@ -168,10 +217,10 @@ def write_records(documents: DataFrame, root: str, vocabulary: str | None = None
                         store, folder = _open(root)
                         store.create_dir(f"{folder}/shards", recursive=True)
                         out = store.open_output_stream(f"{folder}/shards/{shard}")
-                    ids, counts = encode(texts_of(part, "text"), tokenizer)
+                    ids, counts = encode(texts_of(part, "text"))
                     head, pieces = bytes([width.itemsize]), []
                     tail = np.array([end_id], width).tobytes()
-                    for own in np.split(ids.astype(width), np.cumsum(counts)[:-1]):
+                    for own in np.split(ids, np.cumsum(counts)[:-1]):
                         pieces.append(b"".join((head, own.tobytes(), tail)))
                     rows = frames(pieces)
                     out.write(b"".join(rows))
