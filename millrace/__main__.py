@@ -10,7 +10,7 @@ import dataclasses
 
 from pyspark.sql import SparkSession
 
-from millrace.defaults import CHUNK_ROWS, ENTITY_DDL, JDBC_BATCH_ROWS, TRIGGER
+from millrace.defaults import CHUNK_ROWS, ENTITY_DDL, JDBC_BATCH_ROWS, SHARD_MB, TRIGGER
 from millrace.operators import json_profile
 from millrace.plans import land_in_chunks, run_clean, run_flatten, run_load, split_to_shards
 from millrace.sinks import jdbc_target
@@ -39,7 +39,7 @@ def _arguments() -> argparse.ArgumentParser:
     split = jobs.add_parser("split", help="JSON to size-bounded files of valid lines")
     split.add_argument("files")
     split.add_argument("--output", required=True)
-    split.add_argument("--shard-mb", type=int)
+    split.add_argument("--shard-mb", type=int, default=SHARD_MB)
     split.add_argument("--layout", choices=["lines", "array"], default="lines")
 
     clean = jobs.add_parser("clean", help="JSON lines to one clean Parquet table")

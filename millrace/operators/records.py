@@ -77,6 +77,7 @@ def records_with_problems(
     reject_mismatch: bool = False,
     problem_column: str = PROBLEM,
     line_column: str = "line",
+    coerced_column: str | None = None,
 ) -> DataFrame:
     """Parse every line once: one row per record and one per rejected line.
 
@@ -86,10 +87,12 @@ def records_with_problems(
 
     ``strict_types=False`` reads scalars loosely (``"89"`` is 89 for a bigint)
     and nulls what does not convert; ``reject_mismatch=True`` rejects the line
-    instead. ``strict_types=True`` rejects every wrongly typed value.
+    instead. ``strict_types=True`` rejects every wrongly typed value. ``coerced_column`` adds
+    the names of the fields whose value was nulled in that way.
     """
     schema = as_schema(schema)
-    names = [*schema.fieldNames(), *keep, problem_column, line_column]
+    added = [] if coerced_column is None else [coerced_column]
+    names = [*schema.fieldNames(), *keep, problem_column, line_column, *added]
     if len({n.lower() for n in names}) < len(names):
         raise SchemaError(f"column names repeat in {names}")
     opened = _open_lines(lines, schema, text, keep, strict_types, reject_mismatch)
@@ -99,9 +102,22 @@ def records_with_problems(
         *_columns(keep),
         why.alias(problem_column),
         F.when(why.isNotNull(), F.col("_line")).alias(line_column),
+        *[_coerced(schema, strict_types).alias(name) for name in added],
     )
 
 
+def _coerced(schema: T.StructType, strict: bool) -> Column:
+    """Names of the fields that hold a value which does not convert."""
+    record = F.col("_out")["record"]
+    lost = [
+        F.when(record[f.name].isNotNull() & _typed(record, f, strict).isNull(), F.lit(f.name))
+        for f in schema.fields
+        if isinstance(f.dataType, _VIA_TEXT)
+    ]
+    none = F.array().cast("array<string>")
+    return none if strict or not lost else F.array_compact(F.array(*lost))
+
+
 def _columns(names: Sequence[str]) -> list[Column]:
     return [F.col(f"`{name}`") for name in names]
 

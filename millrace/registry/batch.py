@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.defaults import INGESTED_AT, PROCESSED_AT, READ_AT
+from millrace.defaults import HASH_SALT, INGESTED_AT, PROCESSED_AT, READ_AT
 from millrace.functions import add_constants, add_key_hash, drop_columns, salted_hash, stamp
 from millrace.operators import (
     chunk_by_bytes,
@@ -54,7 +54,7 @@ def key_content(spark: SparkSession, folder: str) -> DataFrame:
 
 def const_columns(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select("event_id", "event_type")
-    return add_constants(events, {"source": "local_processing", "environment": "test"})
+    return add_constants(events, {"origin": "demo feed", "stage": "trial"})
 
 
 def audit_columns(spark: SparkSession, folder: str) -> DataFrame:
@@ -206,27 +206,27 @@ _GAPS = """SELECT event_id, event_type,
                   CASE WHEN event_type <> 'error' THEN user_id END AS user_key FROM events"""
 
 ORACLES = {
-    "key_hash": """
-        SELECT o_orderkey, sha256(CAST(o_orderkey AS VARCHAR) || 'salt_key') AS key_hash
+    "key_hash": f"""
+        SELECT o_orderkey, sha256(CAST(o_orderkey AS VARCHAR) || '{HASH_SALT}') AS key_hash
         FROM orders""",
-    "key_fallback": """
+    "key_fallback": f"""
         SELECT event_type, event_id, user_id,
-               sha256(CAST(event_id AS VARCHAR) || 'salt_key') AS salt
+               sha256(CAST(event_id AS VARCHAR) || '{HASH_SALT}') AS salt
         FROM events""",
-    "key_candidates": """
+    "key_candidates": f"""
         SELECT event_type, event_id, user_id,
-               sha256(CAST(user_id AS VARCHAR) || 'salt_key') AS salt
+               sha256(CAST(user_id AS VARCHAR) || '{HASH_SALT}') AS salt
         FROM events""",
     "key_row_id": """
         SELECT count(*) AS numbered, count(*) AS distinct_numbers, count(*) AS hashed
         FROM orders""",
-    "key_content": """
+    "key_content": f"""
         SELECT n_nationkey, n_name, n_regionkey,
-               sha256('{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name
-                      || '","n_regionkey":' || n_regionkey || '}' || 'salt_key') AS salt
+               sha256('{{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name
+                      || '","n_regionkey":' || n_regionkey || '}}' || '{HASH_SALT}') AS salt
         FROM nation""",
     "const_columns": """
-        SELECT event_id, event_type, 'local_processing' AS source, 'test' AS environment
+        SELECT event_id, event_type, 'demo feed' AS origin, 'trial' AS stage
         FROM events""",
     "audit_columns": """
         SELECT o_orderstatus, count(*) AS stamped, CAST(1 AS BIGINT) AS moments

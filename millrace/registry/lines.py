@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.defaults import PROCESSED_AT
+from millrace.defaults import HASH_SALT, PROCESSED_AT
 from millrace.functions import is_json, line_kind
 from millrace.operators import json_profile, parse_lines, records_with_problems, rejected_lines
 from millrace.operators.records import drop_corrupt
@@ -26,7 +26,7 @@ from millrace.sinks import write_jsonl
 from millrace.sources import array_elements, infer_json_schema, read_json, read_lines
 
 EVENT_DDL = "id bigint, user bigint, name string, k bigint"
-CONSTANTS = {"source": "local_processing", "environment": "test"}
+CONSTANTS = {"origin": "demo feed", "stage": "trial"}
 
 
 def jsonl_validity(spark: SparkSession, folder: str) -> DataFrame:
@@ -59,6 +59,14 @@ def type_mismatch(spark: SparkSession, folder: str) -> DataFrame:
     return both.select("event_id", "problem")
 
 
+def coerced_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Values that do not convert, read as null and counted by field."""
+    wrong = "id bigint, user bigint, name bigint, k bigint"
+    read = records_with_problems(event_lines(spark, folder), wrong, coerced_column="lost")
+    fields = read.where("problem is null").select(F.explode("lost").alias("field"))
+    return fields.groupBy("field").agg(F.count(F.lit(1)).alias("n"))
+
+
 def json_sniff(spark: SparkSession, folder: str) -> DataFrame:
     arrays = conversation_arrays(spark, folder)
     objects = event_lines(spark, folder).select("value")
@@ -264,6 +272,7 @@ QUERIES = {
     "quarantine": quarantine,
     "line_accounts": line_accounts,
     "type_mismatch": type_mismatch,
+    "coerced_counts": coerced_counts,
     "json_sniff": json_sniff,
     "file_profile": file_profile,
     "json_array_rows": json_array_rows,
@@ -280,10 +289,10 @@ QUERIES = {
     "required_columns": required_columns,
 }
 
-_CLEAN_SQL = """
+_CLEAN_SQL = f"""
     SELECT user_id AS id, event_type AS name, json_extract_string(props, '$.k') AS city,
-           event_id AS seq, 'local_processing' AS source, 'test' AS environment,
-           sha256(CAST(user_id AS VARCHAR) || 'salt_key') AS salt, true AS stamped
+           event_id AS seq, '{CONSTANTS["origin"]}' AS origin, '{CONSTANTS["stage"]}' AS stage,
+           sha256(CAST(user_id AS VARCHAR) || '{HASH_SALT}') AS salt, true AS stamped
     FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS r
           FROM events WHERE event_type <> 'error')
     WHERE r = 1
@@ -311,6 +320,8 @@ ORACLES = {
                CASE WHEN event_type = 'error' THEN 'invalid_json' ELSE 'type_mismatch' END
                    AS problem
         FROM events""",
+    "coerced_counts": """
+        SELECT 'name' AS field, count(*) AS n FROM events WHERE event_type <> 'error'""",
     "json_sniff": f"""
         SELECT kind, CASE WHEN kind <> 'array' THEN count(*) END AS n
         FROM (SELECT CASE WHEN value LIKE '{{%' THEN 'object' WHEN value LIKE '[%' THEN 'array'

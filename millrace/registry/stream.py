@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.defaults import READ_AT
 from millrace.plans import land_in_chunks
+from millrace.registry.tables import EVENT_KINDS
 from millrace.registry.inputs import RECORD_DDL, record_lines, table, written_lines
 from millrace.scratch import scratch_path
 from millrace.sinks import append_parquet, parquet_target
@@ -14,6 +15,7 @@ from millrace.streaming import (
     start_parquet_sink,
     start_stamped_copy,
     stream_parquet,
+    stream_report,
     wait,
 )
 from millrace.streaming.clean import start_table_stream
@@ -82,15 +84,18 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Overlapping files: a key already seen in an earlier micro-batch is dropped."""
     base = scratch_path(spark, "dedup")
     for _ in range(2):
-        append_parquet(_events(spark, folder), f"{base}/landing")
-    rows = stream_parquet(spark, f"{base}/landing", EVENT_SCHEMA).dropDuplicates(["event_id"])
+        append_parquet(_events(spark, folder).repartition(2), f"{base}/landing")
+    source = stream_parquet(spark, f"{base}/landing", EVENT_SCHEMA, max_files=1)
+    rows = source.dropDuplicates(["event_id"])
     wait(start_parquet_sink(rows, f"{base}/out", f"{base}/state", every="once"))
     return spark.read.parquet(f"{base}/out")
 
 
 def _clean(spark: SparkSession, folder: str) -> str:
     base = scratch_path(spark, "clean-stream")
-    source = written_lines(record_lines(spark, folder), "records")
+    lines = record_lines(spark, folder)
+    # Every line twice, in files of their own: repeats arrive in other micro-batches.
+    source = written_lines(lines.unionByName(lines).repartition(3), "records")
     started = start_clean_stream(
         spark,
         source,
@@ -99,6 +104,7 @@ def _clean(spark: SparkSession, folder: str) -> str:
         RECORD_DDL,
         rejects=f"{base}/rejects",
         every="once",
+        max_files=1,
         key="seq",
     )
     for query in started:
@@ -121,8 +127,11 @@ def stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
 def stream_table_load(spark: SparkSession, folder: str) -> DataFrame:
     """Micro-batches loaded into a table through the repeatable batch loader."""
     base = scratch_path(spark, "table-stream")
-    rows = stream_parquet(spark, _landed(spark, folder), EVENT_SCHEMA)
-    target = parquet_target(f"{base}/table")
+    events = _events(spark, folder)
+    for kinds in EVENT_KINDS:  # one file, hence one load, each
+        append_parquet(events.where(F.col("event_type").isin(kinds)).coalesce(1), f"{base}/landing")
+    rows = stream_parquet(spark, f"{base}/landing", EVENT_SCHEMA, max_files=1)
+    target = parquet_target(f"{base}/table", partition_by=["load_id"])
     wait(
         start_table_stream(
             rows, target, ["event_id"], "events", f"{base}/state", every="once", new_table=True
@@ -131,7 +140,33 @@ def stream_table_load(spark: SparkSession, folder: str) -> DataFrame:
     return target.read(spark).select("event_id", "user_id", "event_type", "load_id")
 
 
+def stream_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Everything, the last event again, everything once more: the report counts what came too late.
+
+    Spark judges lateness by the watermark of the micro-batch before, hence the one in between.
+    """
+    base = scratch_path(spark, "totals")
+    events = table(spark, folder, "events").select("event_id", "ts")
+    append_parquet(events.coalesce(1), f"{base}/landing")
+    append_parquet(events.orderBy(F.desc("ts"), "event_id").limit(1), f"{base}/landing")
+    append_parquet(events.withColumn("event_id", -1 - F.col("event_id")).coalesce(1), f"{base}/landing")
+    rows = stream_parquet(spark, f"{base}/landing", "event_id bigint, ts timestamp_ntz", max_files=1)
+    timed = rows.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 day")
+    kept = timed.dropDuplicatesWithinWatermark(["event_id"])
+    query = start_parquet_sink(kept, f"{base}/out", f"{base}/state", every="once")
+    wait(query)
+    found = stream_report(query)
+    out = spark.read.schema("event_id bigint").parquet(f"{base}/out")
+    return out.agg(F.count(F.lit(1)).alias("rows_out")).select(
+        F.lit(found.batches).alias("batches"),
+        F.lit(found.rows_in).cast("bigint").alias("rows_in"),
+        F.lit(found.dropped_late).cast("bigint").alias("dropped_late"),
+        "rows_out",
+    )
+
+
 QUERIES = {
+    "stream_totals": stream_totals,
     "stream_enrich": stream_enrich,
     "stream_restart": stream_restart,
     "stream_replay": stream_replay,
@@ -156,7 +191,16 @@ ORACLES = {
                event_id AS seq, sha256(CAST(event_id AS VARCHAR) || 'salt_key') AS salt
         FROM events WHERE event_type <> 'error'""",
     "stream_rejects": """
-        SELECT 'invalid_json' AS problem, count(*) AS n FROM events WHERE event_type = 'error'""",
+        SELECT 'invalid_json' AS problem, 2 * count(*) AS n FROM events WHERE event_type = 'error'""",
     "stream_table_load": """
-        SELECT event_id, user_id, event_type, 'events-0' AS load_id FROM events""",
+        SELECT event_id, user_id, event_type,
+               CASE WHEN event_type = 'view' THEN 'events-0'
+                    WHEN event_type IN ('click', 'signup') THEN 'events-1' ELSE 'events-2' END AS load_id
+        FROM events""",
+    "stream_totals": """
+        WITH edge AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 DAY AS edge FROM events),
+             late AS (SELECT count(*) AS n FROM events, edge WHERE ts <= edge)
+        SELECT 3 AS batches, 2 * count(*) + 1 AS rows_in, any_value(late.n) AS dropped_late,
+               2 * count(*) - any_value(late.n) AS rows_out
+        FROM events, late""",
 }

@@ -1,19 +1,23 @@
 from millrace.streaming.clean import batch_loader, clean_stream, start_clean_stream
 from millrace.streaming.files import (
+    StreamReport,
     start_parquet_sink,
     start_stamped_copy,
     stream_parquet,
+    stream_report,
     trigger_for,
     wait,
 )
 
 __all__ = [
+    "StreamReport",
     "batch_loader",
     "clean_stream",
     "start_clean_stream",
     "start_parquet_sink",
     "start_stamped_copy",
     "stream_parquet",
+    "stream_report",
     "trigger_for",
     "wait",
 ]

@@ -32,16 +32,24 @@ def clean_stream(
     event_time: str | None = None,
     late_by: str | None = None,
     required: Sequence[str] = (),
+    strict_types: bool = False,
+    reject_mismatch: bool = False,
 ) -> DataFrame:
     """Parse, one row per key across all micro-batches, constants, audit time, key hash.
 
-    Seen keys are kept as state for ever, unless ``event_time`` and ``late_by``
-    bound it: repeats further apart than ``late_by`` may then survive. Large
-    state belongs in the RocksDB state store (a session setting of the caller).
+    Seen keys are kept as state for ever, unless ``event_time`` and ``late_by``, which go
+    together, bound it. Repeats further apart than ``late_by`` may then survive, and rows that
+    come later than that are dropped; :func:`stream_report` counts them. Large state belongs in
+    the RocksDB state store (a session setting of the caller).
     """
-    rows = require_columns(parse_lines(lines, schema), required)
+    if (event_time is None) != (late_by is None):
+        raise ValueError("event_time and late_by go together")
+    parsed = parse_lines(
+        lines, schema, strict_types=strict_types, reject_mismatch=reject_mismatch
+    )
+    rows = require_columns(parsed, required)
     if key is not None and event_time is not None:
-        rows = rows.withWatermark(event_time, late_by or "0 seconds")
+        rows = rows.withWatermark(event_time, late_by)
         rows = rows.dropDuplicatesWithinWatermark([key])
     elif key is not None:
         rows = rows.dropDuplicates([key])
@@ -58,17 +66,21 @@ def start_clean_stream(
     rejects: str | None = None,
     every: str | None = TRIGGER,
     max_files: int | None = None,
+    strict_types: bool = False,
+    reject_mismatch: bool = True,
     **options,
 ) -> list[StreamingQuery]:
     """Start the cleaning stream and, with ``rejects``, a second one for bad lines.
 
+    Lines with a value that does not convert are rejected, unless ``reject_mismatch`` is off.
     Each has its own checkpoint below ``checkpoint`` and is exactly-once alone.
     """
     lines = stream_lines(spark, source, max_files)
-    good = clean_stream(lines, as_schema(schema), **options)
+    types = {"strict_types": strict_types, "reject_mismatch": reject_mismatch}
+    good = clean_stream(lines, as_schema(schema), **types, **options)
     started = [start_parquet_sink(good, sink, f"{checkpoint}/records", every)]
     if rejects is not None:
-        bad = rejected_lines(lines, keep=["file"], schema=schema)
+        bad = rejected_lines(lines, keep=["file"], schema=schema, **types)
         started.append(start_parquet_sink(bad, rejects, f"{checkpoint}/rejects", every))
     return started
 

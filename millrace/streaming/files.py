@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -72,3 +75,33 @@ def wait(query: StreamingQuery, seconds: float | None = None) -> bool:
         query.awaitTermination()
         return True
     return bool(query.awaitTermination(seconds))
+
+
+@dataclass(frozen=True)
+class StreamReport:
+    """Totals of a streaming query over the micro-batches whose progress the session still holds."""
+
+    batches: int
+    rows_in: int
+    rows_out: int
+    state_rows: int
+    dropped_late: int
+    seconds: float
+
+
+def stream_report(query: StreamingQuery) -> StreamReport:
+    """Rows read, written, held as state and dropped as late, and the time of the micro-batches.
+
+    Spark holds the last ``spark.sql.streaming.numRecentProgressUpdates`` of them. A sink that does
+    not count its rows adds nothing to ``rows_out``.
+    """
+    found = [json.loads(progress.json) for progress in query.recentProgress]
+    states = [p.get("stateOperators", []) for p in found]
+    return StreamReport(
+        batches=sum(p["numInputRows"] > 0 for p in found),
+        rows_in=sum(p["numInputRows"] for p in found),
+        rows_out=sum(max(0, p.get("sink", {}).get("numOutputRows", 0)) for p in found),
+        state_rows=sum(s["numRowsTotal"] for s in states[-1]) if states else 0,
+        dropped_late=sum(s.get("numRowsDroppedByWatermark", 0) for held in states for s in held),
+        seconds=sum(p.get("durationMs", {}).get("triggerExecution", 0) for p in found) / 1000,
+    )

@@ -11,6 +11,7 @@ from millrace.streaming import (
     clean_stream,
     start_clean_stream,
     start_parquet_sink,
+    stream_report,
     start_stamped_copy,
     stream_parquet,
     trigger_for,
@@ -145,3 +146,27 @@ def test_table_stream(spark, base):
         )
     )
     assert sorted(r["id"] for r in target.read(spark).collect()) == list(range(30))
+
+
+def test_lateness_must_be_given_and_is_reported(spark, base):
+    write_text(spark, f"{base}/in", ['{"id":1,"at":"2024-01-01"}'])
+    lines = stream_lines(spark, f"{base}/in")
+    with pytest.raises(ValueError):
+        clean_stream(lines, "id bigint, at timestamp", event_time="at")
+    rows_in = clean_stream(lines, "id bigint, at timestamp")
+    query = start_parquet_sink(rows_in, f"{base}/out", f"{base}/state", "once")
+    wait(query)
+    found = stream_report(query)
+    assert (found.batches, found.rows_in, found.state_rows, found.dropped_late) == (1, 1, 1, 0)
+
+
+def test_values_that_do_not_convert_are_rejected_by_the_stream(spark, base):
+    write_text(spark, f"{base}/in", ['{"id":"abc"}', '{"id":"7"}'])
+    started = start_clean_stream(
+        spark, f"{base}/in", f"{base}/out", f"{base}/state", "id bigint",
+        rejects=f"{base}/bad", every="once",
+    )
+    for query in started:
+        wait(query)
+    assert [r["id"] for r in spark.read.parquet(f"{base}/out").collect()] == [7]
+    assert [r["problem"] for r in spark.read.parquet(f"{base}/bad").collect()] == ["type_mismatch"]
