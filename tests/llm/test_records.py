@@ -14,7 +14,7 @@ from millrace.scratch import scratch_path
 def texts():
     rng = random.Random(4)
     odd = ["", None, " ", "a", "Á é ́x", "<|endoftext|> y<|startoftext|>z", "it's I'LL ’s", " x y",
-           "ﬁ Ａ １２３ 12345 !!!???", "\U0001f600\U0001f600 ok", "\x00\x01", "word " * 30000, "İstanbul ſ", "한국어 각"]
+           "ﬁ Ａ １２３ 12345 !!!???", "\U0001f600\U0001f600 ok", "T\u0308 T.\u0308 a.\u0301 <|ENDOFTEXT|> (<|endoftext|>) can't. 'S.' x<|y|> #'s -'re'- É.é Σ. ΑΣ.Α", "\x00\x01", "word " * 30000, "İstanbul ſ", "한국어 각"]
     pieces = ["the", "Thing", "don't", "é", "12", "!", "\n", "\t", "--", "<|endoftext|>", "naïve", "…"]
     return odd + ["".join(rng.choice(pieces) + rng.choice(["", " ", "  "]) for _ in range(200)) for _ in range(40)]
 
