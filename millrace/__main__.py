@@ -47,7 +47,9 @@ def _arguments() -> argparse.ArgumentParser:
     clean.add_argument("--output", required=True)
     clean.add_argument("--rejects", required=True)
     clean.add_argument("--schema", default=ENTITY_DDL)
-    clean.add_argument("--key", default="id")
+    clean.add_argument("--key", nargs="+", default=["id"])
+    clean.add_argument("--order-by", nargs="+", help="which row of a key stays; first of this order")
+    clean.add_argument("--ignore-corrupt-files", action="store_true")
     clean.add_argument("--required", nargs="*", default=["id", "name", "city"])
     clean.add_argument("--set", nargs="*", default=[], metavar="COLUMN=VALUE")
     clean.add_argument("--run-id")
@@ -99,7 +101,9 @@ def run(spark: SparkSession, given: argparse.Namespace):
             given.schema,
             run_id=given.run_id,
             required=given.required,
-            key=given.key,
+            ignore_corrupt_files=given.ignore_corrupt_files,
+            key=given.key[0] if len(given.key) == 1 else given.key,
+            order_by=given.order_by,
             constants=_constants(given.set),
         )
     if given.job == "land":

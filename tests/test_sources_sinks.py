@@ -289,3 +289,25 @@ def test_scratch_follows_the_session(spark):
     folder = Path(staged.inputFiles()[0].removeprefix("file:")).parent
     drop_staged(staged, None)
     assert not folder.exists()
+
+
+def test_unreadable_files_raise_or_are_left_out(spark, tmp_path):
+    (tmp_path / "good.json").write_text('{"id":1,"name":"a","city":"b"}\n')
+    (tmp_path / "bad.json.gz").write_bytes(b"\x1f\x8bnot gzip at all")
+    with pytest.raises(Exception, match="(?i)gzip|header|FAILED_READ_FILE"):
+        read_lines(spark, str(tmp_path)).collect()
+    kept = read_lines(spark, str(tmp_path), ignore_corrupt_files=True)
+    assert [r["value"] for r in kept.collect()] == ['{"id":1,"name":"a","city":"b"}']
+
+
+def test_lines_that_are_arrays_are_no_array_document(spark, tmp_path):
+    (tmp_path / "lines.json").write_text('[{"a":1}]\n[{"a":2}]\n')
+    (tmp_path / "document.json").write_text('[{"a":1},\n{"a":2}]\n')
+    (tmp_path / "one.json").write_text('[{"a":1}]\n')
+    found = {r["file"].rsplit("/", 1)[1]: r for r in json_profile(spark, str(tmp_path)).collect()}
+    kinds = {k: (r["is_array"], r["is_line_delimited"], r["is_valid"]) for k, r in found.items()}
+    assert kinds == {
+        "lines.json": (False, True, True),
+        "document.json": (True, False, True),
+        "one.json": (True, False, True),
+    }
