@@ -27,8 +27,6 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
-    "op5_templates": templates_query,
-    "op6_suffixes": suffixes_query,
     "op5_templates": TEMPLATES_SQL,
     "op8_mixing": MIXING_SQL,
 }

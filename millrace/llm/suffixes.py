@@ -374,20 +374,23 @@ def _counted_spans(contexts: DataFrame, length: int) -> DataFrame:
                 )
 
     strings = contexts.mapInArrow(explode, "key long, name long, text_id long, size int, low int, n long")
-    twice = strings.groupBy("key", "name").agg(F.sum("n").alias("all")).where("all > 1").drop("all")
+    counted = strings.groupBy("key", "name").agg(F.sum("n").alias("all"))
+    twice = stage(counted.where("all > 1").drop("all"), "strings")
     return strings.where("n = 1").join(twice, ["key", "name"]).select("text_id", "size", "low", F.lit(1).alias("many"))
 
 
 def repeated_spans(documents: DataFrame, length: int = LENGTH, anchor: int = ANCHOR_BYTES) -> DataFrame:
     """text_id, size and the starts of repeated strings as ``spans`` of (low, many)."""
     keys = _anchored(documents, length, anchor, keys_only=True).groupBy("key").agg(F.count("*").alias("times"))
+    # Written first: Spark splits a hot key of a join only if no aggregation stands under it.
+    twice = stage(keys.where("times > 1").select("key"), "keys")
     blocks = _anchored(documents, length, anchor, keys_only=False)
-    shared = stage(blocks.join(keys.where("times > 1").select("key"), "key"), "blocks")
+    shared = stage(blocks.join(twice, "key"), "blocks")
     place = F.min(F.struct("text_id", "size", "low", "many", "behind")).alias("place")
     hulls = stage(shared.groupBy("key", "hull").agg(F.count("*").alias("n"), place), "hulls")
     whole = shared.join(hulls.where("n > 1").select("key", "hull"), ["key", "hull"])
     groups = hulls.groupBy("key").agg(F.count("*").alias("blocks"), F.min("n").alias("least"))
-    wanted = hulls.join(groups.where("blocks > 1 and least = 1").drop("least"), "key")
+    wanted = hulls.join(stage(groups.where("blocks > 1 and least = 1").drop("least"), "groups"), "key")
     contexts = stage(_contexts(documents, wanted.select("key", "hull", "n", "blocks", "place.*"), length), "contexts")
     found = whole.select("text_id", "size", "low", F.col("many").cast("int").alias("many"))
     found = found.union(_sorted_spans(contexts.where(F.col("blocks") <= GROUP_BLOCKS), length))
