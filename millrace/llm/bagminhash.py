@@ -35,6 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from millrace.llm.arrow_text import (
+    bounded_batches,
     byte_flags,
     flat_bytes,
     free_name,
@@ -212,7 +213,7 @@ def _signed(documents: DataFrame, bands: int, rows: int) -> DataFrame:
             T.StructField("sketch", T.BinaryType()),
         ]
     )
-    return documents.select("doc_id", "text").mapInArrow(sign, schema)
+    return bounded_batches(documents).select("doc_id", "text").mapInArrow(sign, schema)
 
 
 def _with_digest(documents: DataFrame, into: str) -> DataFrame:
@@ -225,7 +226,7 @@ def _with_digest(documents: DataFrame, into: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, found], [*part.schema.names, into])
 
     schema = T.StructType([*documents.schema.fields, T.StructField(into, T.BinaryType())])
-    return documents.mapInArrow(digest, schema)
+    return bounded_batches(documents).mapInArrow(digest, schema)
 
 
 def _overlapping(

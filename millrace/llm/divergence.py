@@ -30,6 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from millrace.llm.arrow_text import (
+    bounded_batches,
     BLANKS,
     byte_flags,
     flat_bytes,
@@ -191,7 +192,7 @@ def _reports(documents: DataFrame) -> DataFrame:
                 columns = [pa.array(lang_out, pa.string()), pa.array(word_out, pa.string()), pa.array(n_out, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "word", "n"])
 
-    return documents.where("lang is not null").select("lang", "text").mapInArrow(report, "lang string, word string, n long")
+    return bounded_batches(documents).where("lang is not null").select("lang", "text").mapInArrow(report, "lang string, word string, n long")
 
 
 def language_references(documents: DataFrame) -> References:
@@ -311,7 +312,7 @@ def judged(documents: DataFrame, references: References) -> DataFrame:
                 )
 
     schema = T.StructType([T.StructField("doc_id", documents.schema["doc_id"].dataType), *T.StructType.fromDDL(added).fields])
-    return documents.select("doc_id", "lang", "text").mapInArrow(judge, schema)
+    return bounded_batches(documents).select("doc_id", "lang", "text").mapInArrow(judge, schema)
 
 
 def divergence_query(spark, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from millrace.llm.arrow_text import byte_flags, flat_bytes, free_name, placed_words, ragged, slices, texts_of
+from millrace.llm.arrow_text import bounded_batches, byte_flags, flat_bytes, free_name, placed_words, ragged, slices, texts_of
 from millrace.scratch import stage
 
 WINDOW_WORDS = 13
@@ -259,7 +259,7 @@ def _search_part(documents: DataFrame, phrases: Phrases, names: tuple[str, ...])
 
     fields = [documents.schema[c] for c in kept]
     added = T.StructType.fromDDL(f"`{n_words}` bigint, `{n_hit}` bigint, `{spans}` {_SPANS}, `{items}` array<string>")
-    return documents.mapInArrow(look, T.StructType([*fields, *added.fields]))
+    return bounded_batches(documents).mapInArrow(look, T.StructType([*fields, *added.fields]))
 
 
 def find_phrases(

@@ -31,7 +31,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from millrace.llm.arrow_text import BLANKS, placed_words, ragged, slices, texts_of
+from millrace.llm.arrow_text import BLANKS, bounded_batches, placed_words, ragged, slices, texts_of
 from millrace.scratch import scratch_path
 
 VOCABULARY = "word_bpe_49k.json"
@@ -39,7 +39,7 @@ END_ID = 2
 #: Text bytes that are encoded together.
 ENCODE_BYTES = 8 << 20
 #: A Python worker holds the ids of about so many words, twice: the last ones met and those before.
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 120_000
 
 _CASTAGNOLI = 0x82F63B78
 _MASK_DELTA = 0xA282EAD8
@@ -245,7 +245,7 @@ def write_records(documents: DataFrame, root: str, vocabulary: str | None = None
 
     schema = T.StructType([*T.StructType.fromDDL(_INDEX).fields, T.StructField("doc_id", doc_id)])
     order = F.col("doc_id").asc_nulls_last()
-    ranged = documents.select("doc_id", "text").repartitionByRange(order).sortWithinPartitions(order)
+    ranged = bounded_batches(documents).select("doc_id", "text").repartitionByRange(order).sortWithinPartitions(order)
     ranged.mapInArrow(write, schema).write.parquet(f"{root.rstrip('/')}/index")
 
 

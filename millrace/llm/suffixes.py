@@ -31,6 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from millrace.llm.arrow_text import (
+    bounded_batches,
     flat_bytes,
     mix64,
     prefix_hashes,
@@ -129,7 +130,7 @@ def _anchored(documents: DataFrame, length: int, anchor: int, keys_only: bool) -
                 )
 
     schema = "key long" if keys_only else "key long, hull long, text_id long, size int, low int, many short, behind short"
-    return documents.select("text").mapInArrow(find, schema)
+    return bounded_batches(documents).select("text").mapInArrow(find, schema)
 
 
 def _named(documents: DataFrame) -> DataFrame:
@@ -146,7 +147,7 @@ def _named(documents: DataFrame) -> DataFrame:
                 )
 
     fields = [*documents.schema.fields, T.StructField("text_id", T.LongType()), T.StructField("size", T.IntegerType())]
-    return documents.mapInArrow(name, T.StructType(fields))
+    return bounded_batches(documents).mapInArrow(name, T.StructType(fields))
 
 
 class Suffixes:

@@ -22,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from millrace.llm.arrow_text import flat_bytes, slices, texts_of
+from millrace.llm.arrow_text import bounded_batches, flat_bytes, slices, texts_of
 
 VOCABULARY = "piece_bpe_32k.model"
 LIMIT = 4096
@@ -139,7 +139,7 @@ def token_counts(documents: DataFrame, path: str | None = None, limit: int = LIM
             T.StructField("n_tokens", T.LongType()),
         ]
     )
-    counted = documents.select("doc_id", "text").mapInArrow(count, schema)
+    counted = bounded_batches(documents).select("doc_id", "text").mapInArrow(count, schema)
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
 
 

@@ -20,11 +20,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from millrace.llm.arrow_text import BLANKS, mix64, ragged, slices, spaced_words, texts_of
+from millrace.llm.arrow_text import BLANKS, bounded_batches, mix64, ragged, slices, spaced_words, texts_of
 from millrace.scratch import stage
 
 #: Lengths of the character n-grams, in code points of the padded word.
@@ -115,7 +113,7 @@ def _train_rows(documents: DataFrame, labels: DataFrame, usable: Column, sample_
                     ["label", "features"],
                 )
 
-    return texts.mapInArrow(extract, "label int, features array<int>")
+    return bounded_batches(texts).mapInArrow(extract, "label int, features array<int>")
 
 
 def fit_toxicity(
@@ -147,6 +145,10 @@ def fit_toxicity(
     used = np.flatnonzero(np.abs(ratio) >= MIN_ERRORS * np.sqrt(1 / p + 1 / q))
     if not len(used):
         return ToxicityModel(np.zeros(size), math.log(toxic / clean))
+    # Here, so that tasks which only score do not load the library.
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import SparseVector, VectorUDT
+
     ratios = rows.sparkSession.sparkContext.broadcast((used, ratio[used]))
 
     @F.udf(VectorUDT())
@@ -177,7 +179,7 @@ def score_toxicity(documents: DataFrame, model: ToxicityModel, into: str = "scor
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores)], [*part.schema.names, into])
 
     schema = T.StructType([*documents.schema.fields, T.StructField(into, T.DoubleType())])
-    return documents.mapInArrow(score, schema)
+    return bounded_batches(documents).mapInArrow(score, schema)
 
 
 def held_out(doc_id: Column) -> Column:
