@@ -37,9 +37,11 @@ from millrace.scratch import scratch_path
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 #: Text bytes that are encoded together.
-ENCODE_BYTES = 8 << 20
+ENCODE_BYTES = 4 << 20
+#: Words that the library encodes at once.
+BATCH_WORDS = 4096
 #: A Python worker holds the ids of about so many words, twice: the last ones met and those before.
-KNOWN_WORDS = 120_000
+KNOWN_WORDS = 100_000
 
 _CASTAGNOLI = 0x82F63B78
 _MASK_DELTA = 0xA282EAD8
@@ -160,8 +162,10 @@ class WordEncoder:
         missing = {w for w in listed if w not in self.known}
         self.known |= {w: self.older[w] for w in missing if w in self.older}
         new = [w for w in missing if w not in self.known]
-        for word, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            self.known[word] = np.array(found.ids, self.width).tobytes()
+        for first in range(0, len(new), BATCH_WORDS):  # what the library returns is far larger than the ids
+            part = new[first : first + BATCH_WORDS]
+            for word, found in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
+                self.known[word] = np.array(found.ids, self.width).tobytes()
         held = [self.known[w] for w in listed]
         flat = np.frombuffer(b"".join(held), self.width)
         lengths = np.array([len(x) for x in held], np.int64) // self.width.itemsize
