@@ -28,7 +28,18 @@ def bounded_batches(df: DataFrame) -> DataFrame:
 
 def texts_of(batch: pa.RecordBatch, column: str) -> pa.Array:
     """The text column with empty strings for nulls."""
-    return pc.fill_null(batch.column(column).cast(pa.large_string()), "")
+    return compact(batch.column(column))
+
+
+def compact(texts: pa.Array) -> pa.Array:
+    """A large_string array with empty strings for nulls, its bytes counted from 0.
+
+    Arrow's string functions misread offsets that a cast of a slice leaves beyond 0.
+    """
+    data, offsets = flat_bytes(pc.fill_null(texts.cast(pa.large_string()), ""))
+    return pa.LargeStringArray.from_buffers(
+        len(offsets) - 1, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(np.ascontiguousarray(data))
+    )
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from millrace.llm.arrow_text import (
     bounded_batches,
     byte_flags,
+    compact,
     flat_bytes,
     free_name,
     mix64,
@@ -359,7 +360,7 @@ def _links_apart(members: DataFrame, texts: DataFrame, similarity: float, bands:
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches):
-            hashes, owner, _, _ = _shingles(pc.fill_null(rows["text"].combine_chunks().cast(pa.large_string()), ""))
+            hashes, owner, _, _ = _shingles(compact(rows["text"].combine_chunks()))
             multisets = _multisets(hashes, owner)
             label, node = rows["label"].to_pylist(), rows["node"].to_numpy()
             root: dict[int, int] = {}

@@ -26,7 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from millrace.llm.arrow_text import bounded_batches, byte_flags, flat_bytes, free_name, placed_words, ragged, slices, texts_of
+from millrace.llm.arrow_text import bounded_batches, byte_flags, compact, flat_bytes, free_name, placed_words, ragged, slices, texts_of
 from millrace.scratch import stage
 
 WINDOW_WORDS = 13
@@ -152,7 +152,7 @@ class Phrases:
 
     @staticmethod
     def of(ids: pa.Array, texts: pa.Array, window: int) -> Phrases:
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        texts = compact(texts)
         words, counts, _ = placed_words(pc.ascii_lower(texts), _SEPARATORS)
         coded = words.dictionary_encode()
         codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32) + 1
