@@ -3,14 +3,16 @@
 The reference of a language is counted over all its documents: a histogram of character classes and one
 of common words (those with at least a given share of the language's words; all others are one bin more).
 A document is compared with the reference of its language by the Jensen-Shannon distance (base 2, 0 to
-1), with the nearest reference if its language has none. A guard keeps short texts, whose
+1), with the nearest reference if its language is null. Documents of a language without a reference are not
+judged by the method. A guard keeps short texts, whose
 histograms are noise, from being judged: each histogram counts only from a minimum length on.
 
 Common words are found exactly in two passes. A word with the share s in a language has that share in at
 least one slice of the text; every slice reports its words of half that share, and words whose
 reports reach half the share of the language are candidates, at most 2 / s of them. The second pass counts
-just the candidates in all texts. Languages need a least share of all words, and number of words, to have
-a reference, so the references that reach every task have a proven bound.
+just the candidates of its language in all texts. Languages need a least number of words to have a reference, whatever
+else the corpus holds. Each keeps its own words only, at most 2 / s of them. All references reach every task, so
+their size there grows with the number of languages.
 
 Base rules (words are [^\\x20\\x09-\\x0D]+): too few words, or too many in repeated windows of five.
 
@@ -48,9 +50,7 @@ MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 #: A word is common in a language from this share of its words on.
 COMMON_SHARE = 0.002
-#: A language has a reference from this share of all words on.
-LANGUAGE_SHARE = 0.001
-#: … and from so many words on; fewer are no reference.
+#: A language has a reference from so many words on; fewer are no reference.
 LANGUAGE_WORDS = 10_000
 #: Histograms are judged from so many characters and words on.
 GUARD_CHARS = 400
@@ -163,13 +163,25 @@ def base_counts(texts: pa.Array) -> dict[str, np.ndarray]:
 
 @dataclass(frozen=True)
 class References:
-    """Common words of any language, which of them are each language's, and its two histograms."""
+    """Sorted common words of each language, and its histograms of character classes and of those words."""
 
-    words: pa.Array
-    common_in: dict[str, np.ndarray]
+    common_of: dict[str, pa.Array]
     chars_of: dict[str, np.ndarray]
     words_of: dict[str, np.ndarray]
 
+    @property
+    def words(self) -> pa.Array:
+        """Common words of any language."""
+        return pa.array(sorted({w for own in self.common_of.values() for w in own.to_pylist()}), pa.large_string())
+
+    @property
+    def common_in(self) -> dict[str, np.ndarray]:
+        """Which of ``words`` are each language's."""
+        words = self.words
+        return {
+            lang: pc.is_in(words, value_set=own).to_numpy(zero_copy_only=False) for lang, own in self.common_of.items()
+        }
+
 
 def _reports(documents: DataFrame) -> DataFrame:
     """lang, word, n of the words common in a slice; words null: all words of the language there."""
@@ -199,62 +211,73 @@ def language_references(documents: DataFrame) -> References:
     """Count the references over all documents with a language."""
     reports = stage(_reports(documents).groupBy("lang", "word").agg(F.sum("n").alias("n")), "reports")
     totals = reports.where("word is null").select("lang", F.col("n").alias("total"))
-    everything = totals.agg(F.sum("total")).first()[0] or 0
-    large = totals.where(F.col("total") >= F.greatest(F.lit(LANGUAGE_WORDS), F.lit(LANGUAGE_SHARE * everything)))
+    large = totals.where(F.col("total") >= LANGUAGE_WORDS)
     candidates = (
         reports.where("word is not null").join(large, "lang").where(F.col("n") >= COMMON_SHARE / 2 * F.col("total"))
     )
-    known = sorted(r.lang for r in large.collect())  # at most 1 / LANGUAGE_SHARE
-    common = {lang: set() for lang in known}
-    for row in candidates.select("lang", "word").collect():  # at most 2 / COMMON_SHARE each
-        common[row.lang].add(row.word)
-    listed = sorted(set().union(*common.values()))
-    words = pa.array(listed, pa.large_string())
-    common_in = {lang: np.array([w in own for w in listed], bool) for lang, own in common.items()}
-    shared = documents.sparkSession.sparkContext.broadcast((known, words))
+    known = sorted(r.lang for r in large.select("lang").collect())
+    listed = candidates.select("lang", "word").toArrow()  # at most 2 / COMMON_SHARE a language
+    common_of = {lang: pa.array([], pa.large_string()) for lang in known}
+    for lang, words in _by_language(listed):
+        common_of[lang] = pa.array(sorted(words.column("word").to_pylist()), pa.large_string())
+    shared = documents.sparkSession.sparkContext.broadcast(common_of)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, listed = shared.value
-        held = np.zeros((len(names), len(CHAR_CLASSES) + len(listed) + 1), np.int64)
+        common_of, held = shared.value, {}
         for batch in batches:
             for part in slices(batch, "text"):
-                number = pc.index_in(part.column("lang").cast(pa.string()), value_set=pa.array(names, pa.string()))
-                number = pc.fill_null(number, -1).to_numpy(zero_copy_only=False)
                 texts = texts_of(part, "text")
-                chars, bins = _char_histograms(texts), _word_histograms(texts, listed)
-                for own in np.unique(number[number >= 0]):
-                    held[own] += np.concatenate((chars[number == own].sum(axis=0), bins[number == own].sum(axis=0)))
-        rows = pa.array(held.tolist(), pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), rows], ["lang", "counts"])
+                chars, words = _char_histograms(texts), _plain_words(texts)
+                for lang, mine in _rows_of(part.column("lang")):
+                    if lang in common_of:
+                        bins = _word_histograms(words, mine, common_of[lang])
+                        found = np.concatenate((chars[mine].sum(axis=0), bins.sum(axis=0)))
+                        held[lang] = held[lang] + found if lang in held else found
+        offsets = np.cumsum([0, *map(len, held.values())])
+        flat = np.concatenate([np.zeros(0, np.int64), *held.values()])
+        rows = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.string()), rows], ["lang", "counts"])
 
     counted = documents.where("lang is not null").select("lang", "text").mapInArrow(count, "lang string, counts array<long>")
     sums = (
         counted.select("lang", F.posexplode("counts").alias("bin", "n")).groupBy("lang", "bin").agg(F.sum("n").alias("n"))
     )
-    table = {lang: np.zeros(len(CHAR_CLASSES) + len(words) + 1, np.int64) for lang in known}
-    for row in sums.collect():  # languages times bins
-        table[row.lang][row.bin] = row.n
     width = len(CHAR_CLASSES)
-    chars = {lang: row[:width] for lang, row in table.items()}
-    bins = {lang: fold(row[None, width:], common_in[lang])[0] for lang, row in table.items()}
-    return References(words, common_in, chars, bins)
-
-
-def fold(rows: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """Rows over all listed words, reduced to a language's common words and one bin for the rest."""
-    own = rows[:, :-1][:, common]
-    return np.concatenate((own, rows.sum(axis=1, keepdims=True) - own.sum(axis=1, keepdims=True)), axis=1)
-
-
-def _word_histograms(texts: pa.Array, listed: pa.Array) -> np.ndarray:
-    """A row of counts of the listed words, and of all others, for each text."""
-    coded, counts = _plain_words(texts)
+    chars, bins = {}, {}
+    for lang, rows in _by_language(sums.toArrow()):  # languages times bins
+        found = np.zeros(width + len(common_of[lang]) + 1, np.int64)
+        found[rows.column("bin").to_numpy()] = rows.column("n").to_numpy()
+        chars[lang], bins[lang] = found[:width], found[width:]
+    return References(common_of, chars, bins)
+
+
+def _by_language(table: pa.Table) -> Iterator[tuple[str, pa.Table]]:
+    """The rows of each language, without a pass over the table for each."""
+    table = table.sort_by("lang")
+    runs = pc.run_end_encode(table.column("lang").combine_chunks())
+    first = 0
+    for lang, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()):
+        yield lang, table.slice(first, end - first)
+        first = end
+
+
+def _rows_of(langs: pa.Array) -> Iterator[tuple[str | None, np.ndarray]]:
+    """Each language of a slice and its rows."""
+    coded = langs.dictionary_encode(null_encoding="encode")
+    number = coded.indices.to_numpy(zero_copy_only=False)
+    for k, lang in enumerate(coded.dictionary.to_pylist()):
+        yield lang, np.flatnonzero(number == k)
+
+
+def _word_histograms(words: tuple[pa.DictionaryArray, np.ndarray], mine: np.ndarray, listed: pa.Array) -> np.ndarray:
+    """A row of counts of the listed words, and of all others, for each of the texts ``mine``."""
+    coded, counts = words
     place = pc.fill_null(pc.index_in(coded.dictionary.cast(pa.large_string()), value_set=listed), len(listed))
     width = len(listed) + 1
     place = place.to_numpy(zero_copy_only=False).astype(np.int64)
-    bins = place[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(len(texts)), counts)
-    return np.bincount(owner * width + bins, minlength=len(texts) * width).reshape(-1, width)
+    codes = coded.indices.to_numpy(zero_copy_only=False)[ragged((np.cumsum(counts) - counts)[mine], counts[mine])]
+    owner = np.repeat(np.arange(len(mine)), counts[mine])
+    return np.bincount(owner * width + place[codes], minlength=len(mine) * width).reshape(-1, width)
 
 
 def jensen_shannon(rows: np.ndarray, reference: np.ndarray) -> np.ndarray:
@@ -285,21 +308,17 @@ def judged(documents: DataFrame, references: References) -> DataFrame:
                 failed = (base["n_words"] < MIN_WORDS) | (
                     100 * base["n_repeat_words"] > MAX_REPEATED_PERCENT * base["n_words"]
                 )
-                chars, words = _char_histograms(texts), _word_histograms(texts, known.words)
-                langs = part.column("lang").to_pylist()
-                own = {lang: np.array([x == lang for x in langs], bool) for lang in known.chars_of}
-                homeless = ~np.logical_or.reduce([np.zeros(len(langs), bool), *own.values()])
-                distances = []
-                for rows, of, guard in (
-                    (chars, known.chars_of, chars.sum(axis=1) < GUARD_CHARS),
-                    (words, known.words_of, base["n_words"] < GUARD_WORDS),
-                ):
-                    nearest = np.full(len(langs), np.inf)
-                    for lang, histogram in of.items():
-                        mine = own[lang] | homeless
-                        seen = fold(rows[mine], known.common_in[lang]) if rows is words else rows[mine]
-                        nearest[mine] = np.minimum(nearest[mine], jensen_shannon(seen, histogram))
-                    distances.append(np.where(guard | np.isinf(nearest), np.nan, np.round(nearest, 6)))
+                chars, words = _char_histograms(texts), _plain_words(texts)
+                nearest = np.full((2, len(texts)), np.inf)
+                for own, mine in _rows_of(part.column("lang")):
+                    for lang in known.chars_of if own is None else {own} & known.chars_of.keys():
+                        seen = _word_histograms(words, mine, known.common_of[lang])
+                        found = jensen_shannon(chars[mine], known.chars_of[lang]), jensen_shannon(seen, known.words_of[lang])
+                        nearest[:, mine] = np.minimum(nearest[:, mine], found)
+                guards = chars.sum(axis=1) < GUARD_CHARS, base["n_words"] < GUARD_WORDS
+                distances = [
+                    np.where(guard | np.isinf(near), np.nan, np.round(near, 6)) for guard, near in zip(guards, nearest)
+                ]
                 far = (distances[0] > MAX_CHAR_DISTANCE) | (distances[1] > MAX_WORD_DISTANCE)
                 columns = [*base.values(), failed, ~failed & ~far]
                 yield pa.RecordBatch.from_arrays(

@@ -112,3 +112,20 @@ def test_empty_tables(spark):
     odd = spark.createDataFrame([(1, "word " * 9 + "a b c d e f", None), (2, None, None)], schema)
     got = sorted((r.doc_id, r.base_failed, r.char_distance) for r in dv.judged(odd, dv.language_references(odd)).collect())
     assert [r[0] for r in got] == [1, 2] and all(r[2] is None for r in got)
+
+
+def test_other_languages_do_not_change_a_verdict(spark, monkeypatch):
+    monkeypatch.setattr(dv, "LANGUAGE_WORDS", 250)
+    rng = random.Random(9)
+    text = lambda lang, n: " ".join(f"{lang}{rng.randint(0, 30)}" for _ in range(n))
+    tail = [(1, text("sw", 300), "sw"), (2, text("9", 200), "zz")]
+    large = [(10 + i, text("en", 3000), "en") for i in range(120)]
+    verdicts = []
+    for rows in (tail + large[:1], tail + large):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        references = dv.language_references(docs)
+        assert set(references.words_of) == {"en", "sw"}
+        got = {r.doc_id: r for r in dv.judged(docs, references).collect()}
+        assert got[2].kept and got[2].char_distance is None and got[2].word_distance is None
+        verdicts.append((got[1], got[2]))
+    assert verdicts[0] == verdicts[1] and verdicts[0][0].kept and verdicts[0][0].word_distance == 0
