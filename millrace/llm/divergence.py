@@ -10,8 +10,8 @@ histograms are noise, from being judged: each histogram counts only from a minim
 Common words are found exactly in two passes. A word with the share s in a language has that share in at
 least one slice of the text; every slice reports its words of half that share, and words whose
 reports reach half the share of the language are candidates, at most 2 / s of them. The second pass counts
-just the candidates of its language in all texts. Languages need a least number of words to have a reference, whatever
-else the corpus holds. Each keeps its own words only, at most 2 / s of them. All references reach every task, so
+just the candidates of its language in all texts, and those that fall short of the share are left out. Languages need a least number of words to have a reference, whatever
+else the corpus holds. Each keeps its own words only, at most 1 / s of them. All references reach every task, so
 their size there grows with the number of languages.
 
 Base rules (words are [^\\x20\\x09-\\x0D]+): too few words, or too many in repeated windows of five.
@@ -247,7 +247,10 @@ def language_references(documents: DataFrame) -> References:
     for lang, rows in _by_language(sums.toArrow()):  # languages times bins
         found = np.zeros(width + len(common_of[lang]) + 1, np.int64)
         found[rows.column("bin").to_numpy()] = rows.column("n").to_numpy()
-        chars[lang], bins[lang] = found[:width], found[width:]
+        counts, total = found[width:-1], found[width:].sum()
+        common = np.flatnonzero(counts >= COMMON_SHARE * total)
+        common_of[lang] = common_of[lang].take(pa.array(common))
+        chars[lang], bins[lang] = found[:width], np.append(counts[common], total - counts[common].sum())
     return References(common_of, chars, bins)
 
 

@@ -129,3 +129,24 @@ def test_other_languages_do_not_change_a_verdict(spark, monkeypatch):
         assert got[2].kept and got[2].char_distance is None and got[2].word_distance is None
         verdicts.append((got[1], got[2]))
     assert verdicts[0] == verdicts[1] and verdicts[0][0].kept and verdicts[0][0].word_distance == 0
+
+
+def test_common_words_are_exact_in_every_layout(spark):
+    rng = random.Random(4)
+    often = ["the", "of", "and", *[f"half{i}" for i in range(40)]]  # halves: 0.15 % of all words each
+    share = [0.3, 0.2, 0.1, *[0.0015] * 40]
+    rare = lambda: f"en{rng.randint(0, 9000)}"
+    rows = []
+    for i in range(100):
+        words = rng.choices([*often, None], [*share, 1 - sum(share)], k=300)
+        rows.append((i, " ".join(w or rare() for w in words), "en"))
+    held = Counter(w for _, text, _ in rows for w in plain(text))
+    exact = {w for w, n in held.items() if n >= dv.COMMON_SHARE * sum(held.values())}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for parts in (1, 7):
+        references = dv.language_references(docs.repartition(parts))
+        words = [w for w, mine in zip(references.words.to_pylist(), references.common_in["en"]) if mine]
+        assert set(words) == exact
+        assert references.words_of["en"].tolist() == [held[w] for w in words] + [
+            sum(held.values()) - sum(held[w] for w in words)
+        ]
