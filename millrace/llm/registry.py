@@ -8,6 +8,7 @@ from millrace.llm.fmindex import fmindex_query
 from millrace.llm.mixing import ORACLE as MIXING_SQL, mixing_query
 from millrace.llm.quotes import quotes_query
 from millrace.llm.records import records_query
+from millrace.llm.source_audit import ORACLE as SOURCE_AUDIT_SQL, source_audit_query
 from millrace.llm.suffixes import suffixes_query
 from millrace.llm.templates import ORACLE as TEMPLATES_SQL, templates_query
 from millrace.llm.token_counts import token_counts_query
@@ -24,9 +25,11 @@ QUERIES = {
     "op8_mixing": mixing_query,
     "op9_fmindex": fmindex_query,
     "op10_toxicity": toxicity_query,
+    "op11_source_audit": source_audit_query,
 }
 
 ORACLES: dict[str, str] = {
     "op5_templates": TEMPLATES_SQL,
     "op8_mixing": MIXING_SQL,
+    "op11_source_audit": SOURCE_AUDIT_SQL,
 }

@@ -1,0 +1,94 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from millrace.llm import source_audit as sa
+
+TERM = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
+UPPER = {i: i + 32 for i in range(65, 91)}
+
+
+def brute(docs, least, top=10):
+    counts, held, groups = defaultdict(Counter), defaultdict(Counter), defaultdict(set)
+    for lang, source, text in docs:
+        lang, source = lang or "", source or ""
+        terms = [t.translate(UPPER) for t in TERM.findall(text or "")]
+        groups[lang].add(source)
+        counts[lang, source].update(terms)
+        held[lang].update(set(terms))
+    out = []
+    for lang, sources in groups.items():
+        kept = [t for t, n in held[lang].items() if n >= least]
+        v = len(kept)
+
+        def shares(of):
+            n = sum(of[t] for t in kept)
+            return {t: 1 + 10**9 * (of[t] + 2) // (n + 2 * v) for t in kept}
+
+        q = shares(sum((counts[lang, s] for s in sources), Counter()))
+        p = {s: shares(counts[lang, s]) for s in sources}
+        f = lambda a, b: (a - b) ** 2 // (a + b)
+        for s in sources:
+            pairs = [(-sum(f(p[s][t], p[o][t]) for t in kept), o.encode(), o) for o in sources if o != s]
+            out += [(lang, s, "pair", o, -x, i + 1) for i, (x, _, o) in enumerate(sorted(pairs))]
+            terms = [(-f(p[s][t], q[t]), t.encode(), t) for t in kept if counts[lang, s][t] and p[s][t] > q[t]]
+            out += [(lang, s, "term", t, -x, i + 1) for i, (x, _, t) in enumerate(sorted(terms)[:top])]
+    return sorted(out)
+
+
+def corpus():
+    rng = random.Random(3)
+    words = ["Alpha", "beta", "ALPHA", "été", "ÉTÉ", "日本", "x" * 70 + "a", "x" * 70 + "b", "eightlen", "eightlens", "z"]
+    words += [a + b for a in "bcdf" for b in "aeiou"] + ["a1b", "c-d", "q\x00r", "[y]", "~w`"]
+    docs = []
+    for i in range(300):
+        some = rng.sample(words, 12)
+        text = rng.choice([" ", "  ", "\n", ", "]).join(rng.choice(some) for _ in range(rng.randint(0, 60)))
+        docs.append((rng.choice(["en", "en", "fr", None]), rng.choice(["s1", "s2", "é", "", None]), text))
+    docs += [("tiny", "a", "once"), ("tiny", "b", None), ("alone", "a", "word " * 30), ("en", "empty", ""), ("en", "empty", "12 34")]
+    return docs + docs[:40]  # repeated rows
+
+
+@pytest.mark.parametrize("shard, cells, parts", [(1 << 20, 1 << 15, 3), (300, 7, 5)])
+def test_against_brute_force(spark, shard, cells, parts):
+    docs = corpus()
+    rows = [(*d, 1, "no") for d in docs]
+    frame = spark.createDataFrame(rows, "lang string, source string, text string, count int, term string").repartition(parts)
+    got = sa.audit_sources(frame, shard_bytes=shard, slice_cells=cells)
+    assert got.dtypes == [
+        ("lang", "string"), ("source", "string"), ("part", "string"), ("item", "string"), ("value", "bigint"), ("rank", "int")
+    ]
+    assert sorted(map(tuple, got.collect())) == brute(docs, 10)
+
+
+def test_pointer_sort_is_a_stable_sort():
+    rng = random.Random(5)
+    pool = [bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 20))) for _ in range(60)]
+    pool += [b"a" * n for n in (7, 8, 9, 16, 63, 64, 65, 4000)] + [b"a" * 4000 + b"b"]
+    for n in (0, 1, 2, 500):
+        strings = [rng.choice(pool) for _ in range(n)]
+        lengths = np.array([len(s) for s in strings], np.int64)
+        starts = np.cumsum(lengths) - lengths
+        order, new = sa.pointer_sort(np.frombuffer(b"".join(strings), np.uint8), starts, lengths)
+        want = sorted(range(n), key=lambda i: (strings[i], i))
+        assert order.tolist() == want
+        assert new.tolist() == [i == 0 or strings[want[i]] != strings[want[i - 1]] for i in range(n)]
+
+
+def test_very_long_text_and_large_counts(spark):
+    docs = [("en", "a", "long " * 200_000), ("en", "b", "L" * 300_000), ("en", "b", "L" * 300_000)] + [("en", "b", "long x")] * 10
+    frame = spark.createDataFrame(docs, "lang string, source string, text string")
+    assert sorted(map(tuple, sa.audit_sources(frame).collect())) == brute(docs, 10)
+    c = spark.sql("SELECT 9000000000000L AS c, 9500000000000L AS n, 3L AS v")
+    from pyspark.sql import functions as F
+
+    share = c.select(sa._share(F.col("c"), F.col("n"), F.col("v")).alias("p")).first().p
+    assert share == 1 + 10**9 * (9_000_000_000_000 + 2) // (9_500_000_000_000 + 6)
+
+
+def test_empty_table(spark):
+    none = spark.createDataFrame([], "lang string, source string, text string")
+    assert sa.audit_sources(none).count() == 0
