@@ -1,0 +1,144 @@
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from millrace.llm import runs as rn
+
+WORD = re.compile("[^\x20\x09-\x0d]+")
+
+
+def smallest_period(words):
+    return next(q for q in range(1, len(words) + 1) if words[q:] == words[: len(words) - q])
+
+
+def brute_runs(words):
+    n, found = len(words), []
+    for q in range(1, n // 4 + 1):
+        j = 0
+        while j < n - q:
+            if words[j] != words[j + q]:
+                j += 1
+                continue
+            start = j
+            while j < n - q and words[j] == words[j + q]:
+                j += 1
+            length = j - start + q
+            if length >= max(6, 4 * q) and smallest_period(words[start : start + length]) == q:
+                found.append((start, length, q))
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def brute(doc_id, text):
+    """One row of the query."""
+    words = WORD.findall(text or "")
+    n = len(words)
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    g = h // 10
+    if h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = brute_runs(words)
+    gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+    best = min(runs, key=lambda r: (-r[1], r[0], r[2])) if runs else (None, None, None)
+    return (
+        doc_id,
+        len(runs),
+        *best,
+        1000 * best[1] // best[2] if runs else None,
+        hashlib.sha256("".join(f"{s},{m},{q}\n" for s, m, q in runs).encode()).hexdigest(),
+        hashlib.sha256(" ".join(w for i, w in enumerate(words) if i not in gone).encode()).hexdigest(),
+    )
+
+
+def periodic_texts(rng):
+    texts = []
+    for _ in range(120):
+        words = []
+        for _ in range(rng.randint(1, 6)):
+            piece = [rng.choice("abc") for _ in range(rng.randint(1, 9))]
+            words += piece * rng.randint(1, 7) + piece[: rng.randint(0, len(piece))]
+        texts.append(words)
+    long = [rng.choice("abcdefgh") for _ in range(150)]
+    texts += [["a"] * 700, long * 5, ["x"] + long * 4 + long[:40] + ["y"], (["a"] * 40 + ["b"]) * 6, [], ["a"] * 5, ["a"] * 6]
+    fib = ["a"], ["a", "b"]
+    for _ in range(12):
+        fib = fib[1], fib[1] + fib[0]
+    return [*texts, fib[1], [c for c in "abababab"], [rng.choice("ab") for _ in range(2000)]]
+
+
+def test_runs_against_brute_force():
+    texts = periodic_texts(random.Random(1))
+    numbers = {}
+    codes = np.array([numbers.setdefault(w, len(numbers)) for t in texts for w in t], np.int64)
+    got = list(zip(*(x.tolist() for x in rn.find_runs(codes, np.array([len(t) for t in texts], np.int64)))))
+    want = [(d, *run) for d, t in enumerate(texts) for run in brute_runs(t)]
+    assert got == want and len(want) > 200
+    rn_points, rn.GRID_POINTS = rn.GRID_POINTS, 13  # any cut of the grid gives the same
+    try:
+        few = np.array([len(t) for t in texts[:20]], np.int64)
+        cut = list(zip(*(x.tolist() for x in rn.find_runs(codes[: few.sum()], few))))
+    finally:
+        rn.GRID_POINTS = rn_points
+    assert cut == [r for r in want if r[0] < 20]
+
+
+def test_extensions_and_minima():
+    rng = np.random.default_rng(2)
+    words = np.concatenate([rng.integers(1, 3, 400), np.tile(rng.integers(1, 9, 37), 20), np.ones(300, np.int64)])
+    codes = np.append(words, 0)
+    ends = np.array([len(words)])
+    extend = rn.Extensions(codes, ends)
+    pairs = np.sort(rng.integers(0, len(words), (4000, 2)), axis=1)
+    pairs = pairs[pairs[:, 0] < pairs[:, 1]]
+    got = extend(pairs[:, 0], pairs[:, 1], np.full(len(pairs), len(words)))
+    for (i, j), n in zip(pairs.tolist(), got.tolist(), strict=True):
+        assert (words[i : i + n] == words[j : j + n]).all()
+        assert j + n == len(words) or words[i + n] != words[j + n]
+    values = rng.integers(0, 1000, 333).astype(np.int32)
+    least = rn.RangeMin(values)
+    low, high = np.sort(rng.integers(0, 333, (2000, 2)), axis=1).T
+    assert least(low, high).tolist() == [values[a : b + 1].min() for a, b in zip(low, high)]
+
+
+def test_query_columns_against_brute_force(spark, tmp_path):
+    rng = random.Random(4)
+    planted = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 10 == 0][:60]
+    texts = {i: rng.choice([" ", "\n", "\t  "]).join(f"w{rng.randint(0, 40)}" for _ in range(rng.randint(0, 150))) for i in planted}
+    rows = list(texts.items()) + [(4001 + k, " ".join(t)) for k, t in enumerate(periodic_texts(rng))]
+    rows += [(9000, None), (9001, ""), (9002, " \x0b\x0c \r\n"), (9003, "é " * 9), (9004, "a\x1fb a\x85b " * 5), (None, "a " * 8)]
+    rows += [(planted[0], None), (planted[1], " "), (4001, rows[60][1])]
+    docs = [(*r, "odd", 1) for r in rows]
+    schema = "doc_id long, text string, runs string, h int"
+    spark.createDataFrame(docs, schema).repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
+    got = rn.runs_query(spark, str(tmp_path))
+    assert got.columns[:8] == [
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"
+    ]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted((brute(*r) for r in rows), key=str)
+
+
+def test_collapsed_texts_and_planted_words(spark):
+    docs = spark.createDataFrame([(1, "x a b a b a b a b y"), (2, "q " * 6), (3, None)], "doc_id long, text string")
+    got = {r.doc_id: r for r in rn.periodic_runs(docs).collect()}
+    assert got[1].collapsed == "x a b y" and [tuple(r) for r in got[1].runs] == [(1, 8, 2)]
+    assert got[2].collapsed == "q" and got[3].collapsed == "" and got[3].n_words == 0 and got[3].runs == []
+
+
+@pytest.mark.parametrize("text", ["same " * 400_000, " ".join(f"w{i % 70_000}" for i in range(300_000)), "x" * 3_000_000])
+def test_very_long_text(spark, text):
+    docs = spark.createDataFrame([(1, text), (2, "a b")], "doc_id long, text string")
+    row = rn.periodic_runs(docs).where("doc_id = 1").first()
+    words = text.split()
+    period = len(set(words))
+    assert [tuple(r) for r in row.runs] == ([(0, len(words), period)] if len(words) > 1 else [])
+    assert row.collapsed == " ".join(words[:period])
+
+
+def test_empty_table(spark):
+    none = spark.createDataFrame([], "doc_id string, text string")
+    assert rn.periodic_runs(rn.with_planted_runs(none)).count() == 0
