@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 
 #: Text bytes handled at once inside a task; one longer text is handled alone.
@@ -122,6 +123,26 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
 
 
+def cut_strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The strings data[start:end] as a large_binary array."""
+    sizes = ends - starts
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data[ragged(starts, sizes)])]
+    )
+
+
+def digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seeds: np.ndarray | None = None) -> np.ndarray:
+    """XXH3-128 of the bytes of each string data[start:end], as two columns of 64-bit integers."""
+    view, digest = memoryview(np.ascontiguousarray(data)), xxhash.xxh3_128_digest
+    spans = zip(starts.tolist(), ends.tolist(), strict=True)
+    if seeds is None:
+        found = [digest(view[a:b]) for a, b in spans]
+    else:
+        found = [digest(view[a:b], seed) for (a, b), seed in zip(spans, seeds.tolist(), strict=True)]
+    return np.frombuffer(b"".join(found), np.int64).reshape(-1, 2)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser on unsigned 64-bit integers (splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

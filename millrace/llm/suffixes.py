@@ -4,17 +4,19 @@ Every string of ``length`` bytes is assigned to its anchor: the place of the lea
 strings have equal anchors, so they meet under the hash of their anchor's k-gram, and only one suffix in
 about seventy, those at anchors, takes part. An anchor stands for a block of neighbouring strings.
 
-* Anchors whose k-gram occurs once are dropped; blocks equal as a whole are settled by counting.
+* Anchors whose k-gram occurs once are dropped; blocks equal as a whole, by a 128-bit hash of their bytes, are settled
+  by counting.
 * Blocks that share an anchor but differ are told apart by sorting. The text behind the anchor and the
   text before it (backwards) are each sorted by mergesort; two suffixes are compared through prefix
   polynomial hashes, where a binary search finds their common extension in a logarithm of its
   length. The bytes of neighbours in the order are compared with the claimed extension; a group with a
   collision is sorted by its bytes. Two strings of a group at the same place before the anchor are equal
   exactly if they share a run of both orders with long enough extensions.
-* A group of very many blocks is split: its strings are counted one by one under their own hash.
+* A group of very many blocks is split: its strings are counted one by one under a 128-bit hash of their own bytes.
 
-Removed are the bytes of all strings found twice; matches do not cross documents. Texts are known by hash
-and size, so copies of a text share their spans.
+Removed are the bytes of all strings found twice; matches do not cross documents. Texts are known by a 128-bit hash
+of their bytes, so copies of a text share their spans. Polynomial hashes only choose anchors, bring strings together
+and steer the sort, whose result is compared byte by byte; no two strings count as equal because such hashes are.
 
 Defined results: null is the empty text. Texts shorter than ``length`` lose nothing. Repeated rows are copies
 of each other, so they lose all their strings. No rows give no rows. Other columns are left out.
@@ -32,6 +34,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from millrace.llm.arrow_text import (
     bounded_batches,
+    digests,
     flat_bytes,
     mix64,
     prefix_hashes,
@@ -50,13 +53,11 @@ GROUP_BLOCKS = 1000
 #: Blocks sorted together in a task, in whole groups.
 SORT_BLOCKS = 20_000
 
-_PLACE_BITS = 23
-_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-
+#: Both halves of the hash that stands for a text, and for a block with the place of its anchor.
+TEXT = ["text_id", "text_mark"]
+HULL = ["hull", "hull_mark"]
 
-def text_ids(data: np.ndarray, offsets: np.ndarray, sums: np.ndarray) -> np.ndarray:
-    sizes = np.diff(offsets).astype(np.uint64)
-    return mix64(span_hashes(sums, offsets[:-1], offsets[1:]) + sizes * _GOLDEN).view(np.int64)
+_PLACE_BITS = 23
 
 
 def _least_places(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -81,28 +82,34 @@ def _least_places(hashes: np.ndarray, width: int) -> np.ndarray:
 def blocks_of(
     data: np.ndarray, offsets: np.ndarray, sums: np.ndarray, length: int, anchor: int
 ) -> tuple[np.ndarray, ...]:
-    """Blocks as text number, first string, number of strings, anchor behind the first, key and hull hash.
+    """Blocks as text number, first string, number of strings, anchor behind the first and key.
 
     Places count from the first byte of ``data``.
     """
     if len(data) < length:
-        return tuple(np.zeros(0, np.int64) for _ in range(6))
+        return tuple(np.zeros(0, np.int64) for _ in range(5))
     at = np.arange(len(data) - anchor + 1)
     grams = mix64(span_hashes(sums, at, at + anchor))
     least = _least_places(grams, length - anchor + 1)
     first = ragged(offsets[:-1], np.maximum(np.diff(offsets) - length + 1, 0))  # where a string begins
     if not len(first):
-        return tuple(np.zeros(0, np.int64) for _ in range(6))
+        return tuple(np.zeros(0, np.int64) for _ in range(5))
     place = least[first]
     new = np.ones(len(first), bool)
     new[1:] = (place[1:] != place[:-1]) | (first[1:] != first[:-1] + 1)
     begin = np.flatnonzero(new)
     low, many = first[begin], np.diff(np.append(begin, len(first)))
     where = place[begin]
-    hull = span_hashes(sums, low, low + many - 1 + length)
-    hull = mix64(mix64(hull + many.astype(np.uint64) * _GOLDEN) + (where - low).astype(np.uint64))
     text = np.searchsorted(offsets, low, side="right") - 1
-    return text, low, many, where - low, grams[where].view(np.int64), hull.view(np.int64)
+    return text, low, many, where - low, grams[where].view(np.int64)
+
+
+def _pair(hashes: np.ndarray) -> list[pa.Array]:
+    return [pa.array(np.ascontiguousarray(hashes[:, k])) for k in range(2)]
+
+
+def _longs(names: list[str]) -> str:
+    return ", ".join(f"{n} long" for n in names)
 
 
 def _anchored(documents: DataFrame, length: int, anchor: int, keys_only: bool) -> DataFrame:
@@ -110,43 +117,39 @@ def _anchored(documents: DataFrame, length: int, anchor: int, keys_only: bool) -
         for batch in batches:
             for part in slices(batch, "text"):
                 data, offsets = flat_bytes(texts_of(part, "text"))
-                sums = prefix_hashes(data)
-                text, low, many, behind, key, hull = blocks_of(data, offsets, sums, length, anchor)
+                text, low, many, behind, key = blocks_of(data, offsets, prefix_hashes(data), length, anchor)
                 if keys_only:
                     yield pa.RecordBatch.from_arrays([pa.array(key)], ["key"])
                     continue
-                ids, sizes = text_ids(data, offsets, sums), np.diff(offsets)
+                ids = digests(data, offsets[:-1], offsets[1:])[text]
+                hulls = digests(data, low, low + many - 1 + length, behind)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(key),
-                        pa.array(hull),
-                        pa.array(ids[text]),
-                        pa.array(sizes[text].astype(np.int32)),
+                        *_pair(hulls),
+                        *_pair(ids),
                         pa.array((low - offsets[text]).astype(np.int32)),
                         pa.array(many.astype(np.int16)),
                         pa.array(behind.astype(np.int16)),
                     ],
-                    ["key", "hull", "text_id", "size", "low", "many", "behind"],
+                    ["key", *HULL, *TEXT, "low", "many", "behind"],
                 )
 
-    schema = "key long" if keys_only else "key long, hull long, text_id long, size int, low int, many short, behind short"
+    schema = "key long" if keys_only else f"key long, {_longs(HULL)}, {_longs(TEXT)}, low int, many short, behind short"
     return bounded_batches(documents).select("text").mapInArrow(find, schema)
 
 
 def _named(documents: DataFrame) -> DataFrame:
-    """Add text_id and size to the columns of ``documents``."""
+    """Add the hash of the text to the columns of ``documents``."""
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 data, offsets = flat_bytes(texts_of(part, "text"))
-                ids = text_ids(data, offsets, prefix_hashes(data))
-                sizes = np.diff(offsets).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(ids), pa.array(sizes)], [*part.schema.names, "text_id", "size"]
-                )
+                ids = digests(data, offsets[:-1], offsets[1:])
+                yield pa.RecordBatch.from_arrays([*part.columns, *_pair(ids)], [*part.schema.names, *TEXT])
 
-    fields = [*documents.schema.fields, T.StructField("text_id", T.LongType()), T.StructField("size", T.IntegerType())]
+    fields = [*documents.schema.fields, *[T.StructField(c, T.LongType()) for c in TEXT]]
     return bounded_batches(documents).mapInArrow(name, T.StructType(fields))
 
 
@@ -228,12 +231,17 @@ class Suffixes:
         return order, shared
 
     def _collisions(self, order: np.ndarray, rows: np.ndarray, shared: np.ndarray) -> np.ndarray:
-        """Rows whose bytes are not those of the row before, over the claimed extension, or go on alike."""
+        """Rows that do not share the claimed extension with the row before, byte by byte, or stand before it."""
         one, two, length = order[rows - 1], order[rows], shared[rows]
         a, b = ragged(self.starts[one], length), ragged(self.starts[two], length)
         owner = np.repeat(np.arange(len(rows)), length)
         wrong = np.zeros(len(rows), bool)
         wrong[owner[self.data[a] != self.data[b]]] = True
+        # Behind what they share, the first ends or has the smaller byte; a collision may also have misled the merge.
+        goes_on, ended = length < self.lengths[one], length >= self.lengths[two]
+        wrong |= goes_on & ended
+        at = np.flatnonzero(goes_on & ~ended)
+        wrong[at] |= self.data[self.starts[one[at]] + length[at]] >= self.data[self.starts[two[at]] + length[at]]
         return rows[wrong]
 
 
@@ -269,18 +277,15 @@ def repeated_strings(rows: pa.Table, length: int) -> np.ndarray:
     return flags
 
 
-_OPEN = "array<struct<key:bigint,hull:bigint,low:int,many:smallint,behind:smallint,n:bigint,blocks:bigint>>"
-_CONTEXT = "key long, text_id long, size int, low int, many short, behind short, n long, blocks long, context binary"
-_SPAN = "text_id long, size int, low int, many int"
+_CONTEXT = f"key long, {_longs(TEXT)}, low int, many short, behind short, n long, blocks long, context binary"
+_SPAN = f"{_longs(TEXT)}, low int, many int"
 
 
 def _contexts(documents: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """The bytes of one block of each (key, hull) in ``wanted``."""
-    texts = (
-        _named(documents.select("text")).groupBy("text_id", "size").agg(F.first("text").alias("text"))
-    )
-    of_text = wanted.groupBy("text_id", "size").agg(
-        F.collect_list(F.struct("key", "hull", "low", "many", "behind", "n", "blocks")).alias("open")
+    texts = _named(documents.select("text")).groupBy(*TEXT).agg(F.first("text").alias("text"))
+    of_text = wanted.groupBy(*TEXT).agg(
+        F.collect_list(F.struct("key", "low", "many", "behind", "n", "blocks")).alias("open")
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,15 +302,14 @@ def _contexts(documents: DataFrame, wanted: DataFrame, length: int) -> DataFrame
                 yield pa.RecordBatch.from_arrays(
                     [
                         blocks.field("key"),
-                        part.column("text_id").take(parents),
-                        part.column("size").take(parents),
+                        *[part.column(c).take(parents) for c in TEXT],
                         *[blocks.field(c) for c in ("low", "many", "behind", "n", "blocks")],
                         pa.array(held, pa.binary()),
                     ],
-                    ["key", "text_id", "size", "low", "many", "behind", "n", "blocks", "context"],
+                    ["key", *TEXT, "low", "many", "behind", "n", "blocks", "context"],
                 )
 
-    return texts.join(of_text, ["text_id", "size"]).mapInArrow(cut, _CONTEXT)
+    return texts.join(of_text, TEXT).mapInArrow(cut, _CONTEXT)
 
 
 def _sorted_spans(contexts: DataFrame, length: int) -> DataFrame:
@@ -320,12 +324,11 @@ def _sorted_spans(contexts: DataFrame, length: int) -> DataFrame:
         begin = rows["low"].to_numpy()[row] + rows["behind"].to_numpy()[row] - (stop - 1)
         return pa.RecordBatch.from_arrays(
             [
-                rows["text_id"].combine_chunks().take(pa.array(row)),
-                rows["size"].combine_chunks().take(pa.array(row)),
+                *[rows[c].combine_chunks().take(pa.array(row)) for c in TEXT],
                 pa.array(begin.astype(np.int32)),
                 pa.array((stop - first).astype(np.int32)),
             ],
-            ["text_id", "size", "low", "many"],
+            [*TEXT, "low", "many"],
         )
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -350,61 +353,60 @@ def _sorted_spans(contexts: DataFrame, length: int) -> DataFrame:
 
 def _counted_spans(contexts: DataFrame, length: int) -> DataFrame:
     """The same for groups of very many blocks: each string is counted under its own hash."""
+    name = ["name", "name_mark"]
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "context"):
                 data, offsets = flat_bytes(part.column("context").cast(pa.large_binary()))
-                sums = prefix_hashes(data)
                 many = part.column("many").to_numpy().astype(np.int64)
                 row, inner = np.repeat(np.arange(len(many)), many), ragged(np.zeros(len(many), np.int64), many)
                 start = offsets[row] + inner
-                name = mix64(span_hashes(sums, start, start + length)).view(np.int64)
+                names = digests(data, start, start + length)
                 rows = pa.array(row)
                 low = part.column("low").to_numpy()[row] + inner
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("key").take(rows),
-                        pa.array(name),
-                        part.column("text_id").take(rows),
-                        part.column("size").take(rows),
+                        *_pair(names),
+                        *[part.column(c).take(rows) for c in TEXT],
                         pa.array(low.astype(np.int32)),
                         part.column("n").take(rows),
                     ],
-                    ["key", "name", "text_id", "size", "low", "n"],
+                    ["key", *name, *TEXT, "low", "n"],
                 )
 
-    strings = contexts.mapInArrow(explode, "key long, name long, text_id long, size int, low int, n long")
-    counted = strings.groupBy("key", "name").agg(F.sum("n").alias("all"))
+    strings = contexts.mapInArrow(explode, f"key long, {_longs(name)}, {_longs(TEXT)}, low int, n long")
+    counted = strings.groupBy(*name).agg(F.sum("n").alias("all"))
     twice = stage(counted.where("all > 1").drop("all"), "strings")
-    return strings.where("n = 1").join(twice, ["key", "name"]).select("text_id", "size", "low", F.lit(1).alias("many"))
+    return strings.where("n = 1").join(twice, name).select(*TEXT, "low", F.lit(1).alias("many"))
 
 
 def repeated_spans(documents: DataFrame, length: int = LENGTH, anchor: int = ANCHOR_BYTES) -> DataFrame:
-    """text_id, size and the starts of repeated strings as ``spans`` of (low, many)."""
+    """The hash of each text and the starts of its repeated strings as ``spans`` of (low, many)."""
     keys = _anchored(documents, length, anchor, keys_only=True).groupBy("key").agg(F.count("*").alias("times"))
     # Written first: Spark splits a hot key of a join only if no aggregation stands under it.
     twice = stage(keys.where("times > 1").select("key"), "keys")
     blocks = _anchored(documents, length, anchor, keys_only=False)
     shared = stage(blocks.join(twice, "key"), "blocks")
-    place = F.min(F.struct("text_id", "size", "low", "many", "behind")).alias("place")
-    hulls = stage(shared.groupBy("key", "hull").agg(F.count("*").alias("n"), place), "hulls")
-    whole = shared.join(hulls.where("n > 1").select("key", "hull"), ["key", "hull"])
+    place = F.min(F.struct(*TEXT, "low", "many", "behind")).alias("place")
+    hulls = stage(shared.groupBy("key", *HULL).agg(F.count("*").alias("n"), place), "hulls")
+    whole = shared.join(hulls.where("n > 1").select("key", *HULL), ["key", *HULL])
     groups = hulls.groupBy("key").agg(F.count("*").alias("blocks"), F.min("n").alias("least"))
     wanted = hulls.join(stage(groups.where("blocks > 1 and least = 1").drop("least"), "groups"), "key")
-    contexts = stage(_contexts(documents, wanted.select("key", "hull", "n", "blocks", "place.*"), length), "contexts")
-    found = whole.select("text_id", "size", "low", F.col("many").cast("int").alias("many"))
+    contexts = stage(_contexts(documents, wanted.select("key", "n", "blocks", "place.*"), length), "contexts")
+    found = whole.select(*TEXT, "low", F.col("many").cast("int").alias("many"))
     found = found.union(_sorted_spans(contexts.where(F.col("blocks") <= GROUP_BLOCKS), length))
     found = found.union(_counted_spans(contexts.where(F.col("blocks") > GROUP_BLOCKS), length))
     # Copies of a text find the same strings, so a text has no more of them than bytes.
-    once = found.groupBy("text_id", "size", "low").agg(F.max("many").alias("many"))
-    return once.groupBy("text_id", "size").agg(F.collect_list(F.struct("low", "many")).alias("spans"))
+    once = found.groupBy(*TEXT, "low").agg(F.max("many").alias("many"))
+    return once.groupBy(*TEXT).agg(F.collect_list(F.struct("low", "many")).alias("spans"))
 
 
 def without_repeats(documents: DataFrame, length: int = LENGTH, anchor: int = ANCHOR_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed ``spans`` (first, end) in bytes."""
     spans = stage(repeated_spans(documents, length, anchor), "repeats")
-    named = _named(documents.select("doc_id", "text")).join(spans, ["text_id", "size"], "left")
+    named = _named(documents.select("doc_id", "text")).join(spans, TEXT, "left")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -85,3 +85,37 @@ def test_long_text_against_itself(spark):
     docs = [(1, text + text[100:900]), (2, text[5000:5300])]
     got = sorted(tuple(r)[:5] for r in sx.without_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect())
     assert got == brute([(i, t.encode()) for i, t in docs], 200)
+
+
+def thue_morse(length, letters="ab"):
+    return "".join(letters[bin(i).count("1") & 1] for i in range(length))
+
+
+@pytest.mark.parametrize("group", [1000, 2])
+def test_texts_with_equal_polynomial_hashes_stay_apart(spark, group, monkeypatch):
+    """A Thue-Morse string and its complement have one polynomial hash modulo 2**64, whatever the base."""
+    monkeypatch.setattr(sx, "GROUP_BLOCKS", group)
+    rng = random.Random(6)
+    head = "".join(rng.choice("cdefgh") for _ in range(100))
+    one, two = thue_morse(1024), thue_morse(1024, "ba")
+    tail = "".join(rng.choice("cdefgh") for _ in range(300))
+    docs = [(1, head + one), (2, head + two), (3, head + one[:150] + tail), (4, two + tail), (5, one[:600] + tail)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    for length, anchor in ((200, 64), (120, 40)):
+        got = sx.without_repeats(frame, length=length, anchor=anchor)
+        found = sorted((tuple(r)[:5] for r in got.collect()), key=str)
+        assert found == brute([(i, t.encode()) for i, t in docs], length)
+
+
+def test_sort_is_right_after_a_misled_merge(monkeypatch):
+    """With hashes that call too much equal, the order still comes out by the bytes."""
+    rng = random.Random(3)
+    pieces = [bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 30))) for _ in range(200)]
+    group = np.sort(np.array([rng.randint(0, 5) for _ in pieces]))
+    real = sx.span_hashes
+    monkeypatch.setattr(sx, "span_hashes", lambda sums, a, b: real(sums, a, b) & np.uint64(3))
+    order, shared = sx.Suffixes(pieces).sort(group)
+    assert [pieces[i] for i in order] == [t for g in range(6) for t in sorted(p for p, h in zip(pieces, group) if h == g)]
+    for at in np.flatnonzero(group[1:] == group[:-1]) + 1:
+        one, two = pieces[order[at - 1]], pieces[order[at]]
+        assert shared[at] == next((k for k, (x, y) in enumerate(zip(one, two)) if x != y), min(len(one), len(two)))
