@@ -35,13 +35,12 @@ from millrace.llm.arrow_text import (
     bounded_batches,
     BLANKS,
     byte_flags,
+    cut_strings,
     flat_bytes,
     mix64,
     placed_words,
-    prefix_hashes,
     ragged,
     slices,
-    span_hashes,
     texts_of,
 )
 from millrace.scratch import stage
@@ -137,7 +136,7 @@ def base_counts(texts: pa.Array) -> dict[str, np.ndarray]:
     ends = np.where((behind > starts) & newline[np.maximum(behind - 1, 0)], behind - 1, behind)
     worded = np.concatenate(([0], np.cumsum(inside)))
     real = (worded[ends] > worded[starts]) & (line_text < many)
-    lines = mix64(span_hashes(prefix_hashes(data), starts[real], ends[real]) + (ends - starts)[real].astype(np.uint64))
+    lines = cut_strings(data, starts[real], ends[real]).dictionary_encode().indices.to_numpy(zero_copy_only=False)
     twice = np.bincount(line_text[real][_repeats(lines, line_text[real])[1]], minlength=many)
     # Windows of five words.
     codes = words.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.uint64)

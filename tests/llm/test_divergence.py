@@ -150,3 +150,11 @@ def test_common_words_are_exact_in_every_layout(spark):
         assert references.words_of["en"].tolist() == [held[w] for w in words] + [
             sum(held.values()) - sum(held[w] for w in words)
         ]
+
+
+def test_lines_with_equal_polynomial_hashes_are_no_duplicates():
+    one = "".join("ab"[bin(i).count("1") & 1] for i in range(1024))
+    two = one.translate(str.maketrans("ab", "ba"))
+
+    found = dv.base_counts(pa.array([f"{one}\n{two}", f"{one}\n{two}\n{one}", "x\n\nx\n y"], pa.large_string()))
+    assert found["n_dup_lines"].tolist() == [0, 1, 1]
