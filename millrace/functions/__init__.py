@@ -1,4 +1,4 @@
-from millrace.functions.columns import add_constants, drop_columns, stamp
+from millrace.functions.columns import add_constants, drop_columns, free_prefix, stamp
 from millrace.functions.json_text import (
     first_char,
     is_json,
@@ -16,6 +16,7 @@ __all__ = [
     "content_hash",
     "drop_columns",
     "first_char",
+    "free_prefix",
     "is_json",
     "is_json_object",
     "line_kind",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -21,3 +21,11 @@ def stamp(df: DataFrame, name: str) -> DataFrame:
 
 def drop_columns(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*names)
+
+
+def free_prefix(names: Iterable[str]) -> str:
+    """A prefix that none of ``names`` starts with, for columns that live inside an operator only."""
+    taken, prefix = [n.lower() for n in names], "_"
+    while any(n.startswith(prefix) for n in taken):
+        prefix += "_"
+    return prefix

@@ -17,6 +17,7 @@ whether Spark broadcasts them or falls back to a shuffle join.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -28,14 +29,39 @@ from millrace.defaults import (
     SHARD_MB_SMALL_INPUT,
     SMALL_INPUT_MB,
 )
+from millrace.errors import SchemaError
+from millrace.functions.columns import free_prefix
 from millrace.scratch import stage
 
 MB = 1024 * 1024
 
-_PART = "_part"
-_ROW = "_row"
-_SIZE = "_size"
-_BLOCK = "_block"
+
+class Names(NamedTuple):
+    """Columns of an operator's own, none of which the rows have."""
+
+    tie: str
+    place: str
+    id: str
+    part: str
+    row: str
+    size: str
+    block: str
+    first: str
+    total: str
+    range: str
+    held: str
+    base: str
+    offset: str
+    before: str
+    low: str
+    high: str
+    position: str
+
+    @classmethod
+    def beside(cls, df: DataFrame, *more: str) -> Names:
+        prefix = free_prefix([*df.columns, *more])
+        return cls(*[prefix + name for name in cls._fields])
+
 
 # Salt of the second content hash.
 _SECOND = 0x5EED
@@ -56,35 +82,36 @@ def shard_mb_for(total_bytes: int) -> int:
 
 def _place(
     df: DataFrame,
+    names: Names,
     order_by: Sequence[str | Column] | None,
     segments: Sequence[str],
     size: Column | None,
     keep: Sequence[str] | None = None,
 ) -> tuple[DataFrame, list[str]]:
     """Write ``df``, or its columns ``keep``, with the segment and the row number inside it."""
-    extra = {} if size is None else {_SIZE: F.coalesce(size.cast("bigint"), F.lit(0))}
+    extra = {} if size is None else {names.size: F.coalesce(size.cast("bigint"), F.lit(0))}
     if order_by:
         # Rows that share a key still spread over several ranges and tasks: they
         # are told apart by content, and equal rows by their place in the scan.
-        full = [*order_by, F.col("_tie"), F.col("_place")]
+        full = [*order_by, F.col(names.tie), F.col(names.place)]
         tied = df.withColumns(
-            {"_tie": _content_hash(df), "_place": F.monotonically_increasing_id()}
+            {names.tie: _content_hash(df), names.place: F.monotonically_increasing_id()}
         )
         ranged = tied.repartitionByRange(*full).sortWithinPartitions(*full)
-        numbered = ranged.withColumn("_id", F.monotonically_increasing_id())
+        numbered = ranged.withColumn(names.id, F.monotonically_increasing_id())
         placed = numbered.withColumns(
             {
-                _PART: F.shiftright("_id", _ROW_BITS),
-                _ROW: F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)),
+                names.part: F.shiftright(names.id, _ROW_BITS),
+                names.row: F.col(names.id).bitwiseAND(F.lit((1 << _ROW_BITS) - 1)),
                 **extra,
             }
-        ).drop("_id", "_tie", "_place")
+        ).drop(names.id, names.tie, names.place)
         if keep is not None:
-            placed = placed.select(*keep, _PART, _ROW, *extra)
-        return stage(placed, "placed"), [_PART]
+            placed = placed.select(*keep, names.part, names.row, *extra)
+        return stage(placed, "placed"), [names.part]
     if not segments:
         raise ValueError("give order_by, or segments that name the file and block of each row")
-    placed = df.withColumns({_ROW: F.monotonically_increasing_id(), **extra})
+    placed = df.withColumns({names.row: F.monotonically_increasing_id(), **extra})
     return stage(placed, "placed"), list(segments)
 
 
@@ -95,30 +122,48 @@ def _content_hash(df: DataFrame, *salt: Column) -> Column:
     return F.xxhash64(*salt, *[F.col(f"`{n}`") for n in hashed]) if hashed else F.lit(0).cast("bigint")
 
 
-def _offsets(placed: DataFrame, segments: list[str], total: Column) -> DataFrame:
+def _offsets(placed: DataFrame, names: Names, segments: list[str], total: Column) -> DataFrame:
     """Per segment: its first row number and the total of all segments before it.
 
     Segments are as many as input blocks, so they are added up in sorted ranges, and only the
     totals of the ranges, one row per task, meet in one place.
     """
     totals = placed.groupBy(*segments).agg(
-        F.min(_ROW).alias("_first"), total.cast("bigint").alias("_total")
+        F.min(names.row).alias(names.first), total.cast("bigint").alias(names.total)
     )
-    ranged = totals.repartitionByRange(*segments).withColumn("_range", F.spark_partition_id())
+    ranged = totals.repartitionByRange(*segments).withColumn(names.range, F.spark_partition_id())
     ranged = stage(ranged, "segment-totals")
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranged.groupBy("_range").agg(F.sum("_total").alias("_held"))
-    ranges = ranges.select("_range", F.coalesce(F.sum("_held").over(earlier), F.lit(0)).alias("_base"))
+    earlier = Window.orderBy(names.range).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranged.groupBy(names.range).agg(F.sum(names.total).alias(names.held))
+    ranges = ranges.select(
+        names.range, F.coalesce(F.sum(names.held).over(earlier), F.lit(0)).alias(names.base)
+    )
     inside = (
-        Window.partitionBy("_range").orderBy(*segments).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(names.range).orderBy(*segments).rowsBetween(Window.unboundedPreceding, -1)
     )
-    offset = F.col("_base") + F.coalesce(F.sum("_total").over(inside), F.lit(0))
-    running = ranged.join(ranges, "_range").select(
-        *segments, "_first", offset.cast("bigint").alias("_offset")
+    offset = F.col(names.base) + F.coalesce(F.sum(names.total).over(inside), F.lit(0))
+    running = ranged.join(ranges, names.range).select(
+        *segments, names.first, offset.cast("bigint").alias(names.offset)
     )
     return stage(running, "offsets")
 
 
+def _positions(
+    df: DataFrame, order_by: Sequence[str | Column] | None, segments: Sequence[str], into: str, keep=None
+) -> DataFrame:
+    names = Names.beside(df, into)
+    placed, segs = _place(df, names, order_by, segments, None, keep)
+    offsets = _offsets(placed, names, segs, F.count(F.lit(1)))
+    position = F.col(names.offset) + F.col(names.row) - F.col(names.first)
+    own = df.columns if keep is None else keep
+    return placed.join(offsets, segs).select(*[F.col(f"`{c}`") for c in own], position.alias(into))
+
+
+def _refuse(df: DataFrame, into: str) -> None:
+    if into.lower() in {c.lower() for c in df.columns}:
+        raise SchemaError(f"the rows already have a column {into!r}")
+
+
 def number_rows(
     df: DataFrame,
     order_by: Sequence[str | Column] | None = None,
@@ -129,29 +174,24 @@ def number_rows(
 
     Without ``order_by`` the order is (``segments``, order inside a block), for
     rows of :func:`millrace.sources.read_lines`. Rows with equal keys are
-    ordered by content.
+    ordered by content. A column ``into`` must not exist; any other name may.
     """
-    placed, segs = _place(df, order_by, segments, None)
-    offsets = _offsets(placed, segs, F.count(F.lit(1)))
-    position = F.col("_offset") + F.col(_ROW) - F.col("_first")
-    return placed.join(offsets, segs).select(*_own(df), position.alias(into))
+    _refuse(df, into)
+    return _positions(df, order_by, segments, into)
 
 
-def numbered_contents(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
-    """``content_a`` and ``content_b``, two hashes of a row, and its ``position`` in the order.
+def numbered_contents(df: DataFrame, order_by: Sequence[str | Column], hashes: Sequence[str], into: str) -> DataFrame:
+    """Two hashes of a row, named by ``hashes``, and its number ``into`` in the order.
 
     The same numbers as :func:`number_rows` gives, without a copy of the other columns.
     """
-    named = df.withColumns(content_hashes(df))
-    placed, segs = _place(named, order_by, (), None, keep=["content_a", "content_b"])
-    offsets = _offsets(placed, segs, F.count(F.lit(1)))
-    position = F.col("_offset") + F.col(_ROW) - F.col("_first")
-    return placed.join(offsets, segs).select("content_a", "content_b", position.alias("position"))
+    named = df.withColumns(content_hashes(df, hashes))
+    return _positions(named, order_by, (), into, keep=list(hashes))
 
 
-def content_hashes(df: DataFrame) -> dict[str, Column]:
+def content_hashes(df: DataFrame, names: Sequence[str]) -> dict[str, Column]:
     """Two hashes that stand for a row's content."""
-    return {"content_a": _content_hash(df), "content_b": _content_hash(df, F.lit(_SECOND))}
+    return dict(zip(names, (_content_hash(df), _content_hash(df, F.lit(_SECOND))), strict=True))
 
 
 def chunk_by_rows(
@@ -163,10 +203,11 @@ def chunk_by_rows(
     segments: Sequence[str] = (),
 ) -> DataFrame:
     """Number consecutive chunks of exactly ``rows`` rows (the last may be shorter)."""
-    numbered = number_rows(df, order_by, "_position", segments)
-    return numbered.withColumn(into, F.expr(f"_position div {int(rows)}") + F.lit(first)).drop(
-        "_position"
-    )
+    _refuse(df, into)
+    position = Names.beside(df, into).position
+    numbered = number_rows(df, order_by, position, segments)
+    chunk = F.expr(f"`{position}` div {int(rows)}") + F.lit(first)
+    return numbered.withColumn(into, chunk).drop(position)
 
 
 def chunk_by_bytes(
@@ -182,40 +223,39 @@ def chunk_by_bytes(
 
     A row goes to chunk ``bytes before it div target_bytes``, so every chunk but
     the last is within one row of the target. ``keep_place`` keeps the columns
-    that order rows inside a chunk.
+    that order rows inside a chunk, after ``into``.
     """
-    placed, segs = _place(df, order_by, segments, F.octet_length(F.col(f"`{text}`")))
-    offsets = _offsets(placed, segs, F.sum(_SIZE))
-    before = (
-        Window.partitionBy(*segs).orderBy(_ROW).rowsBetween(Window.unboundedPreceding, -1)
+    _refuse(df, into)
+    names = Names.beside(df, into)
+    placed, segs = _place(df, names, order_by, segments, F.octet_length(F.col(f"`{text}`")))
+    offsets = _offsets(placed, names, segs, F.sum(names.size))
+    earlier = (
+        Window.partitionBy(*segs).orderBy(names.row).rowsBetween(Window.unboundedPreceding, -1)
     )
-    narrow = placed.select(*segs, _ROW, _SIZE).withColumn(
-        "_before", F.coalesce(F.sum(_SIZE).over(before), F.lit(0))
+    narrow = placed.select(*segs, names.row, names.size).withColumn(
+        names.before, F.coalesce(F.sum(names.size).over(earlier), F.lit(0))
     )
-    chunk = F.expr(f"(_offset + _before) div {int(target_bytes)}")
+    chunk = F.expr(f"(`{names.offset}` + `{names.before}`) div {int(target_bytes)}")
     spans = (
-        narrow.join(offsets.drop("_first"), segs)
+        narrow.join(offsets.drop(names.first), segs)
         .groupBy(*segs, chunk.alias(into))
-        .agg(F.min(_ROW).alias("_from"), F.max(_ROW).alias("_to"))
+        .agg(F.min(names.row).alias(names.low), F.max(names.row).alias(names.high))
     )
     spans = stage(spans, "spans")
     # Rows and spans meet in blocks of about one span's rows, so a row is compared
     # with a few spans only, however many its segment has.
     sizes = spans.agg(
-        F.count(F.lit(1)).alias("spans"), F.sum(F.col("_to") - F.col("_from") + 1).alias("rows")
+        F.count(F.lit(1)).alias("spans"), F.sum(F.col(names.high) - F.col(names.low) + 1).alias("rows")
     ).first()
     block_rows = max(1, (sizes["rows"] or 0) // max(1, sizes["spans"]))
     spans = spans.withColumn(
-        _BLOCK, F.explode(F.expr(f"sequence(_from div {block_rows}, _to div {block_rows})"))
+        names.block,
+        F.explode(F.expr(f"sequence(`{names.low}` div {block_rows}, `{names.high}` div {block_rows})")),
     )
-    blocked = placed.withColumn(_BLOCK, F.expr(f"{_ROW} div {block_rows}"))
-    condition = blocked[_ROW].between(spans["_from"], spans["_to"])
-    for name in (*segs, _BLOCK):
+    blocked = placed.withColumn(names.block, F.expr(f"`{names.row}` div {block_rows}"))
+    condition = blocked[names.row].between(spans[names.low], spans[names.high])
+    for name in (*segs, names.block):
         condition = (blocked[name] == spans[name]) & condition
     joined = blocked.join(spans, condition)
-    place = [blocked[c] for c in (*segs, _ROW) if c not in df.columns] if keep_place else []
+    place = [blocked[c] for c in (*segs, names.row) if c not in df.columns] if keep_place else []
     return joined.select(*[blocked[f"`{c}`"] for c in df.columns], spans[into], *place)
-
-
-def _own(df: DataFrame) -> list[Column]:
-    return [F.col(f"`{c}`") for c in df.columns]

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.defaults import SAMPLE_ROWS
+from millrace.functions.columns import free_prefix
 from millrace.operators.chunks import content_hashes, numbered_contents
 
 
@@ -18,18 +19,18 @@ def page(df: DataFrame, order_by: Sequence[str | Column], offset: int, limit: in
     depth. Rows come in their order within the page. To read every page use
     :func:`chunk_by_rows` once.
     """
+    prefix = free_prefix(df.columns)
+    hashes, position, times, copy = [f"{prefix}a", f"{prefix}b"], f"{prefix}position", f"{prefix}times", f"{prefix}copy"
     wanted = (
-        numbered_contents(df, order_by)
-        .where(F.col("position").between(offset, offset + limit - 1))
-        .groupBy("content_a", "content_b")
-        .agg(F.count(F.lit(1)).alias("_times"), F.min("position").alias("_position"))
+        numbered_contents(df, order_by, hashes, position)
+        .where(F.col(position).between(offset, offset + limit - 1))
+        .groupBy(*hashes)
+        .agg(F.count(F.lit(1)).alias(times), F.min(position).alias(position))
     )
-    named = df.withColumns({f"_{k}": v for k, v in content_hashes(df).items()})
-    same = (F.col("_content_a") == F.col("content_a")) & (F.col("_content_b") == F.col("content_b"))
     # Equal rows are interchangeable: as many as the page holds of them stay.
-    copy = F.row_number().over(Window.partitionBy("content_a", "content_b").orderBy(F.lit(1)))
-    found = named.join(wanted, same).withColumn("_copy", copy).where("_copy <= _times")
-    return found.orderBy("_position").select(*[F.col(f"`{c}`") for c in df.columns])
+    number = F.row_number().over(Window.partitionBy(*hashes).orderBy(F.lit(1)))
+    found = df.withColumns(content_hashes(df, hashes)).join(wanted, hashes).withColumn(copy, number)
+    return found.where(F.col(copy) <= F.col(times)).orderBy(position).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def sample_rows(df: DataFrame, order_by: Sequence[str | Column], n: int = SAMPLE_ROWS) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import chunk_by_bytes, chunk_by_rows, number_rows, shard_mb_for
-from millrace.operators.chunks import MB, _place
+from millrace.operators.chunks import MB, Names, _place
 
 
 @pytest.fixture
@@ -80,7 +80,7 @@ def test_ties_spread_over_tasks(spark):
     merging = "spark.sql.adaptive.coalescePartitions.enabled"
     spark.conf.set(merging, "false")
     try:
-        placed, _ = _place(df, ["k"], (), None)
+        placed, _ = _place(df, Names.beside(df), ["k"], (), None)
     finally:
         spark.conf.unset(merging)
     sizes = [r["count"] for r in placed.groupBy("_part").count().collect()]
@@ -94,7 +94,7 @@ def test_equal_rows_spread_over_tasks(spark, same):
     spark.conf.set(merging, "false")
     try:
         numbered = number_rows(df, ["k"])
-        placed, _ = _place(df, ["k"], (), None)
+        placed, _ = _place(df, Names.beside(df), ["k"], (), None)
     finally:
         spark.conf.unset(merging)
     assert max(r["count"] for r in placed.groupBy("_part").count().collect()) < 12_000
