@@ -88,6 +88,19 @@ def _events_with_gaps(spark: SparkSession, folder: str) -> DataFrame:
     return events.select("event_id", "event_type", known.alias("user_key"))
 
 
+def dedup_odd_names(spark: SparkSession, folder: str) -> DataFrame:
+    """Columns named like an operator's own go through dedup and numbering unchanged."""
+    events = table(spark, folder, "events").select(
+        F.col("user_id").alias("_id"),
+        F.col("event_id").alias("_row"),
+        F.col("event_type").alias("_rank"),
+        F.col("value").alias("_apart"),
+        F.col("props").alias("_position"),
+    )
+    kept = first_per_key(events, ["_id", "_rank"], ["_row"], null_keys="keep")
+    return number_rows(kept, ["_id", "_row"], "number")
+
+
 def dedup_null_keys_collapse(spark: SparkSession, folder: str) -> DataFrame:
     return first_per_key(_events_with_gaps(spark, folder), "user_key", ["event_id"])
 
@@ -187,6 +200,7 @@ QUERIES = {
     "drop_column": drop_column,
     "dedup_first": dedup_first,
     "dedup_by_content": dedup_by_content,
+    "dedup_odd_names": dedup_odd_names,
     "dedup_null_keys_collapse": dedup_null_keys_collapse,
     "dedup_null_keys_keep": dedup_null_keys_keep,
     "per_chunk_dedup": per_chunk_dedup,
@@ -236,6 +250,11 @@ ORACLES = {
         SELECT event_id, user_id, event_type FROM (
             SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS r FROM events)
         WHERE r = 1""",
+    "dedup_odd_names": """
+        SELECT user_id AS _id, event_id AS _row, event_type AS _rank, value AS _apart, props AS _position,
+               row_number() OVER (ORDER BY user_id NULLS FIRST, event_id) - 1 AS number
+        FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS r FROM events)
+        WHERE r = 1 OR user_id IS NULL OR event_type IS NULL""",
     "dedup_by_content": """
         SELECT l_suppkey, l_partkey, l_orderkey FROM (
             SELECT *, row_number() OVER (PARTITION BY l_suppkey

@@ -4,19 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.defaults import READ_AT
+from millrace.defaults import HASH_SALT, PROCESSED_AT, READ_AT
 from millrace.plans import land_in_chunks
 from millrace.registry.tables import EVENT_KINDS
 from millrace.registry.inputs import RECORD_DDL, record_lines, table, written_lines
 from millrace.scratch import scratch_path
-from millrace.sinks import append_parquet, parquet_target
+from millrace.sinks import append_parquet, parquet_target, read_best, read_new
 from millrace.streaming import (
-    start_clean_stream,
+    ProgressLog,
+    read_rejects,
+    start_first_per_key,
     start_parquet_sink,
+    start_published_clean,
     start_stamped_copy,
     stream_parquet,
-    stream_report,
     wait,
+    whole_report,
 )
 from millrace.streaming.clean import start_table_stream
 
@@ -84,7 +87,7 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Overlapping files: a key already seen in an earlier micro-batch is dropped."""
     base = scratch_path(spark, "dedup")
     for _ in range(2):
-        append_parquet(_events(spark, folder).repartition(2), f"{base}/landing")
+        append_parquet(_events(spark, folder), f"{base}/landing")
     source = stream_parquet(spark, f"{base}/landing", EVENT_SCHEMA, max_files=1)
     rows = source.dropDuplicates(["event_id"])
     wait(start_parquet_sink(rows, f"{base}/out", f"{base}/state", every="once"))
@@ -92,70 +95,73 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _clean(spark: SparkSession, folder: str) -> str:
+    """One query that stores records and rejects; every line comes twice, the second time in files of its own."""
     base = scratch_path(spark, "clean-stream")
     lines = record_lines(spark, folder)
-    # Every line twice, in files of their own: repeats arrive in other micro-batches.
-    source = written_lines(lines.unionByName(lines).repartition(3), "records")
-    started = start_clean_stream(
-        spark,
-        source,
-        f"{base}/out",
-        f"{base}/state",
-        RECORD_DDL,
-        rejects=f"{base}/rejects",
-        every="once",
-        max_files=1,
-        key="seq",
+    source = written_lines(lines.unionByName(lines), "records")
+    query = start_published_clean(
+        spark, source, f"{base}/table", f"{base}/state", RECORD_DDL, every="once", max_files=1, key="seq"
     )
-    for query in started:
-        wait(query)
-    return base
+    wait(query)
+    return f"{base}/table"
 
 
 def stream_clean(spark: SparkSession, folder: str) -> DataFrame:
     """JSON lines cleaned as a stream."""
-    out = spark.read.parquet(f"{_clean(spark, folder)}/out")
-    return out.select("id", "name", "city", "seq", "salt")
+    fields = f"{RECORD_DDL}, {PROCESSED_AT} timestamp, salt string"
+    return read_new(spark, _clean(spark, folder), fields).select("id", "name", "city", "seq", "salt")
 
 
 def stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
     """The lines the cleaning stream kept aside."""
-    bad = spark.read.parquet(f"{_clean(spark, folder)}/rejects")
+    bad = read_rejects(spark, _clean(spark, folder))
     return bad.groupBy("problem").agg(F.count(F.lit(1)).alias("n"))
 
 
+def stream_first_per_key(spark: SparkSession, folder: str) -> DataFrame:
+    """Later events arrive first; the row kept for a user is that of the batch operator."""
+    base = scratch_path(spark, "first-stream")
+    events = _events(spark, folder)
+    for kinds in reversed(EVENT_KINDS):
+        append_parquet(events.where(F.col("event_type").isin(kinds)).orderBy(F.desc("event_id")), f"{base}/landing")
+        rows = stream_parquet(spark, f"{base}/landing", EVENT_SCHEMA)
+        wait(start_first_per_key(rows, f"{base}/table", f"{base}/state", "user_id", ["event_id"], every="once"))
+    return read_best(spark, f"{base}/table", EVENT_SCHEMA, "user_id", ["event_id"]).drop("run_id")
+
+
 def stream_table_load(spark: SparkSession, folder: str) -> DataFrame:
     """Micro-batches loaded into a table through the repeatable batch loader."""
     base = scratch_path(spark, "table-stream")
     events = _events(spark, folder)
-    for kinds in EVENT_KINDS:  # one file, hence one load, each
-        append_parquet(events.where(F.col("event_type").isin(kinds)).coalesce(1), f"{base}/landing")
-    rows = stream_parquet(spark, f"{base}/landing", EVENT_SCHEMA, max_files=1)
     target = parquet_target(f"{base}/table", partition_by=["load_id"])
-    wait(
-        start_table_stream(
-            rows, target, ["event_id"], "events", f"{base}/state", every="once", new_table=True
+    for kinds in EVENT_KINDS:  # whatever has landed is one micro-batch, hence one load
+        append_parquet(events.where(F.col("event_type").isin(kinds)), f"{base}/landing")
+        rows = stream_parquet(spark, f"{base}/landing", EVENT_SCHEMA)
+        wait(
+            start_table_stream(
+                rows, target, ["event_id"], "events", f"{base}/state", every="once", new_table=True
+            )
         )
-    )
     return target.read(spark).select("event_id", "user_id", "event_type", "load_id")
 
 
 def stream_totals(spark: SparkSession, folder: str) -> DataFrame:
-    """Everything, the last event again, everything once more: the report counts what came too late.
+    """Everything, the last event again, everything once more: the totals count what came too late.
 
-    Spark judges lateness by the watermark of the micro-batch before, hence the one in between.
+    Spark judges lateness by the watermark of the micro-batch before, hence the one in between. The query is
+    started for each and keeps no more than one progress record; the log holds those of all three.
     """
     base = scratch_path(spark, "totals")
     events = table(spark, folder, "events").select("event_id", "ts")
-    append_parquet(events.coalesce(1), f"{base}/landing")
-    append_parquet(events.orderBy(F.desc("ts"), "event_id").limit(1), f"{base}/landing")
-    append_parquet(events.withColumn("event_id", -1 - F.col("event_id")).coalesce(1), f"{base}/landing")
-    rows = stream_parquet(spark, f"{base}/landing", "event_id bigint, ts timestamp_ntz", max_files=1)
-    timed = rows.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 day")
-    kept = timed.dropDuplicatesWithinWatermark(["event_id"])
-    query = start_parquet_sink(kept, f"{base}/out", f"{base}/state", every="once")
-    wait(query)
-    found = stream_report(query)
+    last = events.orderBy(F.desc("ts"), "event_id").limit(1)
+    with ProgressLog(spark, f"{base}/progress") as log:
+        for more in (events, last, events.withColumn("event_id", -1 - F.col("event_id"))):
+            append_parquet(more, f"{base}/landing")
+            rows = stream_parquet(spark, f"{base}/landing", "event_id bigint, ts timestamp_ntz")
+            timed = rows.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 day")
+            kept = timed.dropDuplicatesWithinWatermark(["event_id"])
+            log.finish(start_parquet_sink(kept, f"{base}/out", f"{base}/state", every="once"))
+    found = whole_report(spark, f"{base}/progress")
     out = spark.read.schema("event_id bigint").parquet(f"{base}/out")
     return out.agg(F.count(F.lit(1)).alias("rows_out")).select(
         F.lit(found.batches).alias("batches"),
@@ -171,6 +177,7 @@ QUERIES = {
     "stream_restart": stream_restart,
     "stream_replay": stream_replay,
     "stream_dedup": stream_dedup,
+    "stream_first_per_key": stream_first_per_key,
     "stream_clean": stream_clean,
     "stream_rejects": stream_rejects,
     "stream_table_load": stream_table_load,
@@ -186,9 +193,13 @@ ORACLES = {
         SELECT event_id, user_id, event_type FROM (
             SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY event_id) AS r FROM events)
         WHERE r = 1""",
-    "stream_clean": """
+    "stream_first_per_key": """
+        SELECT event_id, user_id, event_type FROM (
+            SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS r FROM events)
+        WHERE r = 1""",
+    "stream_clean": f"""
         SELECT user_id AS id, event_type AS name, json_extract_string(props, '$.k') AS city,
-               event_id AS seq, sha256(CAST(event_id AS VARCHAR) || 'salt_key') AS salt
+               event_id AS seq, sha256(CAST(event_id AS VARCHAR) || '{HASH_SALT}') AS salt
         FROM events WHERE event_type <> 'error'""",
     "stream_rejects": """
         SELECT 'invalid_json' AS problem, 2 * count(*) AS n FROM events WHERE event_type = 'error'""",

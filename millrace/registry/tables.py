@@ -4,11 +4,21 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.registry.inputs import table
 from millrace.scratch import scratch_path
-from millrace.sinks import read_runs, append_once, append_parquet, parquet_target, replace_run, staged_load
+from millrace.sinks import (
+    append_new,
+    append_once,
+    append_parquet,
+    parquet_target,
+    read_new,
+    read_runs,
+    replace_run,
+    staged_load,
+)
 from millrace.sources import file_inventory, key_ranges, read_table
 from millrace.sources.tables import quantile_bounds
 from millrace.plans import run_load
@@ -49,6 +59,33 @@ def rerun_smaller(spark: SparkSession, folder: str) -> DataFrame:
     return read_runs(spark, path, events.schema).select("event_id", "event_type", "run_id")
 
 
+def run_failed_midway(spark: SparkSession, folder: str) -> DataFrame:
+    """A run repeated with other rows dies while it writes: its former rows still count, and only they."""
+    events, path = _events(spark, folder), scratch_path(spark, "runs")
+    for run in ("a", "b"):
+        replace_run(events, path, run)
+    dying = F.when(F.col("event_type") == "purchase", F.raise_error(F.lit("injected"))).otherwise(F.lit("new"))
+    try:
+        replace_run(events.withColumn("event_type", dying.cast("string")), path, "a")
+    except PySparkException as error:
+        died = "injected" in str(error)
+    replace_run(events.where(F.col("event_type") == "purchase"), path, "b")
+    found = read_runs(spark, path, events.schema)
+    return found.select("event_id", "event_type", "run_id", F.lit(died).alias("died"))
+
+
+def dedup_across_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs that overlap, one of them repeated: each key is stored by the first run that brought it."""
+    events, table_path = _events(spark, folder), scratch_path(spark, "known")
+    changed = events.withColumn("value", F.col("value") + 1)
+    some = events.where(F.col("event_type").isin("view", "click"))
+    append_new(some.unionByName(some), table_path, "one", "event_id")
+    append_new(events, table_path, "two", "event_id")
+    append_new(changed, table_path, "two", "event_id")
+    append_new(changed, table_path, "three", "event_id")
+    return read_new(spark, table_path, events.schema)
+
+
 def load_once(spark: SparkSession, folder: str) -> DataFrame:
     """A load that died after part of its rows, repeated twice under the same id."""
     events, path = _events(spark, folder), scratch_path(spark, "loaded")
@@ -114,6 +151,8 @@ QUERIES = {
     "append_union": append_union,
     "rerun_replace": rerun_replace,
     "rerun_smaller": rerun_smaller,
+    "run_failed_midway": run_failed_midway,
+    "dedup_across_runs": dedup_across_runs,
     "load_once": load_once,
     "warehouse_load": warehouse_load,
     "source_slices": source_slices,
@@ -127,6 +166,14 @@ ORACLES = {
         FROM events CROSS JOIN (SELECT 'a' AS run_id UNION ALL SELECT 'b')""",
     "rerun_smaller": """
         SELECT event_id, event_type, '2024-05-01' AS run_id FROM events WHERE event_type = 'purchase'""",
+    "run_failed_midway": """
+        SELECT event_id, event_type, 'a' AS run_id, true AS died FROM events
+        UNION ALL SELECT event_id, event_type, 'b', true FROM events WHERE event_type = 'purchase'""",
+    "dedup_across_runs": """
+        SELECT event_id, user_id, event_type,
+               CASE WHEN event_type IN ('view', 'click') THEN value ELSE value + 1 END AS value,
+               CASE WHEN event_type IN ('view', 'click') THEN 'one' ELSE 'two' END AS run_id
+        FROM events""",
     "load_once": """
         SELECT event_id, event_type, 'load-1' AS load_id, count(*) OVER () AS added,
                CAST(0 AS BIGINT) AS added_again
