@@ -135,3 +135,16 @@ def written_lines(lines: DataFrame, label: str) -> str:
     path = scratch_path(lines.sparkSession, label)
     lines.write.text(path)
     return path
+
+
+def written_document(parts: DataFrame, opening: str, closing: str, label: str) -> str:
+    """Write one JSON document in one file on one line, its ``value`` parts parted by commas.
+
+    One file has one writer; it holds a row at a time.
+    """
+    spark, path = parts.sparkSession, scratch_path(parts.sparkSession, label)
+    led = F.when(F.monotonically_increasing_id() == 0, F.lit(opening)).otherwise(F.lit(","))
+    ended = spark.createDataFrame([(closing,)], "value string")
+    whole = parts.select(F.concat(led, F.col("value")).alias("value")).union(ended)
+    whole.coalesce(1).write.option("lineSep", " ").text(path)
+    return path

@@ -13,17 +13,19 @@ from millrace.plans.split import split_lines
 from millrace.registry.inputs import (
     DOCUMENT_ROWS,
     EVENT_LINES_SQL,
+    KEEP_NULLS,
     RECORD_DDL,
     conversation_arrays,
     event_lines,
     record_lines,
     table,
+    written_document,
     written_lines,
 )
 from millrace.schema import build_schema, missing_columns, require_columns
 from millrace.scratch import scratch_path, stage
 from millrace.sinks import write_jsonl
-from millrace.sources import array_elements, infer_json_schema, read_json, read_lines
+from millrace.sources import array_elements, document_entries, infer_json_schema, read_json, read_lines
 
 EVENT_DDL = "id bigint, user bigint, name string, k bigint"
 CONSTANTS = {"origin": "demo feed", "stage": "trial"}
@@ -105,6 +107,14 @@ def json_array_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def array_document_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations as one array in one file, read by ranges of bytes."""
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    parts = turns.select(F.to_json(F.struct("*"), KEEP_NULLS).alias("value"))
+    entries = document_entries(spark, written_document(parts, "[", "]", "array-document"))
+    return parse_lines(entries.where(F.col("problem").isNull()), turns.schema)
+
+
 def json_array_elements(spark: SparkSession, folder: str) -> DataFrame:
     """The same arrays opened without a schema, each element as JSON text."""
     elements = array_elements(conversation_arrays(spark, folder))
@@ -267,6 +277,7 @@ def required_columns(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "array_document_ranges": array_document_ranges,
     "jsonl_validity": jsonl_validity,
     "jsonl_parse": jsonl_parse,
     "quarantine": quarantine,
@@ -299,6 +310,7 @@ _CLEAN_SQL = f"""
 """
 
 ORACLES = {
+    "array_document_ranges": "SELECT conv_id, turn, role, text FROM conversations",
     "jsonl_validity": f"""
         SELECT json_valid(value) AS valid, count(*) AS n FROM ({EVENT_LINES_SQL}) GROUP BY 1""",
     "jsonl_parse": f"""

@@ -1,4 +1,5 @@
 from millrace.sources.files import file_inventory, total_bytes
+from millrace.sources.ranges import document_entries
 from millrace.sources.tables import jdbc_options, key_ranges, read_jdbc, read_table
 from millrace.sources.text import (
     array_elements,
@@ -11,6 +12,7 @@ from millrace.sources.text import (
 
 __all__ = [
     "array_elements",
+    "document_entries",
     "file_inventory",
     "infer_json_schema",
     "jdbc_options",
