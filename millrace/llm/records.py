@@ -9,9 +9,11 @@ only the files of tasks that ended well, so a lost executor leaves at most a fil
 
 Reading goes through the index, in its order or shuffled by a seed, and checks both checksums.
 
-Texts are encoded by the tokenizers library. Its vocabulary drops white space, so a text's ids are those
-of its blank-separated words, cut where ASCII letters meet ASCII marks, one after the other. Each distinct
-word is encoded once by a worker, within a bound on the words it holds.
+Texts are encoded by the tokenizers library. Where the tokenizer's file states that white space is dropped, that
+letters never share a pre-token with marks, and that a token ends each pre-token, a text's ids are those of its
+blank-separated words, cut where ASCII letters meet ASCII marks, one after the other. Each distinct word is then encoded
+once by a worker, within a bound on the bytes it holds; words of letters only are encoded many at once and told apart
+by the tokens that end a word. With any other tokenizer whole texts are encoded.
 
 Defined results: a null text is empty and its record holds the end id alone. Ids ascend, nulls come last,
 and repeated rows are records each. No rows give no shards. Other columns are left out.
@@ -19,6 +21,8 @@ and repeated rows are records each. No rows give no shards. Other columns are le
 
 from __future__ import annotations
 
+import itertools
+import json
 import os
 import struct
 import zlib
@@ -38,10 +42,13 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 #: Text bytes that are encoded together.
 ENCODE_BYTES = 4 << 20
-#: Words that the library encodes at once.
+#: Words that the library encodes at once, and how many of them as one text if they are letters only.
 BATCH_WORDS = 4096
-#: A Python worker holds the ids of about so many words, twice: the last ones met and those before.
-KNOWN_WORDS = 100_000
+JOINED_WORDS = 256
+#: Bytes of words and their ids that a Python worker holds between slices.
+KNOWN_BYTES = 16 << 20
+#: Bytes of records read and checked together; one longer record is alone.
+READ_BYTES = 4 << 20
 
 _CASTAGNOLI = 0x82F63B78
 _MASK_DELTA = 0xA282EAD8
@@ -141,52 +148,147 @@ def _kinds() -> np.ndarray:
 _KINDS = _kinds()
 
 
-class WordEncoder:
-    """Ids of texts, with the ids of the words met lately at hand."""
+#: Letters of long standing (Latin, Cyrillic, kana, common ideographs, Hangul); I with a dot lower-cases to two characters.
+_LETTERS = (
+    r"^[a-zA-Z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}\x{400}-\x{481}"
+    r"\x{3041}-\x{3096}\x{4E00}-\x{9FA5}\x{AC00}-\x{D7A3}]+$"
+)
+
+# How a tokenizer must cut for words to be encoded apart.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_MARKERS = {"<|startoftext|>", "<|endoftext|>"}
+
+
+def words_stand_alone(tokenizer) -> bool:
+    """Whether a text's ids are those of its words, by what the tokenizer says of itself."""
+    spec = json.loads(tokenizer.to_str())
+    cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    return (
+        (spec.get("normalizer") or {}).get("normalizers") == _NORMALIZERS
+        and cuts[0].get("pattern") == {"Regex": _CUT}
+        and cuts[0].get("behavior") == "Removed"
+        and cuts[0].get("invert") is True
+        and [c.get("type") for c in cuts[1:]] == ["ByteLevel"]
+        and not cuts[1].get("add_prefix_space")
+        and not cuts[1].get("use_regex")
+        and spec["model"].get("type") == "BPE"
+        and spec["model"].get("end_of_word_suffix") == "</w>"
+        and not spec["model"].get("dropout")
+        and {t["content"] for t in spec["added_tokens"]} <= _MARKERS
+    )
+
+
+class TextEncoder:
+    """Ids of texts by a tokenizer that says nothing of its words."""
 
     def __init__(self, tokenizer, width: np.dtype):
         self.tokenizer, self.width = tokenizer, width
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each has."""
+        return self._library(texts.to_pylist())
+
+    def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.array([len(x) for x in found], np.int64)
+        return np.fromiter(itertools.chain.from_iterable(found), self.width, int(sizes.sum())), sizes
+
+
+class WordEncoder(TextEncoder):
+    """Ids of texts, with the ids of the words met lately at hand, in one row."""
+
+    def __init__(self, tokenizer, width: np.dtype):
+        super().__init__(tokenizer, width)
+        self.words, self.ids = pa.array([], pa.large_string()), np.zeros(0, width)
+        self.bounds, self.met, self.turn = np.zeros(1, np.int64), np.zeros(0, np.int64), 0
+        self.ends_word = np.zeros(tokenizer.get_vocab_size(), bool)
+        self.ends_word[[i for token, i in tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         words, counts, _ = placed_words(texts, BLANKS, _KINDS)
         coded = words.dictionary_encode()
         distinct = coded.dictionary
         # The library lower-cases, so ASCII words without a special token share their lower case.
         plain = pc.and_(pc.string_is_ascii(distinct), pc.invert(pc.match_substring(distinct, "<|")))
-        listed = pc.if_else(plain, pc.ascii_lower(distinct), distinct).to_pylist()
-        if len(self.known) > KNOWN_WORDS:  # words that come again move on, the rest goes
-            self.known, self.older = {}, self.known
-        missing = {w for w in listed if w not in self.known}
-        self.known |= {w: self.older[w] for w in missing if w in self.older}
-        new = [w for w in missing if w not in self.known]
-        for first in range(0, len(new), BATCH_WORDS):  # what the library returns is far larger than the ids
-            part = new[first : first + BATCH_WORDS]
-            for word, found in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self.known[word] = np.array(found.ids, self.width).tobytes()
-        held = [self.known[w] for w in listed]
-        flat = np.frombuffer(b"".join(held), self.width)
-        lengths = np.array([len(x) for x in held], np.int64) // self.width.itemsize
-        codes = coded.indices.to_numpy(zero_copy_only=False)
-        starts = np.cumsum(lengths) - lengths
-        ids = flat[ragged(starts[codes], lengths[codes])]
-        ends, last = np.concatenate(([0], np.cumsum(lengths[codes]))), np.cumsum(counts)
+        lowered = pc.if_else(plain, pc.ascii_lower(distinct), distinct).dictionary_encode()
+        place = self._places(lowered.dictionary)
+        code = lowered.indices.to_numpy(zero_copy_only=False)[coded.indices.to_numpy(zero_copy_only=False)]
+        starts, lengths = self.bounds[place], self.bounds[place + 1] - self.bounds[place]
+        ids = self.ids[ragged(starts[code], lengths[code])]
+        ends, last = np.concatenate(([0], np.cumsum(lengths[code]))), np.cumsum(counts)
         return ids, ends[last] - ends[last - counts]
 
-
-_encoders: dict[tuple[str, int], WordEncoder] = {}
-
-
-def _encoder(path: str, end_id: int) -> WordEncoder:
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Where the ids of each of the distinct words are held, encoding those that are not."""
+        self._forget()
+        place = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        absent = np.flatnonzero(place < 0)
+        ids, sizes = self._encoded(words.take(pa.array(absent)))
+        place[absent] = len(self.words) + np.arange(len(absent))
+        self.words = pa.concat_arrays([self.words, words.take(pa.array(absent))])
+        self.ids = np.concatenate((self.ids, ids))
+        self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum(sizes)))
+        self.met = np.concatenate((self.met, np.zeros(len(absent), np.int64)))
+        self.turn += 1
+        self.met[place] = self.turn
+        return place
+
+    def _forget(self) -> None:
+        """Beyond the bound keep the words met last, up to half of it; no word may take a large share."""
+        sizes = pc.binary_length(self.words).to_numpy(zero_copy_only=False) + np.diff(self.bounds) * self.width.itemsize + 32
+        if sizes.sum() <= KNOWN_BYTES:
+            return
+        order = np.argsort(-self.met, kind="stable")
+        order = order[sizes[order] <= KNOWN_BYTES // 256]
+        kept = np.sort(order[np.cumsum(sizes[order]) <= KNOWN_BYTES // 2])
+        lengths = np.diff(self.bounds)[kept]
+        self.ids = self.ids[ragged(self.bounds[kept], lengths)]
+        self.bounds = np.concatenate(([0], np.cumsum(lengths)))
+        self.words, self.met = self.words.take(pa.array(kept)), self.met[kept]
+
+    def _encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words in a row, and how many each has."""
+        letters = pc.match_substring_regex(words, _LETTERS).to_numpy(zero_copy_only=False)
+        order = np.concatenate((np.flatnonzero(letters), np.flatnonzero(~letters)))
+        listed, joined = words.take(pa.array(order)).to_pylist(), int(letters.sum())
+        flat, held = [np.zeros(0, self.width)], [np.zeros(0, np.int64)]
+        for first in range(0, len(listed), BATCH_WORDS):  # what the library returns is far larger than the ids
+            for part, alike in (
+                (listed[first : min(joined, first + BATCH_WORDS)], True),
+                (listed[max(joined, first) : first + BATCH_WORDS], False),
+            ):
+                if part:
+                    ids, sizes = self._joined(part) if alike else self._library(part)
+                    flat.append(ids)
+                    held.append(sizes)
+        ids, sizes = np.concatenate(flat), np.concatenate(held)
+        back = np.argsort(order)
+        return ids[ragged((np.cumsum(sizes) - sizes)[back], sizes[back])], sizes[back]
+
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of letters only: many as one text, cut behind each token that ends a word."""
+        texts = [" ".join(words[i : i + JOINED_WORDS]) for i in range(0, len(words), JOINED_WORDS)]
+        ids, sizes = self._library(texts)
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        held = np.diff(np.searchsorted(ends, np.concatenate(([0], np.cumsum(sizes))), side="right"))
+        if held.tolist() != [min(JOINED_WORDS, len(words) - i) for i in range(0, len(words), JOINED_WORDS)]:
+            return self._library(words)  # a letter this library knows otherwise
+        return ids, np.diff(ends, prepend=0)
+
+
+_encoders: dict[tuple[str, int], TextEncoder] = {}
+
+
+def _encoder(path: str, end_id: int) -> TextEncoder:
     """The encoder of this Python worker, which serves one task after the other."""
     if (path, end_id) not in _encoders:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
         largest = max(tokenizer.get_vocab_size() - 1, end_id)
-        _encoders[path, end_id] = WordEncoder(tokenizer, np.dtype("<u2" if largest < 1 << 16 else "<u4"))
+        kind = WordEncoder if words_stand_alone(tokenizer) else TextEncoder
+        _encoders[path, end_id] = kind(tokenizer, np.dtype("<u2" if largest < 1 << 16 else "<u4"))
     return _encoders[path, end_id]
 
 
@@ -289,11 +391,21 @@ def read_checksums(index: DataFrame, root: str) -> DataFrame:
     return found.withColumns({"n_tokens": F.col("held.n"), "ids_crc32": F.col("held.crc")}).drop("held")
 
 
+def _by_bytes(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of records of at most ``READ_BYTES``, or one record."""
+    ends = np.cumsum(batch.column("length").to_numpy(zero_copy_only=False))
+    first = 0
+    while first < len(ends):
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + READ_BYTES, side="right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def _with_ids(batches: Iterator[pa.RecordBatch], root: str, into, name: str) -> Iterator[pa.RecordBatch]:
     store = source = opened = None
     for batch in batches:
-        for first in range(0, batch.num_rows, 512):
-            part = batch.slice(first, 512)
+        for part in _by_bytes(batch):
             shards, offsets, lengths = (part.column(c).to_pylist() for c in ("shard", "offset", "length"))
             records, at = [], 0
             while at < len(shards):

@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 from tokenizers import Tokenizer
@@ -83,3 +84,50 @@ def test_empty_table(spark):
     root = scratch_path(spark, "test-records")
     assert rec.encoded(docs, root).count() == 0
     assert not os.path.exists(f"{root}/shards")
+
+
+def test_word_encoder_equals_the_library_whatever_it_holds(monkeypatch):
+    rng = random.Random(11)
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    assert rec.words_stand_alone(tokenizer)
+    letters = "abcxyzÀÉßéñøœſĲŉİıǅȺЖяѐへ日각ªµΣﬁ"
+    made = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 9))) for _ in range(3000)] + ["x" * 5000]
+    batches = [pa.array([" ".join(rng.choices(made, k=60)) for _ in range(50)] + [t or "" for t in texts()], pa.large_string())] * 2
+    batches += [pa.array([], pa.large_string()), pa.array(["", " "], pa.large_string())]
+    for held in (1 << 24, 3000):
+        monkeypatch.setattr(rec, "KNOWN_BYTES", held)
+        encode = rec.WordEncoder(tokenizer, np.dtype("<u2"))
+        for batch in batches:
+            ids, counts = encode(batch)
+            found = np.split(ids, np.cumsum(counts)[:-1]) if len(batch) else []
+            assert [f.tolist() for f in found] == [e.ids for e in tokenizer.encode_batch(batch.to_pylist(), add_special_tokens=False)]
+        assert held > 3000 or len(encode.words) < 3000
+
+
+def test_words_that_are_cut_otherwise_are_encoded_one_by_one(monkeypatch):
+    monkeypatch.setattr(rec, "_LETTERS", "")  # takes everything for letters
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    words = pa.array(["a1b", "don't", "plain", "!!", "x-y", "", "́"], pa.large_string())
+    ids, sizes = rec.WordEncoder(tokenizer, np.dtype("<u2"))._encoded(words)
+    want = [e.ids for e in tokenizer.encode_batch(words.to_pylist(), add_special_tokens=False)]
+    assert ids.tolist() == sum(want, []) and sizes.tolist() == [len(w) for w in want]
+
+
+def test_other_tokenizers_encode_whole_texts(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    assert not rec.words_stand_alone(tokenizer)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts())], "doc_id long, text string")
+    root = scratch_path(spark, "test-records")
+    rec.write_records(docs, root, vocabulary=path, end_id=50256)
+    got = {r.doc_id: list(r.ids) for r in rec.read_records(rec.read_index(spark, root), root).collect()}
+    for i, text in enumerate(texts()):
+        assert got[i] == tokenizer.encode(text or "", add_special_tokens=False).ids + [50256]
+
+
+def test_reads_are_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(rec, "READ_BYTES", 100)
+    lengths = [10, 95, 5, 300, 40, 60, 1, 99]
+    parts = list(rec._by_bytes(pa.RecordBatch.from_arrays([pa.array(lengths)], ["length"])))
+    assert [p.column("length").to_pylist() for p in parts] == [[10], [95, 5], [300], [40, 60], [1, 99]]
+    assert list(rec._by_bytes(pa.RecordBatch.from_arrays([pa.array([], pa.int64())], ["length"]))) == []
