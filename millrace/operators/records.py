@@ -74,7 +74,7 @@ def records_with_problems(
     text: str = "value",
     keep: Sequence[str] = (),
     strict_types: bool = False,
-    reject_mismatch: bool = False,
+    reject_mismatch: bool | Sequence[str] = False,
     problem_column: str = PROBLEM,
     line_column: str = "line",
     coerced_column: str | None = None,
@@ -87,7 +87,7 @@ def records_with_problems(
 
     ``strict_types=False`` reads scalars loosely (``"89"`` is 89 for a bigint)
     and nulls what does not convert; ``reject_mismatch=True`` rejects the line
-    instead. ``strict_types=True`` rejects every wrongly typed value. ``coerced_column`` adds
+    instead, and a list of fields rejects it for those only. ``strict_types=True`` rejects every wrongly typed value. ``coerced_column`` adds
     the names of the fields whose value was nulled in that way.
     """
     schema = as_schema(schema)
@@ -133,7 +133,7 @@ def _open_lines(
     text: str,
     keep: Sequence[str],
     strict_types: bool,
-    reject_mismatch: bool,
+    reject_mismatch: bool | Sequence[str],
 ) -> DataFrame:
     """``_line``, ``keep`` and ``_out``: (record, problem), one row per outcome."""
     if END.lower() in {name.lower() for name in schema.fieldNames()}:
@@ -153,7 +153,7 @@ def _open_lines(
         _parse_array(line, element).alias("_many"),
     )
 
-    refuses = _refuses(schema) if reject_mismatch and not strict_types else None
+    refuses = _refuses(schema, reject_mismatch) if reject_mismatch and not strict_types else None
     no_record, no_problem = F.lit(None).cast(element), F.lit(None).cast("string")
 
     def outcome(record: Column, why: Column) -> Column:
@@ -221,9 +221,10 @@ def _with_raw(wrapped: Column, data_type: T.DataType) -> Column:
     return F.from_json(wrapped, schema, {**PARSE_OPTIONS, "columnNameOfCorruptRecord": _RAW})
 
 
-def _refuses(schema: T.StructType):
-    """Test of a loosely read record: does any scalar fail to convert?"""
-    loose = [f for f in schema.fields if isinstance(f.dataType, _VIA_TEXT)]
+def _refuses(schema: T.StructType, wanted: bool | Sequence[str]):
+    """Test of a loosely read record: does any scalar, or any of those wanted, fail to convert?"""
+    names = schema.fieldNames() if wanted is True else [wanted] if isinstance(wanted, str) else list(wanted)
+    loose = [f for f in schema.fields if f.name in names and isinstance(f.dataType, _VIA_TEXT)]
 
     def test(record: Column) -> Column:
         found = F.lit(False)
@@ -257,7 +258,7 @@ def parse_lines(
     text: str = "value",
     keep: Sequence[str] = (),
     strict_types: bool = False,
-    reject_mismatch: bool = False,
+    reject_mismatch: bool | Sequence[str] = False,
 ) -> DataFrame:
     """The records alone. See :func:`records_with_problems`."""
     schema = as_schema(schema)
@@ -272,7 +273,7 @@ def rejected_lines(
     keep: Sequence[str] = (),
     schema: T.StructType | str | None = None,
     strict_types: bool = False,
-    reject_mismatch: bool = False,
+    reject_mismatch: bool | Sequence[str] = False,
 ) -> DataFrame:
     """The rejected lines alone: ``keep``, ``problem`` and the raw ``line``.
 

@@ -9,20 +9,36 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.registry.inputs import table
 from millrace.scratch import scratch_path
+from millrace.operators import key_pages, parse_lines
+from millrace.errors import SchemaError
 from millrace.sinks import (
     append_new,
     append_once,
     append_parquet,
+    append_run,
     parquet_target,
+    read_merged,
     read_new,
     read_runs,
     replace_run,
     staged_load,
 )
-from millrace.sources import file_inventory, key_ranges, read_table
+from millrace.sources import (
+    file_inventory,
+    key_ranges,
+    probe_files,
+    read_file_runs,
+    read_lines,
+    read_table,
+    run_new_files,
+    split_readable,
+)
 from millrace.sources.tables import quantile_bounds
 from millrace.plans import run_load
 
+# Pages of a table read by its key.
+PAGES = 8
+
 EVENT_KINDS = (["view"], ["click", "signup"], ["error", "purchase"])
 
 
@@ -86,6 +102,91 @@ def dedup_across_runs(spark: SparkSession, folder: str) -> DataFrame:
     return read_new(spark, table_path, events.schema)
 
 
+def append_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs whose key is an int, then a bigint with a field more, then a text: the last one is refused."""
+    events, path = _events(spark, folder).drop("value"), scratch_path(spark, "drift")
+    append_run(events.withColumn("user_id", F.col("user_id").cast("int")), path, "narrow")
+    append_run(events.withColumn("length", F.length("event_type")), path, "wide")
+    refused = ""
+    try:
+        append_run(events.withColumn("user_id", F.col("user_id").cast("string")), path, "text")
+    except SchemaError as problem:
+        refused = str(problem)
+    named = refused.startswith(path) and "'user_id' is int here and string there" in refused
+    return read_merged(spark, path).select(
+        "event_id", "user_id", "event_type", "length", "run_id", F.lit(named).alias("refused_with_folder")
+    )
+
+
+def _cut_in_half(spark: SparkSession, path: str) -> None:
+    """Leave the first half of the one file that a pattern names."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    pattern = jvm.org.apache.hadoop.fs.Path(path)
+    files = pattern.getFileSystem(conf)
+    (status,) = files.globStatus(pattern)
+    with_head = files.open(status.getPath())
+    head = with_head.readNBytes(status.getLen() // 2)
+    with_head.close()
+    out = files.create(status.getPath(), True)
+    out.write(head)
+    out.close()
+
+
+def unreadable_files(spark: SparkSession, folder: str) -> DataFrame:
+    """A Parquet and a gzip file for each kind of event, one of each cut in half: the rows of the others, and two reasons."""
+    events, base = _events(spark, folder), scratch_path(spark, "unreadable")
+    for kinds in EVENT_KINDS:
+        mine = events.where(F.col("event_type").isin(kinds))
+        mine.coalesce(1).write.parquet(f"{base}/{kinds[0]}/parquet")
+        mine.select(F.to_json(F.struct("*")).alias("value")).coalesce(1).write.option("compression", "gzip").text(
+            f"{base}/{kinds[0]}/text"
+        )
+    _cut_in_half(spark, f"{base}/click/parquet/*.parquet")
+    _cut_in_half(spark, f"{base}/error/text/*.gz")
+    tables, bad_tables = split_readable(probe_files(spark, f"{base}/*/parquet/*.parquet"))
+    texts, bad_texts = split_readable(probe_files(spark, f"{base}/*/text/*.gz"))
+    whole = spark.read.schema(events.schema).parquet(*tables).select("event_id", F.lit("parquet").alias("found"))
+    lines = parse_lines(read_lines(spark, texts), events.schema).select("event_id", F.lit("text").alias("found"))
+    refused = bad_tables.unionByName(bad_texts).select(F.lit(None).cast("bigint").alias("event_id"), F.col("reason").alias("found"))
+    return whole.unionByName(lines).unionByName(refused)
+
+
+def only_new_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs over a growing folder, one of which fails: every file is read once, those of the failed run by the next."""
+    events, base = _events(spark, folder), scratch_path(spark, "new-files")
+
+    def read(paths: list[str]) -> DataFrame:
+        return spark.read.schema(events.schema).parquet(*paths)
+
+    def fail(paths: list[str]) -> DataFrame:
+        return read(paths).withColumn("event_type", F.raise_error(F.lit("injected")).cast("string"))
+
+    died = False
+    for number, (kinds, job) in enumerate(zip(EVENT_KINDS, (read, fail, read))):
+        append_parquet(events.where(F.col("event_type").isin(kinds)), f"{base}/landing")
+        try:
+            run_new_files(spark, f"{base}/landing/*.parquet", f"{base}/table", f"run-{number}", job)
+        except PySparkException as error:
+            died = "injected" in str(error)
+    again = run_new_files(spark, f"{base}/landing/*.parquet", f"{base}/table", "run-3", read)
+    found = read_file_runs(spark, f"{base}/table", events.schema)
+    return found.select("event_id", "event_type", "run_id", F.lit(died and again.files == 0).alias("as_expected"))
+
+
+def keyset_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages by a key with many equal values, each read behind the last key of the page before."""
+    lines = table(spark, folder, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber")
+    pages = key_pages(lines, "l_suppkey", -(-lines.count() // PAGES))
+    whole = pages.read(lines, 0).withColumn("in_order", F.lit(True))
+    for number, cursor in enumerate(pages.bounds, start=1):
+        behind = pages.after(lines, cursor)
+        fits = F.col("l_suppkey") > F.lit(cursor)
+        if number < len(pages.bounds):
+            fits = fits & (F.col("l_suppkey") <= F.lit(pages.bounds[number]))
+        whole = whole.unionByName(behind.withColumn("in_order", fits))
+    return whole
+
+
 def load_once(spark: SparkSession, folder: str) -> DataFrame:
     """A load that died after part of its rows, repeated twice under the same id."""
     events, path = _events(spark, folder), scratch_path(spark, "loaded")
@@ -153,6 +254,10 @@ QUERIES = {
     "rerun_smaller": rerun_smaller,
     "run_failed_midway": run_failed_midway,
     "dedup_across_runs": dedup_across_runs,
+    "append_drift": append_drift,
+    "unreadable_files": unreadable_files,
+    "only_new_files": only_new_files,
+    "keyset_pages": keyset_pages,
     "load_once": load_once,
     "warehouse_load": warehouse_load,
     "source_slices": source_slices,
@@ -174,6 +279,20 @@ ORACLES = {
                CASE WHEN event_type IN ('view', 'click') THEN value ELSE value + 1 END AS value,
                CASE WHEN event_type IN ('view', 'click') THEN 'one' ELSE 'two' END AS run_id
         FROM events""",
+    "append_drift": """
+        SELECT event_id, user_id, event_type, CAST(NULL AS INTEGER) AS length, 'narrow' AS run_id,
+               true AS refused_with_folder
+        FROM events
+        UNION ALL SELECT event_id, user_id, event_type, CAST(length(event_type) AS INTEGER), 'wide', true FROM events""",
+    "unreadable_files": """
+        SELECT event_id, 'parquet' AS found FROM events WHERE event_type IN ('view', 'error', 'purchase')
+        UNION ALL SELECT event_id, 'text' FROM events WHERE event_type IN ('view', 'click', 'signup')
+        UNION ALL SELECT NULL, 'no_footer' UNION ALL SELECT NULL, 'cut_short'""",
+    "only_new_files": """
+        SELECT event_id, event_type, CASE WHEN event_type = 'view' THEN 'run-0' ELSE 'run-2' END AS run_id,
+               true AS as_expected
+        FROM events""",
+    "keyset_pages": "SELECT l_suppkey, l_orderkey, l_linenumber, true AS in_order FROM lineitem",
     "load_once": """
         SELECT event_id, event_type, 'load-1' AS load_id, count(*) OVER () AS added,
                CAST(0 AS BIGINT) AS added_again

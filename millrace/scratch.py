@@ -11,17 +11,22 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.errors import MillraceError
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``, else a folder in the warehouse.
 
     Both are shared by the driver and all executors, and both are read from the
-    session, so local and cluster runs take the same path.
+    session, so local and cluster runs take the same path. A warehouse on a local disk serves a local master only.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if warehouse.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+        raise MillraceError("set spark.checkpoint.dir to a shared folder: the warehouse is local to one machine")
+    return warehouse.rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -1,6 +1,14 @@
 from millrace.sinks.files import append_parquet, write_chunks, write_jsonl, write_shards
 from millrace.sinks.known_keys import append_better, append_new, read_best, read_new
-from millrace.sinks.runs import prepare_run, publish, read_runs, remove_unpublished, replace_run
+from millrace.sinks.runs import (
+    append_run,
+    prepare_run,
+    publish,
+    read_merged,
+    read_runs,
+    remove_unpublished,
+    replace_run,
+)
 from millrace.sinks.tables import Target, append_once, jdbc_target, parquet_target, staged_load
 
 __all__ = [
@@ -9,11 +17,13 @@ __all__ = [
     "append_new",
     "append_once",
     "append_parquet",
+    "append_run",
     "jdbc_target",
     "parquet_target",
     "prepare_run",
     "publish",
     "read_best",
+    "read_merged",
     "read_new",
     "read_runs",
     "remove_unpublished",

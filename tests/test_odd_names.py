@@ -69,3 +69,14 @@ def test_clean_keeps_fields_named_like_its_own(spark, tmp_path):
 
 def test_free_prefix():
     assert free_prefix(["a", "b_"]) == "_" and free_prefix(["_x", "__y"]) == "___" and free_prefix([]) == "_"
+
+
+def test_a_key_that_does_not_convert_is_rejected_by_the_batch_job(spark, tmp_path):
+    (tmp_path / "in.json").write_text('{"id":"x1","n":"3"}\n{"id":"x2","n":"4"}\n{"id":"7","n":"odd"}\n{"id":null,"n":1}\n')
+    report = run_clean(spark, f"{tmp_path}/in.json", f"{tmp_path}/out", f"{tmp_path}/bad", "id bigint, n int", required=["id"])
+    assert (report.records, report.rejected_lines, report.coerced) == (2, 2, {"n": 1})
+    assert {r.problem for r in spark.read.parquet(f"{tmp_path}/bad").collect()} == {"type_mismatch"}
+    loose = run_clean(
+        spark, f"{tmp_path}/in.json", f"{tmp_path}/out2", f"{tmp_path}/bad2", "id bigint, n int", required=["id"], reject_mismatch=False
+    )
+    assert (loose.records, loose.rejected_lines, loose.coerced) == (4, 0, {"id": 2, "n": 1})
