@@ -13,8 +13,7 @@ distinct line once. Hot lines, leaves and templates are summed before they are s
 per key on one side, so Spark can split the other.
 
 Lines of fewer tokens than the tree is deep go by the leading tokens they have. A line that enough documents hold word
-for word is a template of its own, whatever its digits. Both can be switched off: the query and its SQL twin keep
-them.
+for word is a template of its own, whatever its digits.
 
 Defined results: null is the empty text, which is one empty line. Lines are parted by \\n and tokens by blanks;
 lines without a token are kept. Repeated rows are documents each.
@@ -25,12 +24,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.functions.barrier import evaluated_once
 from millrace.llm.arrow_text import free_name
 from millrace.scratch import stage
 
 #: Leading tokens that lead to a leaf, below the number of tokens.
 LEADING = 3
-MIN_TOKENS = 4
 #: A token can be constant from so many lines on, a template recurs from so many documents on.
 MIN_LINES = 10
 MIN_DOCUMENTS = 10
@@ -50,24 +49,23 @@ def _masked(token: Column) -> Column:
     return F.when(token.rlike("[0-9]"), F.lit(_ANY)).otherwise(token)
 
 
-def _placed(documents: DataFrame, least: int, *kept: Column) -> DataFrame:
-    """Each line of ``least`` tokens or more with its leaf and two hashes that stand for it."""
+def _hashed(documents: DataFrame, *kept: Column) -> DataFrame:
+    """Each line with two hashes that stand for it."""
     exploded = documents.select(*kept, F.posexplode(_lines(F.col("text"))).alias("line_no", "line"))
+    return exploded.withColumns({"line_a": F.xxhash64("line"), "line_b": F.xxhash64(F.lit(_SEED), F.col("line"))})
+
+
+def _placed(documents: DataFrame) -> DataFrame:
+    """Each line with a token, with its tokens and leaf."""
     tokens = F.regexp_extract_all(F.col("line"), F.lit(_TOKEN), F.lit(0))
-    held = exploded.withColumn("tokens", tokens).where(F.size("tokens") >= least)
+    held = _hashed(documents).withColumn("tokens", tokens).where(F.size("tokens") > 0)
     leading = [_masked(F.get("tokens", F.lit(k))) for k in range(LEADING)]  # null behind the end
-    return held.withColumns(
-        {
-            "leaf": F.xxhash64(F.size("tokens"), *leading),
-            "line_a": F.xxhash64("line"),
-            "line_b": F.xxhash64(F.lit(_SEED), F.col("line")),
-        }
-    )
+    return held.withColumn("leaf", F.xxhash64(F.size("tokens"), *leading))
 
 
-def _dropped_lines(documents: DataFrame, least: int, verbatim: bool) -> DataFrame:
+def _dropped_lines(documents: DataFrame) -> DataFrame:
     """line_a, line_b of every line whose template recurs."""
-    lines = _placed(documents, least)
+    lines = _placed(documents)
     leaves = lines.groupBy("leaf").agg(F.count("*").alias("n")).where(f"n >= {MIN_LINES}")
     leaves = leaves.withColumnRenamed("n", "leaf_rows")
     distinct = (
@@ -107,13 +105,10 @@ def _dropped_lines(documents: DataFrame, least: int, verbatim: bool) -> DataFram
         )
         .select("leaf", "line_a", "line_b", F.sha2(F.array_join("shown", " "), 256).alias("template"))
     )
-    if verbatim:
-        own = F.concat(F.lit("="), F.hex("line_a"), F.hex("line_b")).alias("template")
-        general = general.unionByName(
-            distinct.where(f"rows >= {MIN_DOCUMENTS}").select("leaf", "line_a", "line_b", own)
-        )
-    general = stage(general, "templates")
-    held = _placed(documents.withColumn("_at", F.monotonically_increasing_id()), least, F.col("_at")).select(
+    own = F.concat(F.lit("="), F.hex("line_a"), F.hex("line_b")).alias("template")
+    word_for_word = distinct.where(f"rows >= {MIN_DOCUMENTS}").select("leaf", "line_a", "line_b", own)
+    general = stage(general.unionByName(word_for_word), "templates")
+    held = _hashed(documents.withColumn("_at", F.monotonically_increasing_id()), F.col("_at")).select(
         "_at", "line_a", "line_b"
     )
     recurring = (
@@ -128,35 +123,33 @@ def _dropped_lines(documents: DataFrame, least: int, verbatim: bool) -> DataFram
     return stage(dropped, "dropped-lines")
 
 
-def drop_templates(
-    documents: DataFrame, short_lines: bool = True, verbatim: bool = True
-) -> tuple[DataFrame, tuple[str, str]]:
+def drop_templates(documents: DataFrame) -> tuple[DataFrame, tuple[str, str]]:
     """``documents`` without the lines of recurring templates, and the names of two columns added.
 
-    They hold the number of lines of the text and of those dropped. Without ``short_lines``, lines of fewer than
-    four tokens are kept; without ``verbatim``, so are repeated lines of which most tokens hold a digit.
+    They hold the number of lines of the text and of those dropped.
     """
-    least = 1 if short_lines else MIN_TOKENS
     text = documents.select(F.coalesce("text", F.lit("")).alias("text"))
     ids = {"text_a": F.xxhash64("text"), "text_b": F.xxhash64(F.lit(_SEED), F.col("text"))}
     gone = (
-        _placed(text.withColumns(ids), least, F.col("text_a"), F.col("text_b"))
-        .join(_dropped_lines(text, least, verbatim), ["line_a", "line_b"])
+        _hashed(text.withColumns(ids), F.col("text_a"), F.col("text_b"))
+        .join(_dropped_lines(text), ["line_a", "line_b"])
         .groupBy("text_a", "text_b")
         .agg(F.collect_set("line_no").alias("gone"))  # no more than the text has lines
     )
     gone = stage(gone, "gone")
     n_lines, n_dropped = free_name(documents, "n_lines"), free_name(documents, "n_dropped")
-    a, b, places = (free_name(documents, c) for c in ("text_a", "text_b", "gone"))
+    a, b, places, parts = (free_name(documents, c) for c in ("text_a", "text_b", "gone", "parts"))
     gone = gone.toDF(a, b, places)
     full = F.coalesce(F.col("text"), F.lit(""))
     named = documents.withColumns({a: F.xxhash64(full), b: F.xxhash64(F.lit(_SEED), full)})
-    kept = F.filter(_lines(F.col("text")), lambda _, i: ~F.array_contains(F.col(places), i))
-    joined = named.join(gone, [a, b], "left")
+    # Cut once: an expression inside the look-ups below would be cut again for each line.
+    cut = evaluated_once(named.join(gone, [a, b], "left").drop(a, b).withColumn(parts, _lines(F.col("text"))))
+    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(places))
+    kept = F.transform(left, lambda i: F.get(F.col(parts), i))
     return (
-        joined.withColumns(
+        cut.withColumns(
             {
-                n_lines: F.size(_lines(F.col("text"))).cast("long"),
+                n_lines: F.size(parts).cast("long"),
                 n_dropped: F.coalesce(F.size(places), F.lit(0)).cast("long"),
                 "text": F.when(F.col(places).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")),
             }
@@ -166,12 +159,9 @@ def drop_templates(
 
 
 def templates_query(spark, sf_dir: str) -> DataFrame:
-    """doc_id, n_lines, n_dropped and the SHA-256 of the kept text of every document.
-
-    As in its SQL twin, short lines and repeated lines of mostly digits are kept.
-    """
+    """doc_id, n_lines, n_dropped and the SHA-256 of the kept text of every document."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    kept, (n_lines, n_dropped) = drop_templates(documents, short_lines=False, verbatim=False)
+    kept, (n_lines, n_dropped) = drop_templates(documents)
     return kept.select("doc_id", n_lines, n_dropped, F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
@@ -185,23 +175,29 @@ WITH lines AS (
     SELECT *, regexp_extract_all(line, '{_TOKEN}') AS tokens FROM exploded
 ), placed AS (
     SELECT *, list_transform(tokens, lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '{_ANY}' ELSE t END) AS masked
-    FROM tokened WHERE len(tokens) >= {MIN_TOKENS}
+    FROM tokened WHERE len(tokens) > 0
 ), leaved AS (
     SELECT *, concat_ws(' ', len(tokens), {_LEADING_SQL}) AS leaf FROM placed
 ), recurring_leaves AS (
-    SELECT leaf FROM leaved GROUP BY leaf HAVING count(*) >= {MIN_LINES}
+    SELECT leaf, count(*) AS leaf_rows FROM leaved GROUP BY leaf HAVING count(*) >= {MIN_LINES}
 ), distinct_lines AS (
     SELECT leaf, line, any_value(masked) AS masked, count(*) AS n
     FROM leaved WHERE leaf IN (SELECT leaf FROM recurring_leaves) GROUP BY leaf, line
 ), spread AS (
     SELECT leaf, line, n, unnest(range(1, len(masked) + 1)) AS place, unnest(masked) AS token FROM distinct_lines
 ), constant AS (
-    SELECT leaf, place, token FROM spread WHERE token <> '{_ANY}'
+    SELECT leaf, place, token, length(bin(any_value(leaf_rows) // sum(n)::BIGINT)) AS level
+    FROM spread JOIN recurring_leaves USING (leaf) WHERE token <> '{_ANY}'
     GROUP BY leaf, place, token HAVING sum(n) >= {MIN_LINES}
+), leveled AS (
+    SELECT s.leaf, s.line, s.place, s.token, c.level FROM spread s LEFT JOIN constant c USING (leaf, place, token)
+), levels AS (
+    SELECT DISTINCT leaf, line, level AS upto FROM leveled WHERE level IS NOT NULL
 ), general AS (
-    SELECT s.leaf, s.line, string_agg(coalesce(c.token, '{_ANY}'), ' ' ORDER BY s.place) AS template
-    FROM spread s LEFT JOIN constant c USING (leaf, place, token)
-    GROUP BY s.leaf, s.line HAVING count(c.token) >= {CONSTANT_SHARE} * count(*)
+    SELECT leaf, line, string_agg(CASE WHEN level <= upto THEN token ELSE '{_ANY}' END, ' ' ORDER BY place) AS template
+    FROM leveled JOIN levels USING (leaf, line) GROUP BY leaf, line, upto
+    HAVING count(*) FILTER (WHERE level <= upto) >= {CONSTANT_SHARE} * count(*)
+    UNION ALL SELECT leaf, line, '=' || line FROM distinct_lines WHERE n >= {MIN_DOCUMENTS}
 ), recurring AS (
     SELECT g.leaf, g.template FROM leaved JOIN general g USING (leaf, line)
     GROUP BY g.leaf, g.template HAVING count(DISTINCT doc_row) >= {MIN_DOCUMENTS}

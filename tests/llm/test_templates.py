@@ -8,28 +8,36 @@ from millrace.llm import templates as tp
 
 
 def brute(texts):
+    """The rule as the module states it, line by line."""
     token = re.compile(r"[^\x20\x09-\x0D]+")
     mask = lambda t: "<*>" if re.search("[0-9]", t) else t
     lines = [(i, line) for i, text in enumerate(texts) for line in (text or "").split("\n")]
-    leaf_of = {}
-    for _, line in lines:
-        found = [mask(t) for t in token.findall(line)]
-        if len(found) >= 4:
-            leaf_of[line] = (len(found), *found[:3])
+    masked = {line: [mask(t) for t in token.findall(line)] for _, line in lines if token.search(line)}
+    leaf_of = {line: (len(found), *found[:3]) for line, found in masked.items()}
+    times = Counter(line for _, line in lines)
     leaves = Counter(leaf_of[line] for _, line in lines if line in leaf_of)
     seen = Counter()
     for _, line in lines:
-        if line in leaf_of and leaves[leaf_of[line]] >= 10:
-            seen.update((leaf_of[line], k, mask(t)) for k, t in enumerate(token.findall(line)))
-    template, holders = {}, defaultdict(set)
+        if line in leaf_of:
+            seen.update((leaf_of[line], k, t) for k, t in enumerate(masked[line]) if t != "<*>")
+    templates = defaultdict(set)
+    for line, leaf in leaf_of.items():
+        level = {
+            k: (leaves[leaf] // seen[leaf, k, t]).bit_length() if leaves[leaf] >= seen[leaf, k, t] else 1
+            for k, t in enumerate(masked[line])
+            if t != "<*>" and seen[leaf, k, t] >= 10
+        }
+        for at in set(level.values()):
+            shown = [t if level.get(k, 99) <= at else "<*>" for k, t in enumerate(masked[line])]
+            if sum(level.get(k, 99) <= at for k in range(len(shown))) >= len(shown) / 2:
+                templates[line].add((leaf, " ".join(shown)))
+        if times[line] >= 10 and leaves[leaf] >= 10:
+            templates[line].add((leaf, "=" + line))
+    holders = defaultdict(set)
     for i, line in lines:
-        if line in leaf_of and leaves[leaf_of[line]] >= 10:
-            found = [mask(t) for t in token.findall(line)]
-            shown = [t if t != "<*>" and seen[leaf_of[line], k, t] >= 10 else "<*>" for k, t in enumerate(found)]
-            if sum(t != "<*>" for t in shown) >= len(shown) / 2:
-                template[line] = (leaf_of[line], tuple(shown))
-                holders[template[line]].add(i)
-    gone = {line for line, t in template.items() if len(holders[t]) >= 10}
+        for template in templates[line]:
+            holders[template].add(i)
+    gone = {line for line, own in templates.items() if any(len(holders[t]) >= 10 for t in own)}
     return [
         (len((t or "").split("\n")), sum(x in gone for x in (t or "").split("\n")),
          "\n".join(x for x in (t or "").split("\n") if x not in gone))
@@ -50,7 +58,15 @@ def texts():
         if i % 7 == 0:
             body += [f"count is now {i}", f"count is now {i + 1}"]
         result.append("\n".join(body))
-    return result + ["total rows were 5 today"] * 12
+    result += ["total rows were 5 today"] * 12
+    for i in range(40):  # short lines, lines of digits, values that are frequent, and rare ones
+        result.append(
+            "\n".join(
+                ["Read more"] * (i % 3) + [f"(c) 2023 {i % 2} 1-800"] + [f"page {i}"] * (i % 2)
+                + [f"Written by name{'abc'[i % 3]} from city{'xyzw'[i % 4]}", f"seen by {word()} only once"]
+            )
+        )
+    return result
 
 
 def test_against_plain_python(spark):
@@ -99,3 +115,16 @@ def test_short_and_digit_lines_that_recur_are_dropped(spark):
     kept, (_, n_dropped) = tp.drop_templates(docs)
     got = {r.doc_id: (r[n_dropped], r.text) for r in kept.collect()}
     assert got == {i: (5, f"\n{chr(97 + i)} own\n{i} {i} {i} {i}") for i in range(12)} | {99: (0, "Rare line")}
+
+
+def test_many_recurring_lines_in_one_text(spark):
+    """Linear in the lines of a text."""
+    import time
+
+    long = "\n".join(["All rights reserved", "a line of its own"] * 100_000)
+    docs = spark.createDataFrame([(i, "All rights reserved") for i in range(12)] + [(99, long)], "doc_id long, text string")
+    began = time.monotonic()
+    kept, (_, n_dropped) = tp.drop_templates(docs)
+    row = kept.where("doc_id = 99").first()
+    assert row[n_dropped] == 100_000 and row.text == "\n".join(["a line of its own"] * 100_000)
+    assert time.monotonic() - began < 60
