@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from millrace.llm.arrow_text import bounded_batches, slices
 from millrace.operators.chunks import number_rows
 from millrace.scratch import stage
 
@@ -53,7 +54,7 @@ def without_quotes(lines: list[tuple[int, str]]) -> str:
     for i, (level, line) in enumerate(lines):
         if level:
             continue
-        behind = next((other for other, rest in lines[i + 1 :][:3] if other or rest.strip()), 0)
+        behind = next((other for other, rest in lines[i + 1 : i + 4] if other or rest.strip()), 0)
         if behind and _INTRODUCTION.search(line):
             continue
         if line.strip() or (kept and kept[-1].strip()):
@@ -92,18 +93,20 @@ def _parsed(messages: DataFrame) -> DataFrame:
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, held = [], []
-            for text in batch.column("text").to_pylist():
-                text = text or ""
-                lines = levels(text)
-                quoted = any(level for level, _ in lines)
-                texts.append(without_quotes(lines) if quoted else text)
-                rows = passages(lines)
-                held.append([{"level": a, "hash": b, "chars": n} for (a, b), n in rows.items()])
-            columns = [batch.column(c) for c in ("conv_id", "turn", "role")]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(texts, pa.string()), pa.array(held, kind)], ["conv_id", "turn", "role", "text", "passages"]
-            )
+            for part in slices(batch, "text"):
+                texts, held = [], []
+                for text in part.column("text").to_pylist():
+                    text = text or ""
+                    lines = levels(text)
+                    quoted = any(level for level, _ in lines)
+                    texts.append(without_quotes(lines) if quoted else text)
+                    rows = passages(lines)
+                    held.append([{"level": a, "hash": b, "chars": n} for (a, b), n in rows.items()])
+                columns = [part.column(c) for c in ("conv_id", "turn", "role")]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array(texts, pa.string()), pa.array(held, kind)],
+                    ["conv_id", "turn", "role", "text", "passages"],
+                )
 
     chosen = messages.select("conv_id", "turn", "role", "text")
     schema = T.StructType(
@@ -113,7 +116,7 @@ def _parsed(messages: DataFrame) -> DataFrame:
             *T.StructType.fromDDL(f"passages {_PASSAGES}").fields,
         ]
     )
-    return chosen.mapInArrow(parse, schema).withColumn("id", F.monotonically_increasing_id())
+    return bounded_batches(chosen).mapInArrow(parse, schema).withColumn("id", F.monotonically_increasing_id())
 
 
 def reply_links(parsed: DataFrame) -> DataFrame:
