@@ -1,4 +1,12 @@
-"""The corpus pipeline: toxicity, near-dedup, decontamination, mixing, token records."""
+"""The corpus pipeline: toxicity, near-dedup, decontamination, mixing, token records.
+
+Defined results: a null text passes as an empty one; both are scored by the intercept, belong to the class of empty texts
+(one document of it stays), have no words to be contaminated or counted by the mix, and give a record of the end id alone.
+Null sources are one source, rows with a null doc_id are documents like others and come last. Equal rows are copies, of
+which near-dedup keeps one. Ties go by the rules of each stage's module. Without documents there are no rows; without
+labels nothing is toxic, without benchmark items nothing is contaminated. Other columns, whatever their names, pass
+through all stages but the last.
+"""
 
 from __future__ import annotations
 

@@ -172,3 +172,22 @@ def test_best_rows_do_not_depend_on_the_order_of_runs(spark):
 def test_reading_a_table_without_runs(spark, path):
     with pytest.raises(LoadError):
         read_new(spark, path, "id long")
+
+
+def test_the_log_is_folded_and_stays_short(spark, path, monkeypatch):
+    from millrace.sinks import runs
+
+    monkeypatch.setattr(runs, "FOLD_EVERY", 4)
+    for i in range(14):
+        replace_run(spark.range(i, i + 2), path, f"r{i % 5}")
+        if i == 7:
+            before = read_runs(spark, path, "id long", column="run_id")
+            known = published(spark, path)
+    assert last_version(spark, path) == 14
+    assert sorted(names_in(spark, f"{path}/_log")) == [f"{i:010d}.json" for i in range(9, 15)]
+    assert sorted(names_in(spark, f"{path}/_folded")) == [f"{i:010d}{s}" for i in (8, 12) for s in ("", ".done")]
+    want = sorted((n, f"r{i % 5}") for i in range(9, 14) for n in (i, i + 1))
+    assert rows(read_runs(spark, path, "id long"), "id", "run_id") == want
+    assert known.count() == 5 and before.columns == ["id", "run_id"]
+    replace_run(spark.range(1), path, "new")
+    assert read_runs(spark, path, "id long").count() == 11 and remove_unpublished(spark, path) == 0
