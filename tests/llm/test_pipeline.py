@@ -146,3 +146,34 @@ def test_toxicity_without_usable_labels(spark):
     with pytest.raises(ValueError):
         tx.score_toxicity(clash, tx.fit_toxicity(docs, none))
     assert tx.score_toxicity(docs.limit(0), tx.fit_toxicity(docs, none)).count() == 0
+
+
+def tables(spark, docs, schema, items=(), labels=()):
+    base = scratch_path(spark, "odd-tables")
+    spark.createDataFrame(docs, schema).repartition(2).write.parquet(f"{base}/documents.parquet")
+    spark.createDataFrame(list(items), "item_id long, text string").write.parquet(f"{base}/benchmark.parquet")
+    spark.createDataFrame(list(labels), "doc_id long, quality int, toxic int").write.parquet(f"{base}/labels.parquet")
+    return base
+
+
+def test_pipeline_on_empty_tables(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    assert corpus_pipeline.run(spark, tables(spark, [], schema)).count() == 0
+
+
+def test_pipeline_on_odd_rows_with_clashing_columns(spark):
+    names = "toxicity_score score size copies target cluster contaminated spans shard part n_tokens".split()
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names)
+    extra = ["x"] * len(names)
+    rows = [(1, "a few plain words stand here", "en", "s", 1, *extra), (1, "a few plain words stand here", "en", "s", 1, *extra),
+            (2, None, None, None, None, *[None] * len(names)), (3, "", "en", None, 0, *extra), (None, "no id but words", "en", "s", 1, *extra),
+            (5, "long " * 30_000, "en", "t", 1, *extra)]
+    folder = tables(spark, rows, schema)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        docs = step(spark, docs, folder)
+        assert docs.columns == [f.split()[0] for f in schema.split(", ")], name
+    found = corpus_pipeline.run(spark, folder).collect()
+    kept = {r.doc_id for r in found}
+    assert {1, None, 5} <= kept <= {1, 2, 3, None, 5} and len(kept & {2, 3}) <= 1
+    assert all(r.n_tokens == 1 for r in found if r.doc_id in (2, 3))
