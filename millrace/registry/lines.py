@@ -19,7 +19,7 @@ from millrace.registry.inputs import (
     event_lines,
     record_lines,
     table,
-    written_document,
+    written_documents,
     written_lines,
 )
 from millrace.schema import build_schema, missing_columns, require_columns
@@ -108,10 +108,10 @@ def json_array_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def array_document_ranges(spark: SparkSession, folder: str) -> DataFrame:
-    """All conversations as one array in one file, read by ranges of bytes."""
+    """The conversations as few large arrays, read by ranges of bytes."""
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     parts = turns.select(F.to_json(F.struct("*"), KEEP_NULLS).alias("value"))
-    entries = document_entries(spark, written_document(parts, "[", "]", "array-document"))
+    entries = document_entries(spark, written_documents(parts, "[", "]", "array-document"))
     return parse_lines(entries.where(F.col("problem").isNull()), turns.schema)
 
 

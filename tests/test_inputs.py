@@ -1,14 +1,29 @@
 """Inputs derived from the tables: written by many tasks, the same documents whatever the partitions."""
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
-from millrace.registry.inputs import supplier_documents
+from millrace.registry.inputs import supplier_documents, written_documents
+from millrace.sources import document_entries
 from tests.conftest import plan_of
 
 
+def test_every_partition_writes_a_document_of_its_own(spark):
+    parts = spark.range(40, numPartitions=4).where("id >= 10").select(F.format_string('"k%d":"a,{%d"', "id", "id").alias("value"))
+    path = written_documents(parts, "{", "}", "parts")  # the first partition is empty
+    files = [f for f in Path(path).glob("part-*") if f.stat().st_size]
+    assert len(files) == 3
+    whole = [json.loads(f.read_text()) for f in files]
+    assert sorted(k for d in whole for k in d) == sorted(f"k{i}" for i in range(10, 40))
+    entries = document_entries(spark, path)
+    assert entries.where("problem IS NULL").count() == 30 and entries.where("problem IS NOT NULL").count() == 0
+    assert document_entries(spark, written_documents(parts.limit(0), "[", "]", "none")).count() == 0
+
+
 @pytest.fixture
 def shop_tables(spark, tmp_path):
     def make(parts, suppliers=((1, 'S "1"', 7), (2, None, 7))):
