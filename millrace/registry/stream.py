@@ -10,6 +10,7 @@ from millrace.registry.tables import EVENT_KINDS
 from millrace.registry.inputs import RECORD_DDL, record_lines, table, written_lines
 from millrace.scratch import scratch_path
 from millrace.sinks import append_parquet, parquet_target, read_best, read_new
+from millrace.storage import names_in
 from millrace.streaming import (
     ProgressLog,
     read_rejects,
@@ -27,6 +28,9 @@ EVENT_SCHEMA = "event_id bigint, user_id bigint, event_type string"
 
 # Rows of a replayed chunk, at every size of the table.
 REPLAY_ROWS = 10_000
+# Micro-batches of a replay, more or less: beyond as many chunks a micro-batch takes several, since its fixed cost
+# (logs, planning, commits) is above that of a chunk's rows.
+REPLAY_BATCHES = 50
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
@@ -69,14 +73,15 @@ def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_replay(spark: SparkSession, folder: str) -> DataFrame:
-    """Landed in ordered chunks, then streamed one chunk file per micro-batch."""
+    """Landed in ordered chunks, then streamed by whole chunk files, one per micro-batch while the chunks are few."""
     base, events = scratch_path(spark, "replay"), _events(spark, folder)
     land_in_chunks(events, f"{base}/landing", ["event_id"], REPLAY_ROWS)
+    chunks = len(names_in(spark, f"{base}/landing"))
     source = stream_parquet(
         spark,
         f"{base}/landing",
         f"{EVENT_SCHEMA}, ingest_time timestamp, batch_id bigint",
-        max_files=1,
+        max_files=max(1, -(-chunks // REPLAY_BATCHES)),
     )
     wait(start_parquet_sink(source, f"{base}/out", f"{base}/state", every="once"))
     out = spark.read.parquet(f"{base}/out")

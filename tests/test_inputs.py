@@ -77,3 +77,16 @@ def test_pairs_are_never_broadcast(spark, data_dir):
     for line, below in zip(plan.splitlines(), plan.splitlines()[1:]):
         assert not ("BroadcastExchange" in line and "HashAggregate" in below)
     assert "ShuffledHashJoin" in plan
+
+
+def test_replay_has_a_bounded_number_of_micro_batches(spark, tmp_path, monkeypatch):
+    from millrace.registry import stream
+
+    events = spark.range(230).select(F.col("id").alias("event_id"), F.col("id").alias("user_id"), F.lit("view").alias("event_type"))
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(stream, "REPLAY_ROWS", 10)
+    monkeypatch.setattr(stream, "REPLAY_BATCHES", 4)
+    monkeypatch.setattr(stream, "scratch_path", lambda *_: f"{tmp_path}/replay")
+    assert stream.stream_replay(spark, str(tmp_path)).distinct().count() == 230
+    assert len(list((tmp_path / "replay/landing").glob("batch_id=*"))) == 23  # chunks stay as they are
+    assert len([f for f in (tmp_path / "replay/state/commits").iterdir() if f.name.isdigit()]) == 4
