@@ -39,6 +39,8 @@ THRESHOLD = 0.5
 #: Buckets whose ratio is less than so many standard errors from zero are not used.
 MIN_ERRORS = 3.0
 _SEED = 20240607
+#: Bytes of distinct words whose n-grams are hashed at once, for the memory of a task; one longer word is not cut.
+_BLOCK_BYTES = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -51,6 +53,17 @@ class ToxicityModel:
 
 def _word_features(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Feature buckets of each word: flat buckets and where each word's begin."""
+    ends = np.cumsum(pc.binary_length(words).to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = np.flatnonzero(np.diff(ends // _BLOCK_BYTES)) + 1
+    bounds = [0, *cuts.tolist(), len(words)]
+    blocks = [_block_features(words.slice(a, b - a)) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    begins = np.cumsum([0, *[len(buckets) for buckets, _ in blocks]])
+    pointers = [p[:-1] + begin for (_, p), begin in zip(blocks, begins[:-1], strict=True)]
+    return np.concatenate([buckets for buckets, _ in blocks]), np.concatenate([*pointers, begins[-1:]])
+
+
+def _block_features(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`_word_features` of words that are handled at once."""
     empty, blank = pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())
     padded = pc.binary_join_element_wise(empty, words, empty, blank)  # " word "
     lengths = pc.utf8_length(padded).to_numpy(zero_copy_only=False).astype(np.int64)
