@@ -168,7 +168,8 @@ def powers_of(base: int, count: int) -> np.ndarray:
     """base ** 0 … base ** (count - 1) modulo 2 ** 64; kept for the next call."""
     known = _powers.get(base)
     if known is None or len(known) < count:
-        known = np.full(max(count, SLICE_BYTES + 1), np.uint64(base), np.uint64)
+        held = 0 if known is None else len(known)
+        known = np.full(max(count, 1 << 16, min(2 * held, SLICE_BYTES + 1)), np.uint64(base), np.uint64)
         known[0] = 1
         _powers[base] = known = np.multiply.accumulate(known)
     return known[:count]

@@ -58,6 +58,8 @@ ROWS = 5
 BLOCK_ROWS = 512
 #: Shingles of pairs in memory at once.
 SHINGLES_AT_ONCE = 1_000_000
+#: Text bytes that a task handles at once, for its memory; one longer text is handled alone.
+TEXT_BYTES = 1 << 18
 #: Pairs of sketches in memory at once.
 PAIRS_AT_ONCE = 200_000
 #: A pair is compared whole unless its sketches agree less than the similarity by so much (4.6 standard errors).
@@ -186,7 +188,7 @@ def _signed(documents: DataFrame, bands: int, rows: int) -> DataFrame:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TEXT_BYTES):
                 texts = texts_of(part, "text")
                 hashes, owner, words, counts = _shingles(texts)
                 signature = signatures(*_multisets(hashes, owner), len(texts), bands * rows)
@@ -220,7 +222,7 @@ def _signed(documents: DataFrame, bands: int, rows: int) -> DataFrame:
 def _with_digest(documents: DataFrame, into: str) -> DataFrame:
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TEXT_BYTES):
                 texts = texts_of(part, "text")
                 words, counts = spaced_words(pc.utf8_lower(texts), _SEPARATORS)
                 found = pa.array(_digests(texts, words, counts), pa.binary())
@@ -268,7 +270,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text_a"):
+            for part in slices(batch, "text_a", TEXT_BYTES):
                 both = pa.concat_arrays([texts_of(part, "text_a"), texts_of(part, "text_b")])
                 hashes, owner, _, _ = _shingles(both)
                 rows = np.arange(part.num_rows)

@@ -41,6 +41,8 @@ MIN_ERRORS = 3.0
 _SEED = 20240607
 #: Bytes of distinct words whose n-grams are hashed at once, for the memory of a task; one longer word is not cut.
 _BLOCK_BYTES = 1 << 17
+#: Text bytes whose features are found at once, for the memory of a task; one longer text is handled alone.
+_TEXT_BYTES = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -122,7 +124,7 @@ def _train_rows(documents: DataFrame, labels: DataFrame, usable: Column, sample_
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", _TEXT_BYTES):
                 found = [np.sort(x) for x in _features(texts_of(part, "text"))]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("label").cast(pa.int32()), pa.array(found, pa.list_(pa.int32()))],
@@ -189,7 +191,7 @@ def score_toxicity(documents: DataFrame, model: ToxicityModel, into: str = "scor
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, intercept = shared.value.weights, shared.value.intercept
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", _TEXT_BYTES):
                 raw = np.array([intercept + weights[x].sum() for x in _features(texts_of(part, "text"))])
                 scores = np.round(1 / (1 + np.exp(-np.clip(raw, -40, 40))), 6)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores)], [*part.schema.names, into])
