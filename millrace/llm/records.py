@@ -40,15 +40,15 @@ from millrace.scratch import scratch_path
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
-#: Text bytes that are encoded together.
-ENCODE_BYTES = 4 << 20
+#: Text bytes that are encoded together, each for about forty bytes of a worker's memory while it encodes.
+ENCODE_BYTES = 1 << 20
 #: Words that the library encodes at once, and how many of them as one text if they are letters only.
 BATCH_WORDS = 4096
 JOINED_WORDS = 256
 #: Bytes of words and their ids that a Python worker holds between slices.
-KNOWN_BYTES = 16 << 20
+KNOWN_BYTES = 8 << 20
 #: Bytes of records read and checked together; one longer record is alone.
-READ_BYTES = 4 << 20
+READ_BYTES = 1 << 20
 
 _CASTAGNOLI = 0x82F63B78
 _MASK_DELTA = 0xA282EAD8
@@ -348,6 +348,7 @@ def write_records(documents: DataFrame, root: str, vocabulary: str | None = None
         finally:
             if out is not None:
                 out.close()
+            pa.default_memory_pool().release_unused()  # the worker stays, beside those of later stages
 
     schema = T.StructType([*T.StructType.fromDDL(_INDEX).fields, T.StructField("doc_id", doc_id)])
     order = F.col("doc_id").asc_nulls_last()

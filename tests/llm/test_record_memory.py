@@ -1,0 +1,58 @@
+"""What a task that writes token records holds at once is bounded, and the bounds do not change its files."""
+
+import glob
+import tracemalloc
+from types import SimpleNamespace
+
+import pyarrow as pa
+from pyspark.sql import types as T
+
+from millrace.llm import records as rec
+
+SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
+
+
+def batch_of(texts: list[str | None]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": pa.array(texts, pa.string())})
+
+
+def write_task(monkeypatch, root):
+    """The function that writes batches into a shard, without Spark around it."""
+    made = []
+    frame = SimpleNamespace(schema=SCHEMA, write=SimpleNamespace(parquet=lambda path: None))
+    for step in ("select", "repartitionByRange", "sortWithinPartitions"):
+        setattr(frame, step, lambda *columns: frame)
+    frame.mapInArrow = lambda f, schema: made.append(f) or frame
+    monkeypatch.setattr(rec, "bounded_batches", lambda df: df)
+    monkeypatch.setattr(rec, "_encoders", {})
+    context = SimpleNamespace(partitionId=lambda: 0, taskAttemptId=lambda: 0)
+    monkeypatch.setattr(rec, "TaskContext", SimpleNamespace(get=lambda: context))
+    rec.write_records(frame, f"file://{root}")
+    return made[0]
+
+
+def test_memory_of_a_batch(spark, monkeypatch, tmp_path):
+    words = [f"w{i:06d}" for i in range(600_000)]  # all distinct, 4.8 MB
+    batch = batch_of([" ".join(words[i : i + 300]) for i in range(0, len(words), 300)])
+    run = write_task(monkeypatch, tmp_path)
+    list(run(iter([batch_of(["first"])])))  # loads the tokenizer
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in run(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == batch.num_rows
+    assert peak < 70 << 20
+
+
+def test_files_do_not_depend_on_the_bounds(spark, monkeypatch, tmp_path):
+    texts = [None, "", "one", "a b c d e f g " * 40, "Été 日本語 don't " * 9, "x" * 500, None, *[f"w{i} w{i + 1} " * 7 for i in range(40)]]
+    found = []
+    for known, size in ((1, 1), (300, 100), (16 << 20, 4 << 20)):
+        monkeypatch.setattr(rec, "KNOWN_BYTES", known)
+        monkeypatch.setattr(rec, "ENCODE_BYTES", size)
+        run = write_task(monkeypatch, tmp_path / str(size))
+        rows = [row for b in run(iter([batch_of(texts), batch_of(texts)])) for row in b.to_pylist()]
+        (shard,) = glob.glob(f"{tmp_path}/{size}/shards/*")
+        found.append((rows, open(shard, "rb").read()))
+    assert len(found[0][0]) == 2 * len(texts)
+    assert found[0] == found[1] == found[2]
