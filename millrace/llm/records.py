@@ -40,8 +40,8 @@ from millrace.scratch import scratch_path
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
-#: Text bytes that are encoded together, each for about forty bytes of a worker's memory while it encodes.
-ENCODE_BYTES = 1 << 20
+#: Text bytes that are encoded together; smaller slices take more look-ups among the words held.
+ENCODE_BYTES = 2 << 20
 #: Words that the library encodes at once, and how many of them as one text if they are letters only.
 BATCH_WORDS = 4096
 JOINED_WORDS = 256
