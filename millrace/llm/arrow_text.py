@@ -10,23 +10,12 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 
+from millrace.functions.batches import bounded_batches  # noqa: F401
+
 #: Text bytes handled at once inside a task; one longer text is handled alone.
 SLICE_BYTES = 2 << 20
 
 
-#: Bytes of an Arrow batch between the JVM and Python, for both sides' memory; one longer row is alone.
-BATCH_BYTES = 8 << 20
-
-
-def bounded_batches(df: DataFrame) -> DataFrame:
-    """``df``, with its session's Arrow batches bounded to ``BATCH_BYTES`` unless already smaller."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    held = df.sparkSession.conf.get(key)
-    if not held.rstrip("b").isdigit() or not 0 < int(held.rstrip("b")) <= BATCH_BYTES:
-        df.sparkSession.conf.set(key, str(BATCH_BYTES))
-    return df
-
-
 def texts_of(batch: pa.RecordBatch, column: str) -> pa.Array:
     """The text column with empty strings for nulls."""
     return compact(batch.column(column))

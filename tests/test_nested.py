@@ -1,4 +1,6 @@
 import json
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import types as T
@@ -7,7 +9,7 @@ from millrace.operators import Level, flatten_levels, read_nested
 from millrace.operators.nested import ENTITY_LEVELS, ITEM_LEVELS, document_type
 from millrace.plans import entities, items, run_flatten
 from millrace.plans.flatten import rejected_documents
-from millrace.scratch import scratch_path
+from millrace.scratch import release_shuffles, scratch_path, stage
 from tests.conftest import plan_of, rows
 
 
@@ -139,3 +141,24 @@ def test_job_writes_both_tables_and_counts(spark, tmp_path):
     lines = [json.loads(r["value"]) for r in spark.read.text(f"{base}/entities").collect()]
     assert all(len(line) == 10 for line in lines)
     assert spark.read.parquet(f"{base}/rejects").first()["file"].endswith("two.json")
+
+
+def test_shuffle_files_of_ended_writes_are_released(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        found = files.getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+    release_shuffles(spark)
+    held = shuffles()
+    staged = stage(spark.range(1000).repartition(3, "id"), "test-released", compression="zstd")
+    made = shuffles() - held
+    assert made
+    release_shuffles(spark)
+    for _ in range(50):  # Spark deletes them in a thread of its own
+        if not made & shuffles():
+            break
+        time.sleep(0.1)
+    assert not made & shuffles() and staged.count() == 1000
+    assert {Path(f).name.split(".", 1)[1] for f in staged.inputFiles()} == {"zstd.parquet"}
