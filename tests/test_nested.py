@@ -7,8 +7,9 @@ from pyspark.sql import types as T
 
 from millrace.operators import Level, flatten_levels, read_nested
 from millrace.operators.nested import ENTITY_LEVELS, ITEM_LEVELS, document_type
-from millrace.plans import entities, items, run_flatten
+from millrace.plans import entities, items, run_clean, run_flatten
 from millrace.plans.flatten import rejected_documents
+from millrace.registry.nested import QUERIES
 from millrace.scratch import release_shuffles, scratch_path, stage
 from tests.conftest import plan_of, rows
 
@@ -143,6 +144,39 @@ def test_job_writes_both_tables_and_counts(spark, tmp_path):
     assert spark.read.parquet(f"{base}/rejects").first()["file"].endswith("two.json")
 
 
+def test_compressed_lines_are_read_back_by_the_cleaning_job(spark, tmp_path):
+    written = []
+    for how, compression in (("plain", None), ("small", "gzip")):
+        base = f"{tmp_path}/{how}"
+        report = run_flatten(
+            spark, None, f"{base}/entities", f"{base}/items", f"{base}/rejects", docs(spark, json.dumps(WHOLE)), compression
+        )
+        assert (report.entities, report.items, report.rejected) == (3, 2, 0)
+        ddl = "restaurant_id string, dish string, price string"
+        cleaned = run_clean(
+            spark, f"{base}/items", f"{base}/clean", f"{base}/bad", ddl, required=["dish"], key=["restaurant_id", "dish"]
+        )
+        assert (cleaned.records, cleaned.rejected_lines) == (2, 0)
+        written.append(rows(spark.read.parquet(f"{base}/clean").select("restaurant_id", "dish", "price", "salt"), "dish"))
+    assert written[0] == written[1]
+    assert {p.suffix for p in Path(f"{tmp_path}/small/items").glob("part-*")} == {".gz"}
+    assert {p.suffix for p in Path(f"{tmp_path}/plain/items").glob("part-*")} == {".json"}
+
+
+@pytest.mark.parametrize("query, base", [("clean_items", "batch"), ("nested_document_ranges", None)])
+def test_queries_hold_documents_no_longer_than_needed(spark, data_dir, query, base):
+    """The derived documents stayed on disk, and the item lines took more than all other tables together."""
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    held = set(shared.iterdir())
+    found = QUERIES[query](spark, data_dir)
+    assert found.count() > 0
+    left = {p.name.rsplit("-", 1)[0]: p for p in set(shared.iterdir()) - held}
+    assert not {"nested", "pieces", "starts"} & set(left)
+    if base is not None:
+        plain = sum(len(r.value) for r in spark.read.text(f"{left[base]}/items").collect())
+        assert 0 < sum(p.stat().st_size for p in (left[base] / "items").glob("part-*")) < plain / 5
+
+
 def test_shuffle_files_of_ended_writes_are_released(spark):
     files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
 
