@@ -163,7 +163,7 @@ def test_compressed_lines_are_read_back_by_the_cleaning_job(spark, tmp_path):
     assert {p.suffix for p in Path(f"{tmp_path}/plain/items").glob("part-*")} == {".json"}
 
 
-@pytest.mark.parametrize("query, base", [("clean_items", "batch"), ("nested_document_ranges", None)])
+@pytest.mark.parametrize("query, base", [("flatten_job", "flat"), ("clean_items", "batch"), ("nested_document_ranges", None)])
 def test_queries_hold_documents_no_longer_than_needed(spark, data_dir, query, base):
     """The derived documents stayed on disk, and the item lines took more than all other tables together."""
     shared = Path(spark.conf.get("spark.checkpoint.dir"))
